@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trailperks.catalog.oracle import half_up, kpi_sql, benefits_sql, oracle
 from trailperks.catalog.registry import query
 from trailperks.functions import rules
+from trailperks.functions.numbers import round_ratio
 from trailperks.operators import marts
 from trailperks.operators.joins import count_by
 from trailperks.params import Params
@@ -219,15 +220,13 @@ def params_effective(t: TestTables):
 
 @query("date_functions", oracle(f"""
 SELECT CAST(date_activite AS VARCHAR) AS jour,
-  CAST(date_trunc('month', date_activite) AS VARCHAR) AS mois,
+  CAST(CAST(date_trunc('month', date_activite) AS DATE) AS VARCHAR) AS mois,
   CAST(isodow(date_activite) AS INTEGER) AS jour_semaine,
   CAST(date_activite - 30 AS VARCHAR) AS trente_jours_avant,
   count(*) AS n, min({half_up("(epoch_us(date_fin) - epoch_us(date_debut))", "1000000", 0)})
     AS duree_min_s
 FROM stg_activites GROUP BY date_activite"""))
 def date_functions(t: TestTables):
-    from trailperks.functions.numbers import round_ratio
-
     seconds = round_ratio(rules.elapsed_us(F.col("date_debut"), F.col("date_fin")), 1_000_000, 0)
     days = t.stg_activities.groupBy("date_activite").agg(
         F.count(F.lit(1)).alias("n"), F.min(seconds).alias("duree_min_s")

@@ -65,10 +65,15 @@ def speed_kmh(metres: Column, micros: Column) -> Column:
 
 
 def faster_than(metres: Column, micros: Column, limit_kmh: Column) -> Column:
-    """Unrounded speed above the limit, compared without division. Needs a positive duration
-    below one day and a distance in range, so the products stay within a long."""
+    """Unrounded speed above the limit, for a positive duration; compared without division.
+
+    The left product fits a long for every integer distance. If the right one does not, it exceeds
+    any possible left side, so the speed is below the limit.
+    """
     limit_m_per_h = (limit_kmh * 1000).cast("long")
-    return metres.cast("long") * F.lit(3_600_000_000) > limit_m_per_h * micros
+    covered = metres.cast("long") * F.lit(3_600_000_000)
+    allowed = F.try_multiply(limit_m_per_h, micros)
+    return F.when(allowed.isNotNull(), covered > allowed).otherwise(F.lit(False))
 
 
 def distance_in_range(metres: Column) -> Column:
