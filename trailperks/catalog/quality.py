@@ -5,9 +5,10 @@ from pyspark.sql import DataFrame, functions as F
 from trailperks import labels as L
 from trailperks.catalog.oracle import oracle, quoted
 from trailperks.catalog.registry import query
-from trailperks.operators import assertions, quality as Q
+from trailperks.operators import assertions, marts, quality as Q
 from trailperks.operators.joins import count_by, duplicate_keys, orphan_counts
 from trailperks.params import Params
+from trailperks.session import cut_lineage
 from trailperks.sources.testdata import AS_OF_TIME, TestTables
 
 LAYER_OF_TABLE = {
@@ -17,14 +18,18 @@ LAYER_OF_TABLE = {
 
 
 def checked_tables(t: TestTables) -> dict[str, DataFrame]:
+    """The tables under test. Benefits and summary are read several times, so the activities behind
+    them are counted once and the counts kept."""
+    params = Params()
+    rollup = cut_lineage(t.rollup(params))
     return {
         "activites": t.activities,
         "salaries": t.salaries,
         "sports": t.sports,
         "distances_domicile_travail": t.distances,
-        "avantages_salaries": t.benefits(),
-        "kpi_synthese": t.kpi(),
-        "parametres": Params().row(t.spark),
+        "avantages_salaries": marts.benefit_mart(t.employee_base, rollup, params),
+        "kpi_synthese": marts.kpi_summary(t.employee_base, rollup, params),
+        "parametres": params.row(t.spark),
         "vitesses_max": t.speed_limits,
     }
 
@@ -93,11 +98,9 @@ CHECK_SQL = [
 def check_sql(selected=None) -> str:
     """One row per check: number, layer, table, name, result, value."""
     parts = []
-    for number, (check, (value, fail, warn)) in enumerate(
-        zip(Q.standard_checks(AS_OF_TIME), CHECK_SQL), start=1
-    ):
-        if selected and not selected(check):
-            continue
+    pairs = zip(Q.standard_checks(AS_OF_TIME), CHECK_SQL)
+    chosen = [pair for pair in pairs if selected is None or selected(pair[0])]
+    for number, (check, (value, fail, warn)) in enumerate(chosen, start=1):
         cases = " ".join(
             f"WHEN {condition} THEN '{result}'"
             for condition, result in ((fail, "fail"), (warn, "warn")) if condition
@@ -202,8 +205,7 @@ def dq_out_of_range_percent(t: TestTables):
 
 @query("dq_row_count_match", oracle(check_sql(lambda c: c.same_rows_as)))
 def dq_row_count_match(t: TestTables):
-    numbered = evaluated(t, Q.standard_checks(AS_OF_TIME))
-    return numbered.where(F.col("controle") == "autant de lignes que de salariés")
+    return evaluated(t, [c for c in Q.standard_checks(AS_OF_TIME) if c.same_rows_as])
 
 
 @query("dq_freshness", oracle("""
@@ -338,7 +340,8 @@ def _model_test_sql() -> str:
 @query("model_tests", oracle(_model_test_sql()))
 def model_tests(t: TestTables):
     """Violations of each of the 23 model tests."""
+    tables = checked_tables(t)
     return assertions.model_tests(
-        checked_tables(t), t.benefits(), t.activity_mart, t.kpi(), t.stg_activities, t.stg_salaries,
-        Params(),
+        tables, tables["avantages_salaries"], t.activity_mart, tables["kpi_synthese"],
+        t.stg_activities, t.stg_salaries, Params(),
     )

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     # Instants are shown in UTC; the Paris calendar date is an explicit conversion.
@@ -43,6 +42,9 @@ def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -
     return configure(spark)
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -53,11 +55,19 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the executors")
-    folder = tempfile.mkdtemp(prefix="trailperks-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="trailperks-")
+        spark.sparkContext.setCheckpointDir(_local_folders[application])
+    return _local_folders[application]
 
 
 def new_run_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(frame: DataFrame) -> DataFrame:
+    """Compute once and continue from the shared folder; survives the loss of executors."""
+    shared_folder(frame.sparkSession)
+    return frame.checkpoint()
