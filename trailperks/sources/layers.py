@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from trailperks.params import small_table
 
-VERSIONS = T.StructType([T.StructField("version", T.LongType())])
+VERSIONS = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("mark", T.LongType()),
+])
 
 
 @dataclass(frozen=True)
@@ -29,22 +32,34 @@ class Layers:
 
     # --- versioned tables ---------------------------------------------------------------------
 
-    def version(self, table: str) -> int | None:
-        """Newest complete version, or None before the first load."""
+    def _newest(self, table: str):
         try:
             recorded = self.spark.read.schema(VERSIONS).parquet(f"{self.path(table)}/versions")
         except AnalysisException as problem:
-            if "PATH_NOT_FOUND" in str(problem.getCondition()):
+            if problem.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return recorded.agg(F.max("version")).first()[0]
+        return recorded.orderBy(F.desc("version")).first()
 
-    def reload(self, table: str, rows: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        """Replace the whole table."""
+    def version(self, table: str) -> int | None:
+        """Newest complete version, or None before the first load."""
+        newest = self._newest(table)
+        return newest["version"] if newest else None
+
+    def mark(self, table: str) -> int | None:
+        """The mark recorded with the newest version."""
+        newest = self._newest(table)
+        return newest["mark"] if newest else None
+
+    def reload(
+        self, table: str, rows: DataFrame, partition_by: tuple[str, ...] = (),
+        mark: int | None = None,
+    ) -> None:
+        """Replace the whole table, optionally with a mark that says what it covers."""
         version = (self.version(table) or 0) + 1
         writer = rows.write.mode("overwrite").partitionBy(*partition_by)
         writer.parquet(f"{self.path(table)}/v{version:08d}")
-        recorded = small_table(self.spark, [(version,)], VERSIONS)
+        recorded = small_table(self.spark, [(version, mark)], VERSIONS)
         recorded.write.mode("append").parquet(f"{self.path(table)}/versions")
 
     def read(self, table: str) -> DataFrame:
@@ -65,9 +80,22 @@ class Layers:
         rows.write.mode("append").parquet(f"{self.path(table)}/log")
 
     def read_log(self, table: str, schema: T.StructType) -> DataFrame:
+        return self._read_folder(f"{self.path(table)}/log", schema)
+
+    # --- batch folders ------------------------------------------------------------------------
+
+    def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
+        """Write the folder of one micro-batch; writing it again replaces it."""
+        rows.write.mode("overwrite").parquet(f"{self.path(table)}/batches/batch_id={batch_id}")
+
+    def read_batches(self, table: str, schema: T.StructType) -> DataFrame:
+        """All batch folders; a condition on ``batch_id`` selects folders."""
+        return self._read_folder(f"{self.path(table)}/batches", schema)
+
+    def _read_folder(self, path: str, schema: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path(table)}/log")
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as problem:
-            if "PATH_NOT_FOUND" in str(problem.getCondition()):
+            if problem.getCondition() == "PATH_NOT_FOUND":
                 return self.spark.createDataFrame([], schema)
             raise
