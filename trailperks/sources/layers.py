@@ -33,12 +33,10 @@ class Layers:
     # --- versioned tables ---------------------------------------------------------------------
 
     def _newest(self, table: str):
-        try:
-            recorded = self.spark.read.schema(VERSIONS).parquet(f"{self.path(table)}/versions")
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        folder = f"{self.path(table)}/versions"
+        # Create the list of versions unless it exists; nothing runs when it does.
+        self.spark.createDataFrame([], VERSIONS).write.mode("ignore").parquet(folder)
+        recorded = self.spark.read.schema(VERSIONS).parquet(folder)
         return recorded.orderBy(F.desc("version")).first()
 
     def version(self, table: str) -> int | None:
@@ -55,8 +53,15 @@ class Layers:
         self, table: str, rows: DataFrame, partition_by: tuple[str, ...] = (),
         mark: int | None = None,
     ) -> None:
-        """Replace the whole table, optionally with a mark that says what it covers."""
+        """Replace the whole table, optionally with a mark that says what it covers.
+
+        Before a partitioned write the rows are rebalanced by the partition columns: each task then
+        writes few folders, and adaptive execution splits a folder that would be too large for one
+        task.
+        """
         version = (self.version(table) or 0) + 1
+        if partition_by:
+            rows = rows.hint("rebalance", *partition_by)
         writer = rows.write.mode("overwrite").partitionBy(*partition_by)
         writer.parquet(f"{self.path(table)}/v{version:08d}")
         recorded = small_table(self.spark, [(version, mark)], VERSIONS)
@@ -79,6 +84,9 @@ class Layers:
     def append(self, table: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.path(table)}/log")
 
+    def replace_log(self, table: str, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path(table)}/log")
+
     def read_log(self, table: str, schema: T.StructType) -> DataFrame:
         return self._read_folder(f"{self.path(table)}/log", schema)
 

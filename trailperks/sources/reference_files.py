@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from trailperks import schemas
 from trailperks.operators.audit import logged_step
@@ -131,12 +131,10 @@ def full_reload(
     """Replace the raw table with the file. A refused file leaves the table and logs the failure."""
 
     def work() -> int:
-        counted = Observation()
-        frame = read_validated(layers.spark, path, reference, loaded_at, kind)
-        layers.reload(
-            reference.table, frame.observe(counted, F.count(F.lit(1)).alias("rows"))
-        )
-        return counted.get["rows"]
+        frame = read_file(layers.spark, path, kind)
+        rows = validate(frame, reference)
+        layers.reload(reference.table, typed(frame, reference, loaded_at))
+        return rows
 
     return logged_step(layers, reference.step, work)
 
