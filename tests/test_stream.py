@@ -97,7 +97,7 @@ def test_loader_upserts_over_batches(layers, tmp_path):
     assert state(layers) == {1: 10800, 2: 5, 3: 10800}
     log = layers.read_batches(loader.LOAD_LOG, schemas.PIPELINE_RUNS).orderBy("debut").collect()
     assert [(r["statut"], r["nb_lignes"]) for r in log] == [(L.RUN_OK, 2), (L.RUN_OK, 2)]
-    assert layers.spark.read.parquet(layers.path(loader.REJECTED) + "/batches").count() == 1
+    assert [r["rejet"] for r in loader.rejected_messages(layers).collect()] == ["{broken"]
 
 
 def test_replay_of_a_batch_changes_nothing(layers, tmp_path):

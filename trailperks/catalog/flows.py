@@ -288,10 +288,8 @@ def cdc_upsert_latest(t: TestTables):
 
 def event_stream(t: TestTables) -> DataFrame:
     """The events as a stream of change messages."""
-    schema = t.read("events").schema
-    events = (
-        t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-        .parquet(t.folder)
+    events = t.spark.readStream.schema(t.read("events").schema).parquet(
+        f"{t.folder}/events.parquet"
     )
     return changes.to_messages(raw_activities(events))
 

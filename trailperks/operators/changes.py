@@ -24,26 +24,28 @@ def parse(change_messages: DataFrame) -> DataFrame:
     A message is bad when it is not JSON of the expected types, has no id, or an unreadable date.
     """
     event = F.from_json("value", _EVENT, {"columnNameOfCorruptRecord": _CORRUPT})
+    # As generated columns the fields stay put: a later filter on them is not pushed below the
+    # parser, which would run it again for the filter.
     read = change_messages.where(F.col("value").isNotNull()).select(
-        *POSITION, "value", event.alias("e")
+        *POSITION, "value", F.inline(F.array(event))
     )
-    dates = {name: _instant(F.col(f"e.{name}")) for name in ("date_debut", "date_fin", "cree_le")}
-    bad = F.col(f"e.{_CORRUPT}").isNotNull() | F.col("e.id_activite").isNull()
+    dates = {name: _instant(F.col(name)) for name in ("date_debut", "date_fin", "cree_le")}
+    bad = F.col(_CORRUPT).isNotNull() | F.col("id_activite").isNull()
     for name, instant in dates.items():
-        bad = bad | (F.nullif(F.col(f"e.{name}"), F.lit("")).isNotNull() & instant.isNull())
-    captured = F.timestamp_millis(F.nullif(F.col("e.__source_ts_ms"), F.lit(0).cast("long")))
+        bad = bad | (F.nullif(F.col(name), F.lit("")).isNotNull() & instant.isNull())
+    captured = F.timestamp_millis(F.nullif(F.col("__source_ts_ms"), F.lit(0).cast("long")))
     return read.select(
         *POSITION,
-        F.col("e.id_activite").alias("id_activite"),
-        F.col("e.id_salarie").alias("id_salarie"),
+        "id_activite",
+        "id_salarie",
         dates["date_debut"].alias("date_debut"),
-        F.col("e.type_activite").alias("type_activite"),
-        F.col("e.distance_m").alias("distance_m"),
+        "type_activite",
+        "distance_m",
         dates["date_fin"].alias("date_fin"),
-        F.col("e.commentaire").alias("commentaire"),
-        F.col("e.source").alias("source"),
+        "commentaire",
+        "source",
         dates["cree_le"].alias("cree_le"),
-        F.col("e.__op").alias("operation"),
+        F.col("__op").alias("operation"),
         captured.alias("capture_le"),
         F.when(bad, F.col("value")).alias("rejet"),
     )

@@ -1,15 +1,16 @@
 """Loader: change stream into the activity table.
 
-Each micro-batch overwrites its own folder of the change journal, so running a batch twice leaves the
-same rows. The offset is committed by the checkpoint after the write. The current table is the last
-change per activity over the journal; ``compact`` folds the journal into a snapshot from time to time.
+A micro-batch is parsed and written as it comes, without a shuffle, into its own folder of the change
+journal; running a batch twice leaves the same rows. The checkpoint commits the offset after the
+write. The current table is the last change per activity over the journal; ``compact`` folds the
+journal into a snapshot from time to time.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trailperks import labels as L, schemas
@@ -19,40 +20,43 @@ from trailperks.sources.layers import Layers
 
 ACTIVITIES = "raw.activites"
 JOURNAL = "raw.activites_journal"
-REJECTED = "raw.activites_rejets"
 LOAD_LOG = "monitoring.chargements"
 
-JOURNAL_SCHEMA = T.StructType([
+CHANGE_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
     *schemas.RAW_ACTIVITIES.fields,
+])
+JOURNAL_SCHEMA = T.StructType([
+    *CHANGE_SCHEMA.fields,
+    T.StructField("rejet", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
 
 def load_batch(layers: Layers, batch: DataFrame, batch_id: int) -> None:
-    """Write one micro-batch: last change per activity, bad messages, one log row."""
+    """Write one micro-batch and log the number of activities it changed."""
     start = datetime.now(timezone.utc)
-    batch.persist()
-    try:
-        parsed = parse(batch)
-        counted = Observation()
-        rows = latest_per_activity(accepted(parsed)).withColumn(
-            "charge_le", F.lit(start).cast("timestamp")
-        )
-        layers.write_batch(
-            JOURNAL, rows.observe(counted, F.count(F.lit(1)).alias("rows")), batch_id
-        )
-        layers.write_batch(REJECTED, rejected(parsed), batch_id)
-        entry = (
-            f"{L.LOADER_STEP}-{batch_id}", L.LOADER_STEP, start, datetime.now(timezone.utc),
-            L.RUN_OK, counted.get["rows"], None,
-        )
-        layers.write_batch(
-            LOAD_LOG, small_table(layers.spark, [entry], schemas.PIPELINE_RUNS), batch_id
-        )
-    finally:
-        batch.unpersist()
+    rows = parse(batch).withColumn("charge_le", F.lit(start).cast("timestamp"))
+    layers.write_batch(JOURNAL, rows, batch_id)
+    written = journal(layers).where(F.col("batch_id") == batch_id)
+    changed = accepted(written).agg(F.count_distinct("id_activite")).first()[0]
+    entry = (
+        f"{L.LOADER_STEP}-{batch_id}", L.LOADER_STEP, start, datetime.now(timezone.utc), L.RUN_OK,
+        changed, None,
+    )
+    layers.write_batch(
+        LOAD_LOG, small_table(layers.spark, [entry], schemas.PIPELINE_RUNS), batch_id
+    )
+
+
+def journal(layers: Layers) -> DataFrame:
+    """All loaded messages, bad ones included."""
+    return layers.read_batches(JOURNAL, JOURNAL_SCHEMA)
+
+
+def rejected_messages(layers: Layers) -> DataFrame:
+    return rejected(journal(layers))
 
 
 def start_loader(
@@ -77,19 +81,17 @@ def current_activities(layers: Layers) -> DataFrame:
 
 
 def _current(layers: Layers) -> DataFrame:
-    columns = [c for c in JOURNAL_SCHEMA.fieldNames() if c != "batch_id"]
-    journal = layers.read_batches(JOURNAL, JOURNAL_SCHEMA)
+    columns = CHANGE_SCHEMA.fieldNames()
+    changes = accepted(journal(layers))
     folded = layers.mark(ACTIVITIES)
-    if folded is not None:
-        journal = journal.where(F.col("batch_id") > folded)
-        changes = layers.read(ACTIVITIES).select(*columns).unionByName(journal.select(*columns))
-    else:
-        changes = journal.select(*columns)
-    return latest_per_activity(changes)
+    if folded is None:
+        return latest_per_activity(changes.select(*columns))
+    newer = changes.where(F.col("batch_id") > folded).select(*columns)
+    return latest_per_activity(layers.read(ACTIVITIES).select(*columns).unionByName(newer))
 
 
 def compact(layers: Layers) -> None:
     """Fold the journal into a new snapshot. Later reads skip the folded batch folders."""
-    newest = layers.read_batches(JOURNAL, JOURNAL_SCHEMA).agg(F.max("batch_id")).first()[0]
+    newest = journal(layers).agg(F.max("batch_id")).first()[0]
     if newest is not None:
         layers.reload(ACTIVITIES, _current(layers), mark=newest)
