@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trailperks import labels as L, schemas
 from trailperks.catalog.flows import answers, hr_file, sport_file
-from trailperks.operators import audit, changes, quality
+from trailperks.operators import audit, changes, marts, quality, staging
 from trailperks.params import Params
 from trailperks.plans import pipeline as P
 from trailperks.plans.pipeline import Pipeline
@@ -54,9 +54,9 @@ def test_run_and_history(loaded, spark):
         first.execution_id, second.execution_id}
     steps = layers.read_log(audit.RUN_LOG, schemas.PIPELINE_RUNS)
     assert steps.where(F.col("statut") != L.RUN_OK).count() == 0
-    names = [r["etape"] for r in steps.orderBy("debut").collect()][:8]
-    assert names == ["ingestion_salaries", "ingestion_sports", "geo_distances", "parametres",
-                     "qualite", "modeles", "tests", "qualite"]
+    names = [r["etape"] for r in steps.orderBy("debut").collect()][:9]
+    assert names == ["ingestion_salaries", "ingestion_sports", "instantane_activites",
+                     "geo_distances", "parametres", "qualite", "modeles", "tests", "qualite"]
     checks = layers.read_log(P.CHECKS, schemas.QUALITY_CHECKS)
     assert checks.count() == 2 * 35
     # The second run finds its distances in the store, but for the trips without a route.
@@ -68,8 +68,6 @@ def test_marts_match_the_direct_plans(loaded, spark):
     """Layer tables hold the same benefits as the lazy plan over the same inputs."""
     layers = loaded[0]
     pipe, _ = run(loaded, Params(periode_jours=4000, nb_activites_min=5))
-    from trailperks.operators import marts, staging
-
     activities, salaries = pipe.stg_activities(), pipe.stg_salaries()
     base = marts.employee_base(
         salaries, staging.staged_sports(layers.read("raw.sports")),
@@ -90,8 +88,10 @@ def test_gate_stops_the_run(spark, tmp_path, loaded):
     layers = Layers(spark, str(tmp_path / "layers"))
     tables = TestTables(spark, SMALL)
     loader.load_batch(layers, changes.to_messages(tables.activities), 0)
+    alerts = []
     with pytest.raises(quality.QualityGateError):
-        Pipeline(layers, AS_OF_TIME).run(hr, sport, answers)
+        Pipeline(layers, AS_OF_TIME, alert=alerts.append).run(hr, sport, answers)
+    assert len(alerts) == 1 and "échec(s)" in alerts[0]
     assert layers.version(P.BENEFITS) is None
     log = layers.read_log(audit.RUN_LOG, schemas.PIPELINE_RUNS)
     assert [r["etape"] for r in log.where("statut = 'echec'").collect()] == ["qualite"]
@@ -100,7 +100,6 @@ def test_gate_stops_the_run(spark, tmp_path, loaded):
 
 
 def test_result_mart_has_no_personal_columns(loaded):
-    from trailperks.operators.marts import BENEFIT_COLUMNS
-
-    assert not {"nom", "prenom", "adresse", "salaire_brut"} & set(BENEFIT_COLUMNS)
-    assert len(BENEFIT_COLUMNS) == 18
+    columns = loaded[0].read(P.BENEFITS).columns
+    assert columns == list(marts.BENEFIT_COLUMNS) and len(columns) == 18
+    assert not {"nom", "prenom", "adresse", "salaire_brut"} & set(columns)

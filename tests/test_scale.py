@@ -62,6 +62,39 @@ def test_counts_with_a_hot_employee(spark):
     assert sum(r["nb_valides"] + r["nb_invalides"] for r in rollup) == len(data)
 
 
+def test_hot_employee_is_split_by_adaptive_execution(spark, tables):
+    """The partition of the hot employee is read by several tasks of the mart's only fact join."""
+    activities, data = hot_activities(spark, 60_000)
+    staged = staging.staged_activities(activities.repartition(12), tables.speed_limits)
+    people = spark.range(60).select(
+        F.col("id").cast("int").alias("id_salarie"), F.lit("bu").alias("bu"),
+        F.lit("30-39 ans").alias("tranche_age"),
+    )
+    sports = people.select("id_salarie", F.lit("Vélo").alias("sport_declare"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        mart = marts.activity_mart(staged, people, sports)
+        rows = mart.select("id_activite", "id_salarie", "bu").collect()
+        narrow = mart.select("id_activite", "id_salarie", "bu")
+        narrow.collect()
+        assert "skewed=true" in plan(narrow) or "(skew=true)" in plan(narrow)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(rows) == len(data) and {r["id_activite"] for r in rows} == {r[0] for r in data}
+    assert all(r["bu"] == "bu" for r in rows)
+
+
 def test_latest_change_with_a_hot_activity(spark):
     draw = random.Random(4)
     offsets = list(range(5_000))

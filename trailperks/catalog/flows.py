@@ -289,7 +289,7 @@ def cdc_upsert_latest(t: TestTables):
 def event_stream(t: TestTables) -> DataFrame:
     """The events as a stream of change messages."""
     events = t.spark.readStream.schema(t.read("events").schema).parquet(
-        f"{t.folder}/events.parquet"
+        f"{t.folder}/events.parquet*"
     )
     return changes.to_messages(raw_activities(events))
 

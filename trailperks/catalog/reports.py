@@ -2,12 +2,12 @@
 
 from datetime import datetime, timezone
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from trailperks.catalog.models import STRICT
 from trailperks.catalog.oracle import half_up, money, oracle
 from trailperks.catalog.registry import query
-from trailperks.operators import bi, ops
+from trailperks.operators import bi, marts, ops
 from trailperks.operators.joins import count_by
 from trailperks.sources.testdata import TestTables
 
@@ -15,6 +15,12 @@ NOW = datetime(2001, 8, 1, tzinfo=timezone.utc)
 HUNDREDTHS = "CAST(sum(CAST(round(distance_km * 100) AS BIGINT)) AS DOUBLE) / 100.0"
 
 
+def dated(t: TestTables) -> DataFrame:
+    """Activities with month and weekday: the mart without its employee columns, which these
+    series do not use."""
+    return marts.with_calendar(t.stg_activities)
+
+
 @query("bi_measures", oracle(f"""
 SELECT {money("montant_prime")} AS cout_prime, {money("cout_bien_etre")} AS cout_bien_etre,
   {money("montant_prime + cout_bien_etre")} AS cout_total, count(*) AS nb_salaries,
@@ -35,7 +41,7 @@ def bi_measures(t: TestTables):
 SELECT count(*) AS nb_activites_valides, {HUNDREDTHS} AS distance_totale_km
 FROM stg_activites WHERE est_valide"""))
 def bi_activity_measures(t: TestTables):
-    return bi.activity_measures(t.activity_mart)
+    return bi.activity_measures(dated(t))
 
 
 @query("bi_monitoring", oracle("""
@@ -84,14 +90,14 @@ def bi_commute_points(t: TestTables):
 SELECT CAST(mois AS VARCHAR) AS mois, source, count(*) AS nb_activites_valides
 FROM activites WHERE est_valide GROUP BY 1, 2"""))
 def bi_by_month_source(t: TestTables):
-    return bi.valid_by(t.activity_mart, "mois", "source")
+    return bi.valid_by(dated(t), "mois", "source")
 
 
 @query("bi_by_sport", oracle("""
 SELECT type_activite, count(*) AS nb_activites_valides
 FROM activites WHERE est_valide GROUP BY 1"""))
 def bi_by_sport(t: TestTables):
-    return bi.valid_by(t.activity_mart, "type_activite")
+    return bi.valid_by(dated(t), "type_activite")
 
 
 @query("bi_by_weekday", oracle("""
@@ -100,7 +106,7 @@ SELECT jour_semaine, count(*) AS nb_activites_valides,
     WHEN 4 THEN 'Jeudi' WHEN 5 THEN 'Vendredi' WHEN 6 THEN 'Samedi' ELSE 'Dimanche' END AS jour
 FROM activites WHERE est_valide GROUP BY 1"""))
 def bi_by_weekday(t: TestTables):
-    return bi.valid_by_weekday(t.activity_mart)
+    return bi.valid_by_weekday(dated(t))
 
 
 @query("bi_employees_by_count", oracle("""
@@ -124,7 +130,7 @@ WHERE est_valide AND id_salarie IN (SELECT id_salarie FROM avantages_salaries
 GROUP BY 1"""))
 def bi_sliced_activities(t: TestTables):
     sliced = bi.sliced_activities(
-        t.activity_mart, t.benefits(), bu="MACHINERY", tranche_age="50-59 ans"
+        dated(t), t.benefits(), bu="MACHINERY", tranche_age="50-59 ans"
     )
     return bi.valid_by(sliced, "type_activite")
 

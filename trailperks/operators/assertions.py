@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from trailperks import labels as L
 from trailperks.functions.numbers import money
-from trailperks.operators.joins import duplicate_keys, orphan_counts
+from trailperks.operators.joins import count_by, orphan_counts
 from trailperks.params import Params
 
 ERROR, WARN = "error", "warn"
 
 
 def activities_before_hire(activities: DataFrame, salaries: DataFrame) -> DataFrame:
-    """Activities dated before the employee was hired."""
-    hired = salaries.select("id_salarie", "date_embauche")
+    """Activities dated before the employee was hired.
+
+    Only employees hired after the first recorded activity can have one, so the activities meet a
+    short list instead of the whole HR table.
+    """
+    first = activities.agg(F.min("date_activite")).scalar()
+    hired = salaries.select("id_salarie", "date_embauche").where(F.col("date_embauche") > first)
     return (
         activities.select("id_activite", "id_salarie", "date_activite")
         .join(hired, "id_salarie")
@@ -66,7 +71,7 @@ def wrong_bonus(benefits: DataFrame, salaries: DataFrame, params: Params) -> Dat
 
 def model_tests(
     tables: dict[str, DataFrame], benefits: DataFrame, activity_mart: DataFrame, kpi: DataFrame,
-    stg_activities: DataFrame, stg_salaries: DataFrame, params: Params,
+    dated_activities: DataFrame, stg_salaries: DataFrame, params: Params,
 ) -> DataFrame:
     """All model tests in one frame: ``test, gravite, violations``."""
     keyed = {
@@ -78,14 +83,11 @@ def model_tests(
         "activites": (activity_mart, "id_activite"),
         "vitesses_max": (tables["vitesses_max"], "type_activite"),
     }
-    tests: list[tuple[str, str, DataFrame]] = []
-    for name, (table, key) in keyed.items():
-        tests.append((f"{name}.{key} unique", ERROR, duplicate_keys(table, key)))
     business = [
         ("avantages_salaries statuts connus", ERROR, unknown_status(benefits)),
         ("activites salarié connu", WARN,
          orphan_counts(activity_mart, "id_salarie", stg_salaries, "id_salarie")),
-        ("activités avant embauche", WARN, activities_before_hire(stg_activities, stg_salaries)),
+        ("activités avant embauche", WARN, activities_before_hire(dated_activities, stg_salaries)),
         ("coûts cohérents", ERROR, incoherent_costs(benefits)),
         ("synthèse cohérente", ERROR, incoherent_kpi(kpi, benefits)),
         ("montant de prime", ERROR, wrong_bonus(benefits, stg_salaries, params)),
@@ -94,25 +96,38 @@ def model_tests(
         rows.agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit(name).alias("test"), F.lit(severity).alias("gravite"), "violations"
         )
-        for name, severity, rows in tests + business
+        for name, severity, rows in business
     ]
-    for name, (table, key) in keyed.items():
-        columns = [key]
-        if name == "avantages_salaries":
-            columns += ["statut_declaration", "montant_prime", "cout_bien_etre"]
-        counted.append(_missing(name, table, columns))
+    counted += [_key_tests(name, table, key) for name, (table, key) in keyed.items()]
+    filled = ["statut_declaration", "montant_prime", "cout_bien_etre"]
+    counted.append(_missing("avantages_salaries", benefits, filled))
     return reduce(DataFrame.unionByName, counted)
 
 
-def _missing(name: str, table: DataFrame, columns: list[str]) -> DataFrame:
-    """Missing values of all tested columns, from one pass."""
-    measured = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+def _results(measured: DataFrame, names: dict[str, str]) -> DataFrame:
+    """One row per test from the columns of a one-row frame."""
     entries = [
         F.struct(
-            F.lit(f"{name}.{c} renseigné").alias("test"),
-            F.lit(ERROR).alias("gravite"),
-            F.col(c).alias("violations"),
+            F.lit(name).alias("test"), F.lit(ERROR).alias("gravite"), F.col(column).alias("violations")
         )
-        for c in columns
+        for column, name in names.items()
     ]
     return measured.select(F.explode(F.array(*entries)).alias("t")).select("t.*")
+
+
+def _key_tests(name: str, table: DataFrame, key: str) -> DataFrame:
+    """Repeated and missing values of a key, from one count per value."""
+    value = F.col(key)
+    measured = count_by(table, key).agg(
+        F.count_if((F.col("n") > 1) & value.isNotNull()).alias("repeated"),
+        F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+    )
+    return _results(
+        measured, {"repeated": f"{name}.{key} unique", "missing": f"{name}.{key} renseigné"}
+    )
+
+
+def _missing(name: str, table: DataFrame, columns: list[str]) -> DataFrame:
+    """Missing values of several columns, from one pass."""
+    measured = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return _results(measured, {c: f"{name}.{c} renseigné" for c in columns})

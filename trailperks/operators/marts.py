@@ -33,13 +33,20 @@ def activity_mart(activities: DataFrame, salaries: DataFrame, sports: DataFrame)
     people = salaries.select("id_salarie", "bu", "tranche_age").join(
         sports.select("id_salarie", "sport_declare"), "id_salarie", "left"
     )
-    return (
-        activities.join(people, "id_salarie", "left")
-        .withColumn("mois", F.trunc("date_activite", "month"))
-        .withColumn("jour_semaine", F.weekday("date_activite") + 1)
-        .withColumn("a_commentaire", F.col("commentaire").isNotNull())
-        .select(*ACTIVITY_COLUMNS)
+    # Only the columns of the mart take part in the shuffle; comments stay behind.
+    slim = activities.select(
+        "id_activite", "id_salarie", "date_activite", "type_activite", "distance_km", "duree_min",
+        "source", "est_valide", F.col("commentaire").isNotNull().alias("a_commentaire"),
     )
+    return with_calendar(slim.join(people, "id_salarie", "left")).select(*ACTIVITY_COLUMNS)
+
+
+def with_calendar(activities: DataFrame) -> DataFrame:
+    """Month and ISO weekday (1 = Monday) of the activity date."""
+    return activities.withColumns({
+        "mois": F.trunc("date_activite", "month"),
+        "jour_semaine": F.weekday("date_activite") + 1,
+    })
 
 
 def since(activities: DataFrame, start: date) -> DataFrame:
@@ -47,12 +54,15 @@ def since(activities: DataFrame, start: date) -> DataFrame:
 
     Paris is ahead of UTC by two hours at most, so the Paris bound implies an instant of the day
     before or later. That second bound is a plain comparison on a stored column, which reaches the
-    scan and skips files.
+    scan and skips files. In the mart the month does the same for its folders.
     """
-    coarse = datetime.combine(start - timedelta(days=1), time.min, tzinfo=timezone.utc)
-    return activities.where(
-        (F.col("date_debut") >= F.lit(coarse)) & (F.col("date_activite") >= F.lit(start))
-    )
+    recent = activities.where(F.col("date_activite") >= F.lit(start))
+    if "date_debut" in activities.columns:
+        coarse = datetime.combine(start - timedelta(days=1), time.min, tzinfo=timezone.utc)
+        recent = recent.where(F.col("date_debut") >= F.lit(coarse))
+    if "mois" in activities.columns:
+        recent = recent.where(F.col("mois") >= F.lit(start.replace(day=1)))
+    return recent
 
 
 def daily_activity(activities: DataFrame, start: date) -> DataFrame:

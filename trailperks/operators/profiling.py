@@ -88,34 +88,32 @@ def sanity_counts(people: DataFrame, as_of: date) -> DataFrame:
 
 
 def describe(rows: DataFrame, columns: list[str], *keys: str) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per column, optionally per group.
+    """Count, mean, deviation, extremes and quartiles per column, optionally per group, in one pass.
 
     Quartiles are exact with linear interpolation. Their state holds one entry per distinct value,
     not per row: ages, days and whole euros have few.
     """
-    parts = []
-    for column in columns:
+    measures, entries = [], []
+    for number, column in enumerate(columns):
         value = F.col(column).cast("double")
         quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        measured = rows.groupBy(*keys).agg(
-            F.count(value).alias("count"),
-            F.round(F.avg(value), 1).alias("mean"),
-            F.round(F.stddev_samp(value), 1).alias("std"),
-            F.round(F.min(value), 1).alias("min"),
-            quartiles.alias("q"),
-            F.round(F.max(value), 1).alias("max"),
+        measured = {
+            "count": F.count(value),
+            "mean": F.round(F.avg(value), 1),
+            "std": F.round(F.stddev_samp(value), 1),
+            "min": F.round(F.min(value), 1),
+            "q": quartiles,
+            "max": F.round(F.max(value), 1),
+        }
+        measures += [measure.alias(f"{name}{number}") for name, measure in measured.items()]
+        shown = {name: F.col(f"{name}{number}") for name in measured if name != "q"}
+        for position, name in enumerate(("p25", "p50", "p75")):
+            shown[name] = F.round(F.col(f"q{number}")[position], 1)
+        entries.append(
+            F.struct(F.lit(column).alias("colonne"), *[c.alias(n) for n, c in shown.items()])
         )
-        parts.append(
-            measured.select(
-                *keys, F.lit(column).alias("colonne"), "count", "mean", "std", "min",
-                *[F.round(F.col("q")[i], 1).alias(n) for i, n in enumerate(("p25", "p50", "p75"))],
-                "max",
-            )
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    described = rows.groupBy(*keys).agg(*measures)
+    return described.select(*keys, F.explode(F.array(*entries)).alias("c")).select(*keys, "c.*")
 
 
 def value_shares(rows: DataFrame, column: str) -> DataFrame:

@@ -188,7 +188,11 @@ OUTCOME = T.StructType([
 ])
 
 
-def _error(message: str) -> str:
+def _error(problem: Exception) -> str:
+    if isinstance(problem, AnalysisException):
+        message = problem.getMessage().split("\n")[0]
+    else:
+        message = f"table absente {problem}"
     return f"Erreur technique : {message[:200]}"
 
 
@@ -209,7 +213,6 @@ def evaluate(
     for number, check in enumerate(checks, start=1):
         try:
             if check.measure is not None:
-                wide[check.table].agg(check.measure())  # analysis only, no job
                 fused.setdefault(check.table, []).append((number, check))
             elif check.required:
                 lost = [c for c in check.required if c not in tables[check.table].columns]
@@ -218,11 +221,22 @@ def evaluate(
             else:
                 parts.append(_single(number, check, tables))
         except (AnalysisException, KeyError) as problem:
-            message = f"table absente {problem}" if isinstance(problem, KeyError) else (
-                problem.getMessage().split("\n")[0])
-            failed.append((number, None, L.CHECK_ERROR, _error(message)))
+            failed.append((number, None, L.CHECK_ERROR, _error(problem)))
 
-    parts += [_fused(wide[table], numbered) for table, numbered in fused.items()]
+    for table, numbered in fused.items():
+        try:
+            parts.append(_fused(wide[table], numbered))
+        except (AnalysisException, KeyError):
+            # One of them does not fit the table: keep those that are valid on their own.
+            valid = []
+            for number, check in numbered:
+                try:
+                    wide[table].agg(check.measure())  # analysis only, no job
+                    valid.append((number, check))
+                except (AnalysisException, KeyError) as problem:
+                    failed.append((number, None, L.CHECK_ERROR, _error(problem)))
+            if valid:
+                parts.append(_fused(wide[table], valid))
     if failed:
         parts.append(small_table(spark, failed, OUTCOME))
     described = small_table(

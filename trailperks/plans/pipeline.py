@@ -40,6 +40,7 @@ class Pipeline:
     as_of: datetime
     params: Params | None = None
     force_distances: bool = False
+    alert: Callable[[str], None] | None = None
 
     def __post_init__(self) -> None:
         self.spark = self.layers.spark
@@ -50,6 +51,10 @@ class Pipeline:
 
     # --- sources ------------------------------------------------------------------------------
 
+    def snapshot_activities(self) -> None:
+        """Fold the change journal once, so that no later step has to."""
+        self._log("instantane_activites", lambda: loader.compact(self.layers))
+
     def ingest(self, hr_path: str, sport_path: str, kind: str = "csv") -> None:
         full_reload(self.layers, hr_path, HR_FILE, self.as_of, kind)
         full_reload(self.layers, sport_path, SPORT_FILE, self.as_of, kind)
@@ -87,7 +92,8 @@ class Pipeline:
         return self.params or params_from_row(self.layers.read(PARAMETERS).first().asDict())
 
     def raw_activities(self) -> DataFrame:
-        return loader.current_activities(self.layers)
+        """The activities as of the snapshot of this run, whatever the stream adds meanwhile."""
+        return self.layers.read(loader.ACTIVITIES).select(*schemas.RAW_ACTIVITIES.fieldNames())
 
     def stg_activities(self) -> DataFrame:
         return staging.staged_activities(self.raw_activities(), self.layers.read(SPEED_LIMITS))
@@ -135,19 +141,20 @@ class Pipeline:
     # --- models -------------------------------------------------------------------------------
 
     def build(self, full_refresh: bool = False) -> None:
-        """Compute the marts. The activities are read twice: for their mart and for the roll-up."""
+        """Compute the marts. The counts per employee come from the written activity mart."""
 
         def work() -> int:
             params = self.effective_params()
-            activities, salaries = self.stg_activities(), self.stg_salaries()
+            salaries = self.stg_salaries()
             sports = staging.staged_sports(self.layers.read(SPORT_FILE.table))
             commutes = staging.staged_distances(self.layers.read(DISTANCES))
             # Month folders let later period filters skip files.
             self.layers.reload(
-                ACTIVITY_MART, marts.activity_mart(activities, salaries, sports), ("mois",)
+                ACTIVITY_MART, marts.activity_mart(self.stg_activities(), salaries, sports),
+                partition_by=("mois",),
             )
             start = params.period_start(self.as_of.date())
-            daily = marts.daily_activity(activities, start)
+            daily = marts.daily_activity(self.layers.read(ACTIVITY_MART), start)
             self.layers.reload(ROLLUP, marts.activity_rollup(daily, salaries, {"": start}))
             rollup = self.layers.read(ROLLUP)
             base = marts.employee_base(salaries, sports, commutes)
@@ -172,7 +179,7 @@ class Pipeline:
         }
         started = datetime.now(timezone.utc)
         found = assertions.model_tests(
-            tables, read(BENEFITS), read(ACTIVITY_MART), read(KPI), self.stg_activities(),
+            tables, read(BENEFITS), read(ACTIVITY_MART), read(KPI), read(ACTIVITY_MART),
             self.stg_salaries(), self.effective_params(),
         )
         broken = found.where(F.col("violations") > 0).collect()
@@ -193,12 +200,18 @@ class Pipeline:
         self, hr_path: str, sport_path: str, service: RouteService, kind: str = "csv",
         full_refresh: bool = False,
     ) -> DataFrame:
-        """All steps in order; returns the summary."""
-        self.ingest(hr_path, sport_path, kind)
-        self.compute_distances(service)
-        self.load_seeds()
-        self.check("raw", "geo")
-        self.build(full_refresh)
-        self.test_models()
-        self.check("analytics")
+        """All steps in order; returns the summary. A failure is reported and raised."""
+        try:
+            self.ingest(hr_path, sport_path, kind)
+            self.snapshot_activities()
+            self.compute_distances(service)
+            self.load_seeds()
+            self.check("raw", "geo")
+            self.build(full_refresh)
+            self.test_models()
+            self.check("analytics")
+        except Exception as problem:
+            if self.alert:
+                self.alert(f"Échec du traitement {self.execution_id} : {problem}")
+            raise
         return self.layers.read(KPI)

@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     # Where every partition of the smaller side is measured below this size, hash it instead of
     # sorting the larger side.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Plans are built from many small expressions; recording a call site for each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

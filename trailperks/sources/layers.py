@@ -51,17 +51,20 @@ class Layers:
 
     def reload(
         self, table: str, rows: DataFrame, partition_by: tuple[str, ...] = (),
-        mark: int | None = None,
+        cluster_by: str | None = None, mark: int | None = None,
     ) -> None:
         """Replace the whole table, optionally with a mark that says what it covers.
 
         Before a partitioned write the rows are rebalanced by the partition columns: each task then
         writes few folders, and adaptive execution splits a folder that would be too large for one
-        task.
+        task. ``cluster_by`` gives each file a narrow range of that column, so that a bound on it
+        skips files.
         """
         version = (self.version(table) or 0) + 1
         if partition_by:
             rows = rows.hint("rebalance", *partition_by)
+        if cluster_by:
+            rows = rows.repartitionByRange(F.col(cluster_by))
         writer = rows.write.mode("overwrite").partitionBy(*partition_by)
         writer.parquet(f"{self.path(table)}/v{version:08d}")
         recorded = small_table(self.spark, [(version, mark)], VERSIONS)

@@ -5,7 +5,7 @@ Every expression here has a counterpart in ``catalog.oracle``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from functools import cached_property
 
@@ -33,9 +33,13 @@ class TestTables:
 
     spark: SparkSession
     folder: str
+    _files: dict[str, DataFrame] = field(default_factory=dict)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One file; its schema is read once."""
+        if name not in self._files:
+            self._files[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._files[name]
 
     # --- raw layer ----------------------------------------------------------------------------
 

@@ -94,4 +94,4 @@ def compact(layers: Layers) -> None:
     """Fold the journal into a new snapshot. Later reads skip the folded batch folders."""
     newest = journal(layers).agg(F.max("batch_id")).first()[0]
     if newest is not None:
-        layers.reload(ACTIVITIES, _current(layers), mark=newest)
+        layers.reload(ACTIVITIES, _current(layers), cluster_by="date_debut", mark=newest)
