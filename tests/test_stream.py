@@ -185,20 +185,37 @@ def test_announcer_runs_beside_the_loader(layers, tmp_path):
 
     def announce():
         stream = sources.from_files(layers.spark, str(tmp_path / "topic"))
-        announcer.start_announcer(
-            layers, stream, str(tmp_path / "announced"), limits
-        ).awaitTermination()
-        outbox = layers.read_batches(announcer.OUTBOX, announcer.OUTBOX_SCHEMA)
-        return {r["id_activite"]: r["texte"] for r in outbox.collect()}
-
-    assert announce()[1].startswith("Bravo Un collègue !")
+        query = announcer.start_announcer(layers, stream, str(tmp_path / "announced"), limits)
+        query.awaitTermination()
+        texts = {r["id_activite"]: r["texte"] for r in announcer.outbox(layers).collect()}
+        counted = announcer.counters(layers, query).orderBy("batch_id").collect()
+        return texts, [(r["publies"], r["ignores"]) for r in counted]
+
+    texts, counted = announce()
+    assert texts[1].startswith("Bravo Un collègue !") and counted == [(1, 1)]
     now = datetime(2026, 7, 1, tzinfo=timezone.utc)
     person = (7, "Dupont ", " Anne", None, None, None, None, None, None, None, None, "f", now)
     layers.reload(
         announcer.SALARIES, layers.spark.createDataFrame([person], schemas.RAW_SALARIES)
     )
-    lines(tmp_path / "topic", "2.json", (2, event(id_activite=3)))
-    texts = announce()
+    lines(tmp_path / "topic", "2.json", (2, event(id_activite=3)), (3, None), (4, "{broken"))
+    texts, counted = announce()
     assert texts[3].startswith("Bravo Anne Dupont !") and sorted(texts) == [1, 3]
-    counts = layers.read_batches(announcer.COUNTS, announcer.COUNTS_SCHEMA).orderBy("batch_id")
-    assert [(r["publies"], r["ignores"]) for r in counts.collect()] == [(1, 1), (1, 0)]
+    assert counted == [(1, 2)]
+
+
+def test_batch_without_announcement(layers, spark):
+    """Nothing to announce, with a names table that has to be shuffled."""
+    now = datetime(2026, 7, 1, tzinfo=timezone.utc)
+    rows = [(i, "a", "b", *[None] * 8, "f", now) for i in range(50)]
+    layers.reload(announcer.SALARIES, spark.createDataFrame(rows, schemas.RAW_SALARIES))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        quiet = messages(spark, *[event(source="backfill")] * 20)
+        announcer.announce_batch(layers, quiet, 0, seeds.speed_limits(spark))
+        announcer.announce_batch(layers, quiet.limit(0), 1, seeds.speed_limits(spark))
+        loader.load_batch(layers, quiet.limit(0), 0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert announcer.outbox(layers).count() == 0
+    assert loader.current_activities(layers).count() == 0

@@ -6,7 +6,7 @@ failure may produce a batch twice, into the same folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trailperks import labels as L, schemas
@@ -15,7 +15,6 @@ from trailperks.sources.layers import Layers
 from trailperks.sources.reference_files import names_directory
 
 OUTBOX = "notifications.messages"
-COUNTS = "monitoring.annonces"
 SALARIES = "raw.salaries"
 
 OUTBOX_SCHEMA = T.StructType([
@@ -23,35 +22,16 @@ OUTBOX_SCHEMA = T.StructType([
     T.StructField("texte", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
-COUNTS_SCHEMA = T.StructType([
-    T.StructField("publies", T.LongType()),
-    T.StructField("ignores", T.LongType()),
-    T.StructField("batch_id", T.LongType()),
-])
-
-
 def announce_batch(
     layers: Layers, batch: DataFrame, batch_id: int, speed_limits: DataFrame
 ) -> None:
-    """Write the texts of one micro-batch and its counters.
+    """Write the texts of one micro-batch.
 
     Names are read again for every batch, so new employees are known at once; before the first
     ingestion there are none and the fallback name is used.
     """
-    read, told = Observation(), Observation()
     names = names_directory(layers.read_or_empty(SALARIES, schemas.RAW_SALARIES))
-    counted = batch.observe(read, F.count(F.lit(1)).alias("n"))
-    texts = announcements(accepted(parse(counted)), speed_limits, names)
-    layers.write_batch(OUTBOX, texts.observe(told, F.count(F.lit(1)).alias("n")), batch_id)
-    published, total = told.get["n"], read.get["n"]
-    layers.write_batch(
-        COUNTS,
-        layers.spark.range(1).select(
-            F.lit(published).cast("long").alias("publies"),
-            F.lit(total - published).cast("long").alias("ignores"),
-        ),
-        batch_id,
-    )
+    layers.write_batch(OUTBOX, preview(batch, speed_limits, names), batch_id)
 
 
 def start_announcer(
@@ -68,8 +48,25 @@ def start_announcer(
     return writer.queryName("annonces").start()
 
 
-def preview(
-    messages: DataFrame, speed_limits: DataFrame, names: DataFrame
-) -> DataFrame:
+def outbox(layers: Layers) -> DataFrame:
+    return layers.read_batches(OUTBOX, OUTBOX_SCHEMA)
+
+
+def counters(layers: Layers, query: StreamingQuery) -> DataFrame:
+    """Announced and ignored messages per batch of a running or ended query.
+
+    Spark counts the messages of a batch as it reads them; the texts are counted in the outbox.
+    """
+    read = [(p["batchId"], p["numInputRows"]) for p in query.recentProgress if p["numInputRows"]]
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("batch_id", "lus")])
+    batches = layers.spark.createDataFrame(read, schema)
+    told = outbox(layers).groupBy("batch_id").agg(F.count(F.lit(1)).alias("publies"))
+    published = F.coalesce("publies", F.lit(0))
+    return batches.join(told, "batch_id", "left").select(
+        "batch_id", published.alias("publies"), (F.col("lus") - published).alias("ignores")
+    )
+
+
+def preview(messages: DataFrame, speed_limits: DataFrame, names: DataFrame) -> DataFrame:
     """The texts a batch of messages would produce, without writing anything."""
     return announcements(accepted(parse(messages)), speed_limits, names)
