@@ -17,8 +17,6 @@ RUNTIME_SETTINGS = {
     # Where every partition of the smaller side is measured below this size, hash it instead of
     # sorting the larger side.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-    # Plans are built from many small expressions; recording a call site for each is slow.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -39,6 +37,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.showConsoleProgress", "false")
+        # Plans are built from many small expressions; recording a call site for each is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
