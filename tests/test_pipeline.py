@@ -49,8 +49,7 @@ def test_run_and_history(loaded, spark):
         "est_valide").count()
     second, cheaper = run(loaded, Params(periode_jours=4000, nb_activites_min=5, taux_prime="0.03"))
     assert cheaper.first()["cout_prime"] < row["cout_prime"]
-    history = layers.read_log(P.KPI_HISTORY, cheaper.schema.add("execution_id", "string"))
-    assert {r["execution_id"] for r in history.collect()} == {
+    assert {r["execution_id"] for r in second.history().collect()} == {
         first.execution_id, second.execution_id}
     steps = layers.read_log(audit.RUN_LOG, schemas.PIPELINE_RUNS)
     assert steps.where(F.col("statut") != L.RUN_OK).count() == 0
@@ -82,6 +81,27 @@ def test_marts_match_the_direct_plans(loaded, spark):
     assert direct.exceptAll(stored).count() == 0 and stored.exceptAll(direct).count() == 0
 
 
+def test_simulation_appends_one_row_per_set(loaded):
+    pipe, summary = run(loaded, Params(periode_jours=4000, nb_activites_min=5))
+    before = pipe.history().count()
+    base = pipe.params
+    rows = {r["execution_id"]: r for r in pipe.simulate({
+        "meme": base, "cher": base.with_overrides(taux_prime="0.1"),
+        "court": base.with_overrides(periode_jours=1),
+    }).collect()}
+    assert len(rows) == before + 3
+    same = rows[f"{pipe.execution_id}-meme"].asDict()
+    assert {k: same[k] for k in summary.columns} == summary.first().asDict()
+    assert rows[f"{pipe.execution_id}-cher"]["cout_prime"] > same["cout_prime"]
+    assert rows[f"{pipe.execution_id}-court"]["nb_activites_valides"] < same["nb_activites_valides"]
+
+
+def test_full_refresh_empties_the_history(loaded):
+    pipe, _ = run(loaded, Params(periode_jours=4000))
+    pipe.build(full_refresh=True)
+    assert [r["execution_id"] for r in pipe.history().collect()] == [pipe.execution_id]
+
+
 def test_gate_stops_the_run(spark, tmp_path, loaded):
     """Many implausible activities: the run stops before the models."""
     _, hr, sport = loaded

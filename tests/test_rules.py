@@ -1,7 +1,9 @@
 """Rules on small frames: time, rounding, unknown values, ties."""
 
+import random
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F, types as T
 from trailperks import labels as L, schemas
 from trailperks.functions import messages, rules, text
 from trailperks.functions.numbers import round_ratio
-from trailperks.operators import staging
+from trailperks.operators import changes, quality, staging
 from trailperks.params import Params, params_from_row
+from trailperks.session import RUNTIME_SETTINGS, SHUFFLE_PARTITION_BYTES, configure
 from trailperks.sources import seeds
 
 UTC = timezone.utc
@@ -258,8 +261,6 @@ def test_formats_agree_with_python(spark):
 
 def test_rule_is_the_same_everywhere(spark, tables):
     """Staging, announcements and the quality counts agree where their definitions overlap."""
-    from trailperks.operators import changes, quality
-
     staged_rows = staging.staged_activities(tables.activities, tables.speed_limits)
     live = staged_rows.where((F.col("source") == "live") & F.col("est_valide"))
     announced = changes.announceable(tables.activities, tables.speed_limits)
@@ -271,3 +272,53 @@ def test_rule_is_the_same_everywhere(spark, tables):
     ).first()
     invalid = staged_rows.where(~F.col("est_valide")).count()
     assert max(counted) <= invalid <= sum(counted)
+
+
+def test_random_activities_against_python(spark):
+    """Rounding and validity of random activities, computed again with Python fractions."""
+    draw = random.Random(11)
+    sports = [*L.SPEED_LIMITS_KMH, "Tennis"]
+    rows = []
+    for _ in range(3_000):
+        metres = draw.choice([None, 0, draw.randrange(-500, 400_000), draw.randrange(60_000)])
+        seconds = draw.choice([0, -60, draw.randrange(100_000), draw.randrange(1, 10_000),
+                               draw.randrange(1, 20_000_000) / 1000])
+        rows.append(activity(metres, seconds, draw.choice(sports)))
+    frame = spark.createDataFrame(
+        [(i, *row[1:]) for i, row in enumerate(rows)], schemas.RAW_ACTIVITIES
+    )
+
+    def half_up(value, digits):
+        scaled = abs(value) * 10**digits
+        rounded = int(scaled + Fraction(1, 2))
+        return Decimal(rounded if value >= 0 else -rounded) / 10**digits
+
+    found = staging.staged_activities(frame, seeds.speed_limits(spark)).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        _, _, start, sport, metres, end, *_ = rows[row["id_activite"]]
+        elapsed = end - start
+        seconds = Fraction(elapsed // timedelta(microseconds=1), 1_000_000)
+        limit = L.SPEED_LIMITS_KMH.get(sport)
+        speed = None if metres is None or not seconds else (
+            Fraction(metres, 1000) / (seconds / 3600))
+        assert row["duree_min"] == half_up(seconds / 60, 1)
+        assert row["vitesse_kmh"] == (None if speed is None else half_up(speed, 1))
+        assert row["distance_km"] == (
+            None if metres is None else half_up(Fraction(metres, 1000), 2))
+        assert row["est_valide"] == (
+            0 < seconds < 86_400 and (metres is None or 0 <= metres <= 300_000)
+            and (metres is None or limit is None or speed <= int(limit))
+        )
+
+
+def test_session_settings_can_be_changed_at_run_time(spark):
+    assert all(spark.conf.isModifiable(key) for key in RUNTIME_SETTINGS)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        configure(spark, shuffle_bytes=SHUFFLE_PARTITION_BYTES * 1000 + 1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1001"
+        configure(spark, shuffle_bytes=1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1001"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -68,6 +68,33 @@ def ingest_duplicate_ids(t: TestTables):
     return files.duplicated_ids(repeated, files.HR_FILE).withColumnRenamed("ID salarié", "id")
 
 
+@query("ingest_validate", oracle("""
+SELECT 'complet' AS cas, count(*) AS lignes, CAST(NULL AS VARCHAR) AS refus FROM raw_salaries
+UNION ALL SELECT 'colonne absente', NULL, 'missing columns: [''Nom'']'
+UNION ALL SELECT 'vide', NULL, 'the file has no rows'
+UNION ALL SELECT 'sans identifiant', NULL, concat(count(*), ' rows without id')
+FROM raw_salaries WHERE type_contrat = 'CDD'
+UNION ALL SELECT 'repetition', NULL, '1 repeated ids: [''6'']'"""))
+def ingest_validate(t: TestTables):
+    """The structural checks over the HR file and four spoiled forms of it."""
+    frame, key = hr_file(t), "ID salarié"
+    fixed_term = F.col("Type de contrat") == "CDD"
+    cases = {
+        "complet": frame,
+        "colonne absente": frame.drop("Nom"),
+        "vide": frame.where("false"),
+        "sans identifiant": frame.withColumn(key, F.when(~fixed_term, F.col(key))),
+        "repetition": frame.withColumn(key, F.when(F.col(key) == "12", "6").otherwise(F.col(key))),
+    }
+    rows = []
+    for name, case in cases.items():
+        try:
+            rows.append((name, files.validate(case, files.HR_FILE), None))
+        except files.InvalidFileError as refusal:
+            rows.append((name, None, str(refusal)))
+    return t.spark.createDataFrame(rows, "cas string, lignes long, refus string")
+
+
 @query("full_reload", oracle(HR_SELECT))
 def full_reload(t: TestTables):
     """Write the HR file as CSV, load it into a layer, read the table back."""

@@ -6,9 +6,10 @@ from trailperks.catalog.oracle import oracle
 from trailperks.catalog.registry import query
 from trailperks.functions import text
 from trailperks.operators import profiling as P
-from trailperks.operators.joins import count_by
+from trailperks.operators.joins import count_by, null_safe_left_join
 from trailperks.params import Params
-from trailperks.sources import reference_files
+from trailperks.session import new_run_folder
+from trailperks.sources import reference_files, seeds
 from trailperks.sources.seeds import COMPANY_TOWN
 from trailperks.sources.testdata import AS_OF, TestTables
 
@@ -244,6 +245,22 @@ def place_name_match(t: TestTables):
     return P.matched_towns(names, t.towns).drop("commune")
 
 
+@query("geo_cache_scan", profile("""
+SELECT c.commune, c.departement, nom_officiel, code_insee, CAST(lat AS DOUBLE) AS lat,
+  CAST(lon AS DOUBLE) AS lon, codes_postaux, count(id_salarie) AS salaries
+FROM communes c LEFT JOIN population p ON p.commune = c.commune
+  AND p.departement IS NOT DISTINCT FROM c.departement
+GROUP BY ALL"""))
+def geo_cache_scan(t: TestTables):
+    """The cached towns from a CSV file, codes kept as text, with the employees living there."""
+    path = new_run_folder(t.spark, "communes")
+    t.towns.coalesce(1).write.csv(path, header=True)
+    cached = seeds.towns(t.spark, path)
+    lived = count_by(people(t), "commune", "departement", name="salaries")
+    joined = null_safe_left_join(cached, lived, ["commune", "departement"])
+    return joined.withColumn("salaries", F.coalesce("salaries", F.lit(0)))
+
+
 @query("geo_estimate", profile("""
 SELECT id_salarie, commune, departement, round(distance_vol_oiseau_km, 6) AS distance_vol_oiseau_km,
   round(distance_estimee_km, 6) AS distance_estimee_km, seuil_km, declaration_suspecte

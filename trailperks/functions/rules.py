@@ -113,10 +113,13 @@ def commute_limit_km(mode: Column, walk_km: Column, bike_km: Column) -> Column:
 
 
 def distance_is_current(measured: dict[str, Column], mode: Column, address: Column) -> Column:
-    """The measured distance exists and was measured for this mode and this address."""
+    """The measured distance exists and was measured for this mode and this address.
+
+    A missing status alone does not make a distance obsolete.
+    """
     return (
         measured["distance_km"].isNotNull()
-        & measured["statut_api"].eqNullSafe(L.ROUTE_FOUND)
+        & F.coalesce(measured["statut_api"] == L.ROUTE_FOUND, F.lit(True))
         & measured["mode_api"].eqNullSafe(mode)
         & measured["adresse"].eqNullSafe(address)
     )

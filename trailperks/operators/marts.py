@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, time, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from trailperks import labels as L
 from trailperks.functions import rules
@@ -246,7 +246,9 @@ def kpi_summary(base: DataFrame, rollup: DataFrame, params: Params) -> DataFrame
     return _with_params(rows.agg(*_key_figures()), values)
 
 
-def kpi_history(summary: DataFrame, execution_id: str, computed_at: datetime) -> DataFrame:
+def kpi_history(
+    summary: DataFrame, execution_id: str | Column, computed_at: datetime
+) -> DataFrame:
     """The summary stamped with run id and time, ready to be appended."""
     return summary.select(
         F.lit(computed_at).cast("timestamp").alias("calcule_le"),
@@ -255,6 +257,10 @@ def kpi_history(summary: DataFrame, execution_id: str, computed_at: datetime) ->
     )
 
 
+def kpi_history_schema(summary: DataFrame) -> T.StructType:
+    return kpi_history(summary, "", datetime.now(timezone.utc)).schema
+
+
 def compare_runs(history: DataFrame) -> DataFrame:
     """Runs in time order with the change of the total cost since the run before.
 

@@ -169,6 +169,31 @@ class Pipeline:
 
         self._log("modeles", work)
 
+    def simulate(self, scenarios: dict[str, Params]) -> DataFrame:
+        """Compute the summary for several parameter sets in one job and append them to the history.
+
+        The distances are facts and stay as they are; only the rules are applied again.
+        """
+
+        def work() -> int:
+            sports = staging.staged_sports(self.layers.read(SPORT_FILE.table))
+            commutes = staging.staged_distances(self.layers.read(DISTANCES))
+            base = marts.employee_base(self.stg_salaries(), sports, commutes)
+            summaries = marts.kpi_scenarios(
+                base, self.layers.read(ACTIVITY_MART), scenarios, self.as_of.date()
+            )
+            run_id = F.concat(F.lit(f"{self.execution_id}-"), F.col("scenario"))
+            history = marts.kpi_history(summaries, run_id, self.as_of)
+            self.layers.append(KPI_HISTORY, history.drop("scenario"))
+            return len(scenarios)
+
+        self._log("simulation", work)
+        return self.history()
+
+    def history(self) -> DataFrame:
+        """All recorded summaries."""
+        return self.layers.read_log(KPI_HISTORY, marts.kpi_history_schema(self.layers.read(KPI)))
+
     def test_models(self) -> dict[str, int]:
         """Run the model tests; errors stop the run, warnings are counted."""
         read = self.layers.read

@@ -20,11 +20,24 @@ RUNTIME_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+# Size of a shuffle partition that one task sorts or aggregates without spilling much.
+SHUFFLE_PARTITION_BYTES = 256 * 1024**2
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to an existing session.
+
+    ``shuffle_bytes`` is the size of the largest shuffle to expect, about that of the activity table.
+    It sets the number of shuffle partitions; adaptive execution merges those that stay small, but it
+    cannot divide a partition of an aggregation that was planned too large.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        needed = -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES)
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, needed)))
     return spark
 
 

@@ -91,7 +91,7 @@ def validate(frame: DataFrame, reference: ReferenceFile) -> int:
     if empty:
         raise InvalidFileError(f"{empty} rows without id")
     repeated = duplicated_ids(frame, reference)
-    shown = repeated.orderBy(key.cast("long")).limit(SHOWN_DUPLICATES).collect()
+    shown = repeated.orderBy(key.try_cast("long"), key).limit(SHOWN_DUPLICATES).collect()
     if shown:
         total = repeated.count() if len(shown) == SHOWN_DUPLICATES else len(shown)
         ids = [row[reference.key_header] for row in shown]

@@ -81,17 +81,26 @@ def current_activities(layers: Layers) -> DataFrame:
 
 
 def _current(layers: Layers) -> DataFrame:
+    """The snapshot with the activities changed since replaced by their last change.
+
+    Batches follow the stream order, so a change after the snapshot is newer than its row. Only the
+    changes are reduced per key; the snapshot meets a list of changed ids, which is broadcast while
+    it is short, and is not shuffled then.
+    """
     columns = CHANGE_SCHEMA.fieldNames()
     changes = accepted(journal(layers))
     folded = layers.mark(ACTIVITIES)
     if folded is None:
-        return latest_per_activity(changes.select(*columns))
-    newer = changes.where(F.col("batch_id") > folded).select(*columns)
-    return latest_per_activity(layers.read(ACTIVITIES).select(*columns).unionByName(newer))
+        return latest_per_activity(changes.select(*columns)).select(*columns)
+    newest = latest_per_activity(changes.where(F.col("batch_id") > folded).select(*columns))
+    unchanged = layers.read(ACTIVITIES).join(
+        newest.select("id_activite"), "id_activite", "left_anti"
+    )
+    return unchanged.select(*columns).unionByName(newest.select(*columns))
 
 
 def compact(layers: Layers) -> None:
     """Fold the journal into a new snapshot. Later reads skip the folded batch folders."""
     newest = journal(layers).agg(F.max("batch_id")).first()[0]
-    if newest is not None:
+    if newest is not None and newest != layers.mark(ACTIVITIES):
         layers.reload(ACTIVITIES, _current(layers), cluster_by="date_debut", mark=newest)
