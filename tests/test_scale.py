@@ -113,7 +113,9 @@ def test_scenarios_equal_single_runs(spark, tables):
         "a": Params(), "b": Params(periode_jours=10, nb_activites_min=3),
         "c": Params(seuil_velo_km=5, taux_prime="0.1"),
     }
-    many = marts.kpi_scenarios(tables.employee_base, tables.stg_activities, scenarios, AS_OF)
+    many = marts.kpi_scenarios(
+        tables.employee_base, tables.stg_salaries, tables.stg_activities, scenarios, AS_OF
+    )
     rows = {r["scenario"]: r.asDict() for r in many.collect()}
     for name, params in scenarios.items():
         single = tables.kpi(params).first().asDict()

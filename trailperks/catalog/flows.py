@@ -10,7 +10,7 @@ from trailperks.catalog.registry import query
 from trailperks.operators import changes, distances, simulation
 from trailperks.operators.joins import count_by
 from trailperks.operators.profiling import employee_sports
-from trailperks.session import new_run_folder
+from trailperks.session import cut_lineage, new_run_folder
 from trailperks.sources import reference_files as files
 from trailperks.sources.layers import Layers
 from trailperks.sources.testdata import AS_OF, AS_OF_TIME, TestTables, raw_activities
@@ -165,6 +165,11 @@ def geo_worklist_counts(t: TestTables):
     )
 
 
+def numbered_trips(t: TestTables, force: bool) -> DataFrame:
+    """Lots of the open or of all trips, kept because requests and answers both read them."""
+    return cut_lineage(distances.lots(distances.worklist(t.salaries, t.distances, force)))
+
+
 @query("geo_batches", flow("SELECT * FROM lots", TRIPS))
 def geo_batches(t: TestTables):
     """All trips in lots of 25 per mode."""
@@ -176,7 +181,7 @@ SELECT mode_api, lot, count(*) AS taille,
   string_agg(concat(adresse, ', France'), '|' ORDER BY position) AS origines
 FROM lots GROUP BY 1, 2""", TRIPS))
 def geo_requests(t: TestTables):
-    numbered = distances.lots(distances.worklist(t.salaries, t.distances, force=True))
+    numbered = numbered_trips(t, force=True)
     return distances.requests(numbered).select(
         "mode_api", "lot", F.size("origines").cast("long").alias("taille"),
         F.array_join("origines", "|").alias("origines"),
@@ -216,7 +221,7 @@ COMPUTED = """
 
 @query("geo_parse_matrix", flow(COMPUTED, TRIPS))
 def geo_parse_matrix(t: TestTables):
-    numbered = distances.lots(distances.worklist(t.salaries, t.distances, force=True))
+    numbered = numbered_trips(t, force=True)
     return distances.parse_answers(numbered, answers(numbered))
 
 
@@ -228,8 +233,8 @@ UNION ALL
 SELECT *, '2024-01-31 00:00:00' FROM ({COMPUTED})"""))
 def geo_upsert(t: TestTables):
     """The stored distances after the open trips were computed."""
-    numbered = distances.lots(distances.worklist(t.salaries, t.distances))
-    computed = distances.parse_answers(numbered, answers(numbered))
+    numbered = numbered_trips(t, force=False)
+    computed = cut_lineage(distances.parse_answers(numbered, answers(numbered)))
     return distances.upsert(t.distances, computed, AS_OF_TIME)
 
 

@@ -171,7 +171,7 @@ def _scenario_union(columns: str = "*") -> str:
 
 @query("kpi_scenarios", oracle(f"SELECT * EXCLUDE (numero) FROM ({_scenario_union()})"))
 def kpi_scenarios(t: TestTables):
-    return marts.kpi_scenarios(t.employee_base, t.stg_activities, SCENARIOS, AS_OF)
+    return marts.kpi_scenarios(t.employee_base, t.stg_salaries, t.stg_activities, SCENARIOS, AS_OF)
 
 
 @query("kpi_history", oracle("""
@@ -194,7 +194,7 @@ def kpi_history_compare(t: TestTables):
     numbers = F.create_map(
         *[F.lit(v) for pair in enumerate(SCENARIOS) for v in reversed(pair)]
     )
-    runs = marts.kpi_scenarios(t.employee_base, t.stg_activities, SCENARIOS, AS_OF)
+    runs = marts.kpi_scenarios(t.employee_base, t.stg_salaries, t.stg_activities, SCENARIOS, AS_OF)
     start = F.lit(datetime(2024, 1, 31, tzinfo=timezone.utc))
     stamped = runs.withColumn(
         "calcule_le", F.timestamp_add("MINUTE", numbers[F.col("scenario")], start)

@@ -18,16 +18,17 @@ LAYER_OF_TABLE = {
 
 
 def checked_tables(t: TestTables) -> dict[str, DataFrame]:
-    """The tables under test. Benefits and summary are read several times, so the activities behind
-    them are counted once and the counts kept."""
+    """The tables under test. Benefits and summary are read several times, so the counts behind them
+    and the benefits are computed once and kept."""
     params = Params()
     rollup = cut_lineage(t.rollup(params))
+    benefits = cut_lineage(marts.benefit_mart(t.employee_base, rollup, params))
     return {
         "activites": t.activities,
         "salaries": t.salaries,
         "sports": t.sports,
         "distances_domicile_travail": t.distances,
-        "avantages_salaries": marts.benefit_mart(t.employee_base, rollup, params),
+        "avantages_salaries": benefits,
         "kpi_synthese": marts.kpi_summary(t.employee_base, rollup, params),
         "parametres": params.row(t.spark),
         "vitesses_max": t.speed_limits,

@@ -129,10 +129,21 @@ WHERE est_valide AND id_salarie IN (SELECT id_salarie FROM avantages_salaries
   WHERE bu = 'MACHINERY' AND tranche_age = '50-59 ans')
 GROUP BY 1"""))
 def bi_sliced_activities(t: TestTables):
-    sliced = bi.sliced_activities(
-        dated(t), t.benefits(), bu="MACHINERY", tranche_age="50-59 ans"
+    return bi.sliced_valid_by(
+        dated(t), t.benefits(), ["type_activite"], bu="MACHINERY", tranche_age="50-59 ans"
     )
-    return bi.valid_by(sliced, "type_activite")
+
+
+@query("bi_sliced_rows", oracle("""
+SELECT id_activite, type_activite, distance_km::DOUBLE AS distance_km FROM activites
+WHERE id_salarie IN (SELECT id_salarie FROM avantages_salaries
+  WHERE bu = 'BUILDING' AND statut_declaration = 'suspecte')"""))
+def bi_sliced_rows(t: TestTables):
+    """Activities of the employees selected by unit and declaration status."""
+    rows = bi.sliced_activities(
+        t.stg_activities, t.benefits(), bu="BUILDING", statut_declaration="suspecte"
+    )
+    return rows.select("id_activite", "type_activite", "distance_km")
 
 
 # --- operations -------------------------------------------------------------------------------

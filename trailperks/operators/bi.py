@@ -108,9 +108,29 @@ def employees_by_count(benefits: DataFrame, width: int = 1) -> DataFrame:
     )
 
 
-def sliced_activities(activities: DataFrame, benefits: DataFrame, **slicers: str) -> DataFrame:
-    """Activities of the employees that match the slicers; the filter flows one way only."""
+def sliced_employees(benefits: DataFrame, **slicers: str) -> DataFrame:
+    """Ids of the employees that match the slicers."""
     selected = benefits
     for column, value in slicers.items():
         selected = selected.where(F.col(column) == value)
-    return activities.join(selected.select("id_salarie"), "id_salarie", "left_semi")
+    return selected.select("id_salarie")
+
+
+def sliced_activities(activities: DataFrame, benefits: DataFrame, **slicers: str) -> DataFrame:
+    """Activities of the employees that match the slicers; the filter flows one way only."""
+    return activities.join(sliced_employees(benefits, **slicers), "id_salarie", "left_semi")
+
+
+def sliced_valid_by(
+    activities: DataFrame, benefits: DataFrame, keys: list[str], **slicers: str
+) -> DataFrame:
+    """Valid activities per key for the selected employees.
+
+    Activities are counted per employee and key before the filter meets them, so rows of single
+    activities never move.
+    """
+    counted = valid_by(activities, "id_salarie", *keys)
+    selected = counted.join(sliced_employees(benefits, **slicers), "id_salarie", "left_semi")
+    return selected.groupBy(*keys).agg(
+        F.sum("nb_activites_valides").alias("nb_activites_valides")
+    )

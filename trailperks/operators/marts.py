@@ -275,7 +275,8 @@ def compare_runs(history: DataFrame) -> DataFrame:
 
 
 def kpi_scenarios(
-    base: DataFrame, activities: DataFrame, scenarios: dict[str, Params], as_of: date
+    base: DataFrame, salaries: DataFrame, activities: DataFrame, scenarios: dict[str, Params],
+    as_of: date,
 ) -> DataFrame:
     """One summary row per named parameter set, from a single pass over the activities.
 
@@ -285,7 +286,7 @@ def kpi_scenarios(
     """
     starts = {f"_{p.period_start(as_of):%Y%m%d}": p.period_start(as_of) for p in scenarios.values()}
     daily = daily_activity(activities, min(starts.values()))
-    rollup = activity_rollup(daily, base, starts)
+    rollup = activity_rollup(daily, salaries, starts)
     sets = []
     for name, params in scenarios.items():
         constants = rules.literals(params)

@@ -178,9 +178,10 @@ class Pipeline:
         def work() -> int:
             sports = staging.staged_sports(self.layers.read(SPORT_FILE.table))
             commutes = staging.staged_distances(self.layers.read(DISTANCES))
-            base = marts.employee_base(self.stg_salaries(), sports, commutes)
+            salaries = self.stg_salaries()
             summaries = marts.kpi_scenarios(
-                base, self.layers.read(ACTIVITY_MART), scenarios, self.as_of.date()
+                marts.employee_base(salaries, sports, commutes), salaries,
+                self.layers.read(ACTIVITY_MART), scenarios, self.as_of.date(),
             )
             run_id = F.concat(F.lit(f"{self.execution_id}-"), F.col("scenario"))
             history = marts.kpi_history(summaries, run_id, self.as_of)
