@@ -18,12 +18,16 @@ def round_ratio(numerator: Column, denominator: Column | int, digits: int) -> Co
     """
     scale = 10**digits
     if isinstance(denominator, int):
-        denominator = F.lit(denominator)
-    scaled = numerator.cast("long") * F.lit(scale).cast("long")
-    divisor = F.nullif(denominator.cast("long"), F.lit(0).cast("long"))
-    two = F.lit(2).cast("long")
-    magnitude = int_div(two * F.abs(scaled) + F.abs(divisor), two * F.abs(divisor))
-    signed = F.when((scaled < 0) != (divisor < 0), -magnitude).otherwise(magnitude)
+        # round(n * scale / d) = (2 * n * scale + d) div (2 * d), for the magnitudes.
+        double, scaled = 2 * denominator, numerator.cast("long") * (2 * scale)
+        magnitude = int_div(F.abs(scaled) + denominator, F.lit(double).cast("long"))
+        signed = F.when(scaled < 0, -magnitude).otherwise(magnitude)
+    else:
+        divisor = F.nullif(denominator.cast("long"), F.lit(0).cast("long"))
+        scaled = numerator.cast("long") * (2 * scale)
+        size = F.abs(divisor)
+        magnitude = int_div(F.abs(scaled) + size, size * 2)
+        signed = F.when((scaled < 0) != (divisor < 0), -magnitude).otherwise(magnitude)
     if digits == 0:
         return signed
     return (signed.cast("decimal(18,0)") / F.lit(scale)).cast(f"decimal(18,{digits})")
