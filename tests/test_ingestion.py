@@ -12,7 +12,10 @@ from trailperks.sources.reference_files import HR_FILE, SPORT_FILE, InvalidFileE
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
 HR_HEADER = ",".join(HR_FILE.columns)
-HR_ROW = '7, Dupont ,Anne,1990-06-15,Marketing,2015-09-01,30330,CDI,25,"1 rue A, 34970 Lattes",Marche/running'
+HR_ROW = (
+    '7, Dupont ,Anne,1990-06-15,Marketing,2015-09-01,30330,CDI,25,"1 rue A, 34970 Lattes",'
+    "Marche/running"
+)
 
 
 def write(path, *lines):

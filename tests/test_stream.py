@@ -1,7 +1,9 @@
 """Change stream: parsing, last writer wins, replays, quarantine, announcements."""
 
 import json
+from contextlib import redirect_stdout
 from datetime import datetime, timezone
+from io import StringIO
 
 import pytest
 
@@ -142,7 +144,26 @@ def test_compaction_keeps_the_state(layers, tmp_path):
     assert state(layers) == {1: 9, 2: 10800}
     loader.compact(layers)
     assert state(layers) == {1: 9, 2: 10800}
+    loader.compact(layers)
     assert layers.version(loader.ACTIVITIES) == 2
+    loader.compact(layers, recluster=True)
+    assert layers.version(loader.ACTIVITIES) == 3 and state(layers) == {1: 9, 2: 10800}
+
+
+def test_fold_does_not_shuffle_the_snapshot(layers, tmp_path):
+    lines(tmp_path / "topic", "1.json", *[(i, event(id_activite=i)) for i in range(50)])
+    load(layers, tmp_path)
+    loader.compact(layers)
+    lines(tmp_path / "topic", "2.json", (90, event(id_activite=1, distance_m=9)))
+    load(layers, tmp_path)
+    unchanged, newest = loader._parts(layers)
+    assert unchanged.count() == 49 and newest.count() == 1
+    unchanged.collect()
+    out = StringIO()
+    with redirect_stdout(out):
+        unchanged.explain()
+    final = out.getvalue().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in final and "LeftAnti" in final and "SortMergeJoin" not in final
 
 
 def test_announcement_texts(spark):

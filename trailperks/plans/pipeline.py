@@ -45,6 +45,8 @@ class Pipeline:
     def __post_init__(self) -> None:
         self.spark = self.layers.spark
         self.execution_id = uuid.uuid4().hex
+        # Identifier of the last check run.
+        self.check_id: str | None = None
 
     def _log(self, step: str, work: Callable[[], int | None]) -> int | None:
         return audit.logged_step(self.layers, step, work)
@@ -113,7 +115,8 @@ class Pipeline:
             limits = self.layers.read(SPEED_LIMITS)
             limited["activites"] = tables["activites"].join(limits, "type_activite", "left")
         outcomes = cut_lineage(quality.evaluate(self.spark, tables, chosen, limited))
-        self.layers.append(CHECKS, quality.stored(outcomes, uuid.uuid4().hex, self.as_of))
+        self.check_id = uuid.uuid4().hex
+        self.layers.append(CHECKS, quality.stored(outcomes, self.check_id, self.as_of))
         counts = quality.outcome_counts(outcomes.collect())
         status, message = quality.run_status(counts), quality.run_message(counts)
         audit.log_step(

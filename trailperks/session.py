@@ -76,7 +76,6 @@ def shared_folder(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application not in _local_folders:
         _local_folders[application] = tempfile.mkdtemp(prefix="trailperks-")
-        spark.sparkContext.setCheckpointDir(_local_folders[application])
     return _local_folders[application]
 
 
@@ -87,5 +86,7 @@ def new_run_folder(spark: SparkSession, purpose: str) -> str:
 
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Compute once and continue from the shared folder; survives the loss of executors."""
-    shared_folder(frame.sparkSession)
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint()

@@ -99,6 +99,11 @@ class Layers:
         """Write the folder of one micro-batch; writing it again replaces it."""
         rows.write.mode("overwrite").parquet(f"{self.path(table)}/batches/batch_id={batch_id}")
 
+    def read_batch(self, table: str, batch_id: int, schema: T.StructType) -> DataFrame:
+        """One batch folder, without listing the others."""
+        folder = f"{self.path(table)}/batches/batch_id={batch_id}"
+        return self.spark.read.schema(schema).parquet(folder)
+
     def read_batches(self, table: str, schema: T.StructType) -> DataFrame:
         """All batch folders; a condition on ``batch_id`` selects folders."""
         return self._read_folder(f"{self.path(table)}/batches", schema)

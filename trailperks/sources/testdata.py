@@ -124,7 +124,8 @@ class TestTables:
     def pipeline_runs(self) -> DataFrame:
         """Run-log rows, one per order."""
         key = F.col("o_orderkey")
-        start = F.timestamp_add("SECOND", (key % 40000).cast("int"), F.col("o_orderdate").cast("timestamp"))
+        ordered = F.col("o_orderdate").cast("timestamp")
+        start = F.timestamp_add("SECOND", (key % 40000).cast("int"), ordered)
         return self.read("orders").select(
             key.cast("string").alias("id_run"),
             _pick(
@@ -144,11 +145,10 @@ class TestTables:
     @cached_property
     def quality_checks(self) -> DataFrame:
         """Check outcomes, one per order line; the order is the run."""
-        key = F.col("l_orderkey")
+        key, first_run = F.col("l_orderkey"), datetime(2024, 1, 1, tzinfo=timezone.utc)
         return self.read("lineitem").select(
             key.cast("string").alias("execution_id"),
-            F.timestamp_add("SECOND", key.cast("int"), F.lit(datetime(2024, 1, 1, tzinfo=timezone.utc)))
-            .alias("verifie_le"),
+            F.timestamp_add("SECOND", key.cast("int"), F.lit(first_run)).alias("verifie_le"),
             F.lit("entrepot").alias("data_source"),
             _pick(F.col("l_linenumber") % 3, "raw", "geo", "analytics").alias("fichier_controle"),
             _pick(F.col("l_suppkey") % 4, "activites", "salaries", "sports", "kpi_synthese")

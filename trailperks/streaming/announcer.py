@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trailperks import labels as L, schemas
+from trailperks import schemas
 from trailperks.operators.changes import accepted, announcements, parse
 from trailperks.sources.layers import Layers
 from trailperks.sources.reference_files import names_directory
@@ -45,7 +45,7 @@ def start_announcer(
     writer = (
         writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     )
-    return writer.queryName("annonces").start()
+    return writer.start()
 
 
 def outbox(layers: Layers) -> DataFrame:

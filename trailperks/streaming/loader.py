@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trailperks import labels as L, schemas
 from trailperks.operators.changes import accepted, latest_per_activity, parse, rejected
 from trailperks.params import small_table
+from trailperks.session import cut_lineage
 from trailperks.sources.layers import Layers
 
 ACTIVITIES = "raw.activites"
@@ -27,11 +28,8 @@ CHANGE_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()),
     *schemas.RAW_ACTIVITIES.fields,
 ])
-JOURNAL_SCHEMA = T.StructType([
-    *CHANGE_SCHEMA.fields,
-    T.StructField("rejet", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-])
+BATCH_SCHEMA = T.StructType([*CHANGE_SCHEMA.fields, T.StructField("rejet", T.StringType())])
+JOURNAL_SCHEMA = T.StructType([*BATCH_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
 
 
 def load_batch(layers: Layers, batch: DataFrame, batch_id: int) -> None:
@@ -39,7 +37,7 @@ def load_batch(layers: Layers, batch: DataFrame, batch_id: int) -> None:
     start = datetime.now(timezone.utc)
     rows = parse(batch).withColumn("charge_le", F.lit(start).cast("timestamp"))
     layers.write_batch(JOURNAL, rows, batch_id)
-    written = journal(layers).where(F.col("batch_id") == batch_id)
+    written = layers.read_batch(JOURNAL, batch_id, BATCH_SCHEMA)
     changed = accepted(written).agg(F.count_distinct("id_activite")).first()[0]
     entry = (
         f"{L.LOADER_STEP}-{batch_id}", L.LOADER_STEP, start, datetime.now(timezone.utc), L.RUN_OK,
@@ -72,7 +70,7 @@ def start_loader(
     writer = (
         writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     )
-    return writer.queryName(L.LOADER_STEP).start()
+    return writer.start()
 
 
 def current_activities(layers: Layers) -> DataFrame:
@@ -80,8 +78,10 @@ def current_activities(layers: Layers) -> DataFrame:
     return _current(layers).select(*schemas.RAW_ACTIVITIES.fieldNames())
 
 
-def _current(layers: Layers) -> DataFrame:
-    """The snapshot with the activities changed since replaced by their last change.
+def _parts(layers: Layers, keep: bool = False) -> tuple[DataFrame | None, DataFrame]:
+    """The snapshot rows that still hold (None before the first snapshot), and the changed rows.
+
+    With ``keep`` the changed rows are computed once for their two uses.
 
     Batches follow the stream order, so a change after the snapshot is newer than its row. Only the
     changes are reduced per key; the snapshot meets a list of changed ids, which is broadcast while
@@ -91,16 +91,34 @@ def _current(layers: Layers) -> DataFrame:
     changes = accepted(journal(layers))
     folded = layers.mark(ACTIVITIES)
     if folded is None:
-        return latest_per_activity(changes.select(*columns)).select(*columns)
+        return None, latest_per_activity(changes.select(*columns)).select(*columns)
     newest = latest_per_activity(changes.where(F.col("batch_id") > folded).select(*columns))
+    if keep:
+        newest = cut_lineage(newest)
     unchanged = layers.read(ACTIVITIES).join(
         newest.select("id_activite"), "id_activite", "left_anti"
     )
-    return unchanged.select(*columns).unionByName(newest.select(*columns))
+    return unchanged.select(*columns), newest.select(*columns)
+
+
+def _current(layers: Layers) -> DataFrame:
+    unchanged, newest = _parts(layers)
+    return newest if unchanged is None else unchanged.unionByName(newest)
 
 
-def compact(layers: Layers) -> None:
-    """Fold the journal into a new snapshot. Later reads skip the folded batch folders."""
-    newest = journal(layers).agg(F.max("batch_id")).first()[0]
-    if newest is not None and newest != layers.mark(ACTIVITIES):
-        layers.reload(ACTIVITIES, _current(layers), cluster_by="date_debut", mark=newest)
+def compact(layers: Layers, recluster: bool = False) -> None:
+    """Fold the journal into a new snapshot. Later reads skip the folded batch folders.
+
+    Files of the snapshot hold narrow ranges of the start time. Rows that still hold are copied file
+    by file, so only the changed rows are clustered; ``recluster`` does it for all rows, from time
+    to time.
+    """
+    last = journal(layers).agg(F.max("batch_id")).first()[0]
+    if last is None or (last == layers.mark(ACTIVITIES) and not recluster):
+        return
+    if layers.mark(ACTIVITIES) is None or recluster:
+        layers.reload(ACTIVITIES, _current(layers), cluster_by="date_debut", mark=last)
+    else:
+        unchanged, newest = _parts(layers, keep=True)
+        changed = newest.repartitionByRange(F.col("date_debut"))
+        layers.reload(ACTIVITIES, unchanged.unionByName(changed), mark=last)
