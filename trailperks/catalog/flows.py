@@ -167,7 +167,8 @@ def geo_worklist_counts(t: TestTables):
 
 def numbered_trips(t: TestTables, force: bool) -> DataFrame:
     """Lots of the open or of all trips, kept because requests and answers both read them."""
-    return cut_lineage(distances.lots(distances.worklist(t.salaries, t.distances, force)))
+    todo = cut_lineage(distances.worklist(t.salaries, t.distances, force))
+    return cut_lineage(distances.lots(todo))
 
 
 @query("geo_batches", flow("SELECT * FROM lots", TRIPS))

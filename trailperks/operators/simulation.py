@@ -17,27 +17,39 @@ DECLARED_WEIGHT, OTHER_WEIGHT = 4, 1
 ABSURD_FACTOR = 100
 
 
+def _employed(salaries: DataFrame, end: date) -> DataFrame:
+    return salaries.where(F.col("date_embauche") <= F.lit(end))
+
+
+def _days(start: date, end: date) -> Column:
+    """The days from the later of ``start`` and hiring to ``end``."""
+    return F.sequence(F.greatest(F.lit(start), F.col("date_embauche")), F.lit(end))
+
+
 def employee_calendar(salaries: DataFrame, start: date, end: date) -> DataFrame:
     """One row per employee and day, from the later of ``start`` and hiring to ``end``."""
-    first = F.greatest(F.lit(start), F.col("date_embauche"))
-    days = F.sequence(first, F.lit(end))
-    employed = salaries.where(F.col("date_embauche") <= F.lit(end))
-    return employed.select("id_salarie", F.explode(days).alias("jour"))
+    return _employed(salaries, end).select("id_salarie", F.explode(_days(start, end)).alias("jour"))
 
 
 def activity_calendar(
     salaries: DataFrame, activities: DataFrame, start: date, end: date
 ) -> DataFrame:
-    """Activities per employee and day, days without any included."""
+    """Activities per employee and day, days without any included.
+
+    Counts travel to their employee as one map, with an entry per active day at most; the days are
+    unfolded after the join, so the full calendar is never shuffled.
+    """
     counted = (
         activities.where(F.col("date_activite").between(F.lit(start), F.lit(end)))
-        .groupBy("id_salarie", F.col("date_activite").alias("jour"))
+        .groupBy("id_salarie", "date_activite")
         .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("id_salarie")
+        .agg(F.map_from_entries(F.collect_list(F.struct("date_activite", "n"))).alias("par_jour"))
     )
-    days = employee_calendar(salaries, start, end)
-    return days.join(counted, ["id_salarie", "jour"], "left").select(
-        "id_salarie", "jour", F.coalesce("n", F.lit(0).cast("long")).alias("nb_activites")
-    )
+    joined = _employed(salaries, end).join(counted, "id_salarie", "left")
+    unfolded = joined.select("id_salarie", "par_jour", F.explode(_days(start, end)).alias("jour"))
+    count = F.coalesce(F.col("par_jour")[F.col("jour")], F.lit(0).cast("long"))
+    return unfolded.select("id_salarie", "jour", count.alias("nb_activites"))
 
 
 def expected_index(day: Column) -> Column:

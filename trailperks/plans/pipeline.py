@@ -68,9 +68,8 @@ class Pipeline:
             stored = self.layers.read_or_empty(DISTANCES, schemas.DISTANCES)
             salaries = self.layers.read(HR_FILE.table)
             # The service is asked once: its answers must not be requested again by a retry.
-            numbered = cut_lineage(
-                distances.lots(distances.worklist(salaries, stored, self.force_distances))
-            )
+            todo = cut_lineage(distances.worklist(salaries, stored, self.force_distances))
+            numbered = cut_lineage(distances.lots(todo))
             rows = numbered.count()
             if rows:
                 computed = cut_lineage(distances.parse_answers(numbered, service(numbered)))
