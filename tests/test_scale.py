@@ -123,6 +123,18 @@ def test_scenarios_equal_single_runs(spark, tables):
         assert rows[name] == single
 
 
+def test_scenarios_without_any_row(spark, tables):
+    nobody = tables.stg_salaries.where("false")
+    base = marts.employee_base(nobody, tables.stg_sports, tables.stg_distances)
+    nothing = tables.stg_activities.where("false")
+    many = marts.kpi_scenarios(base, nobody, nothing, {"a": Params()}, AS_OF).collect()
+    start = Params().period_start(AS_OF)
+    rollup = marts.activity_rollup(marts.daily_activity(nothing, start), nobody, {"": start})
+    single = marts.kpi_summary(base, rollup, Params()).first().asDict()
+    assert [r["scenario"] for r in many] == ["a"]
+    assert {k: v for k, v in many[0].asDict().items() if k != "scenario"} == single
+
+
 def test_summary_without_employees(spark, tables):
     base = tables.employee_base.where("false")
     row = marts.kpi_summary(base, tables.rollup(Params()), Params()).first().asDict()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from trailperks import labels as L
 from trailperks.functions import rules
-from trailperks.params import Params
+from trailperks.params import Params, small_table
 
 ACTIVITY_COLUMNS = (
     "id_activite", "id_salarie", "date_activite", "mois", "jour_semaine", "type_activite",
@@ -184,6 +184,12 @@ def benefit_mart(base: DataFrame, rollup: DataFrame, params: Params) -> DataFram
     return apply_rules(joined, rules.literals(params), F.col("comptees")).select(*BENEFIT_COLUMNS)
 
 
+COUNTED = (
+    "nb_salaries", "nb_sportifs_declares", "nb_trajets_sportifs", "nb_declarations_suspectes",
+    "nb_declarations_non_verifiees", "nb_eligibles_prime", "nb_eligibles_bien_etre",
+)
+
+
 def _key_figures() -> list[Column]:
     """Aggregates of the summary; rows of unknown employees only carry activity counts."""
     known = F.col("connu")
@@ -311,7 +317,12 @@ def kpi_scenarios(
     keys = [F.col("jeu.scenario").alias("scenario")] + [
         F.col(f"jeu.{name}").alias(f"p_{name}") for name in names
     ]
-    summary = ruled.groupBy(*keys).agg(*_key_figures())
-    return _with_params(summary, {name: F.col(f"p_{name}") for name in names}).drop(
-        *[f"p_{name}" for name in names]
+    summary = _with_params(
+        ruled.groupBy(*keys).agg(*_key_figures()), {name: F.col(f"p_{name}") for name in names}
+    ).drop(*[f"p_{name}" for name in names])
+    # Without any row at all, a set still has a summary, as in a single run.
+    listed = small_table(
+        base.sparkSession, [(name,) for name in scenarios],
+        T.StructType([T.StructField("scenario", T.StringType())]),
     )
+    return listed.join(summary, "scenario", "left").na.fill(0, list(COUNTED))
