@@ -1,5 +1,7 @@
 """The commands in their usual order, over small files."""
 
+import json
+
 import pytest
 
 from test_stream import EVENT, event, lines
@@ -45,10 +47,18 @@ def test_commands(spark, tmp_path, capsys):
     assert run("announce", "--files", str(topic), "--checkpoint", str(tmp_path / "c2")) == 0
     assert announcer.outbox(layers).count() == 20
 
-    layers.reload(P.DISTANCES, spark.createDataFrame(
-        [(7, "1 rue A, 34970 Lattes", "WALK", 3_000, 2_400, "ROUTE_EXISTS", None)],
-        schemas.DISTANCES,
-    ))
+    assert run("request-distances", "--out", str(tmp_path / "asked")) == 0
+    asked = spark.read.json(str(tmp_path / "asked")).collect()
+    assert [(r["mode_api"], r["lot"], r["origines"]) for r in asked] == [
+        ("WALK", 0, ["1 rue A, 34970 Lattes, France"])]
+    (tmp_path / "answers").mkdir()
+    elements = [{"distanceMeters": 3000, "duration": "2400s", "condition": "ROUTE_EXISTS"}]
+    answer = {"mode_api": "WALK", "lot": 0, "reponse": json.dumps(elements)}
+    (tmp_path / "answers" / "1.json").write_text(json.dumps(answer), encoding="utf-8")
+    assert run("store-distances", "--answers", str(tmp_path / "answers")) == 0
+    assert "ROUTE_EXISTS" in capsys.readouterr().out
+    assert run("request-distances", "--out", str(tmp_path / "again")) == 0
+    assert "0 trips" in capsys.readouterr().out
     assert run("build", "--set", "taux_prime=0.1", "seuil_velo_km=") == 0
     kpi = layers.read(P.KPI).first()
     assert kpi["nb_eligibles_prime"] == 1 and float(kpi["cout_prime"]) == 3000

@@ -12,9 +12,11 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from trailperks import schemas
+from trailperks.operators import distances
+from trailperks.operators.joins import count_by
 from trailperks.operators.quality import QualityGateError
 from trailperks.params import Params
-from trailperks.plans.pipeline import CHECKS, SPEED_LIMITS, Pipeline
+from trailperks.plans.pipeline import CHECKS, DISTANCES, SPEED_LIMITS, TRIPS, Pipeline
 from trailperks.session import configure
 from trailperks.sources import seeds
 from trailperks.sources.layers import Layers
@@ -37,6 +39,14 @@ def parser() -> argparse.ArgumentParser:
     seed.add_argument("--parameters")
     seed.add_argument("--speed-limits")
 
+    ask = commands.add_parser("request-distances", help="write the lots to ask the service for")
+    ask.add_argument("--out", required=True, help="folder for JSON lines: mode_api, lot, origines")
+    ask.add_argument("--force", action="store_true", help="ask again for known distances")
+
+    store = commands.add_parser("store-distances", help="store the answers of the service")
+    store.add_argument("--answers", required=True,
+                       help="folder of JSON lines: mode_api, lot, reponse (the JSON text)")
+
     check = commands.add_parser("check", help="run the quality checks")
     check.add_argument("--layers", nargs="+", default=["raw", "geo", "analytics"])
     check.add_argument("--details", action="store_true", help="show passed checks too")
@@ -84,6 +94,13 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             run.ingest(options.hr, options.sports, options.format)
         elif options.command == "seed":
             run.load_seeds(options.parameters, options.speed_limits)
+        elif options.command == "request-distances":
+            run.force_distances = options.force
+            print(run.request_distances(), "trips")
+            distances.requests(layers.read(TRIPS)).write.mode("overwrite").json(options.out)
+        elif options.command == "store-distances":
+            run.store_distances(spark.read.schema(schemas.ROUTE_ANSWER).json(options.answers))
+            show_distances(layers)
         elif options.command == "check":
             try:
                 run.check(*options.layers)
@@ -117,6 +134,13 @@ def show_checks(layers: Layers, run: Pipeline, details: bool) -> None:
         print(row["resultat"], row["table_verifiee"], row["controle"], row["valeur"], sep=" | ")
 
 
+def show_distances(layers: Layers) -> None:
+    """Print the number of stored distances per status, and the longest suspicious ones."""
+    stored = layers.read(DISTANCES)
+    count_by(stored, "statut").orderBy("statut").show(truncate=False)
+    distances.suspects_preview(stored).show(truncate=False)
+
+
 def announce(layers: Layers, options: argparse.Namespace) -> None:
     if layers.version(SPEED_LIMITS) is None:
         limits = seeds.speed_limits(layers.spark)

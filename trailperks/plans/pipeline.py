@@ -19,6 +19,7 @@ from trailperks.sources.reference_files import HR_FILE, SPORT_FILE, full_reload
 from trailperks.streaming import loader
 
 DISTANCES = "geo.distances_domicile_travail"
+TRIPS = "geo.trajets_a_calculer"
 ROLLUP = "staging.activites_par_salarie"
 ACTIVITY_MART = "analytics.activites"
 BENEFITS = "analytics.avantages_salaries"
@@ -61,23 +62,32 @@ class Pipeline:
         full_reload(self.layers, hr_path, HR_FILE, self.as_of, kind)
         full_reload(self.layers, sport_path, SPORT_FILE, self.as_of, kind)
 
-    def compute_distances(self, service: RouteService) -> int:
-        """Ask the service for the open trips and replace their stored distances."""
+    def request_distances(self) -> int:
+        """Number the open trips and keep the numbering, to which the answers will refer."""
+        stored = self.layers.read_or_empty(DISTANCES, schemas.DISTANCES)
+        salaries = self.layers.read(HR_FILE.table)
+        todo = cut_lineage(distances.worklist(salaries, stored, self.force_distances))
+        self.layers.reload(TRIPS, distances.lots(todo))
+        return self.layers.read(TRIPS).count()
+
+    def store_distances(self, answers: DataFrame) -> int:
+        """Replace the stored distances of the requested trips by the answers."""
 
         def work() -> int:
+            numbered = self.layers.read(TRIPS)
             stored = self.layers.read_or_empty(DISTANCES, schemas.DISTANCES)
-            salaries = self.layers.read(HR_FILE.table)
-            # The service is asked once: its answers must not be requested again by a retry.
-            todo = cut_lineage(distances.worklist(salaries, stored, self.force_distances))
-            numbered = cut_lineage(distances.lots(todo))
-            rows = numbered.count()
-            if rows:
-                computed = cut_lineage(distances.parse_answers(numbered, service(numbered)))
-                self.layers.reload(DISTANCES, distances.upsert(stored, computed, self.as_of))
-            return rows
+            computed = cut_lineage(distances.parse_answers(numbered, answers))
+            self.layers.reload(DISTANCES, distances.upsert(stored, computed, self.as_of))
+            return computed.count()
 
         return self._log("geo_distances", work)
 
+    def compute_distances(self, service: RouteService) -> int:
+        """Ask the service for the open trips and store its answers."""
+        if not self.request_distances():
+            return 0
+        return self.store_distances(service(self.layers.read(TRIPS)))
+
     def load_seeds(self, parameters: str | None = None, limits: str | None = None) -> None:
         def work() -> int:
             self.layers.reload(PARAMETERS, seeds.parameters(self.spark, parameters))

@@ -56,3 +56,5 @@ ROUTE_ELEMENTS = T.ArrayType(
         T.StructField("status", T.StructType([T.StructField("code", INT)])),
     ])
 )
+# The answer of the distance service to one lot, its elements as JSON text.
+ROUTE_ANSWER = _schema(mode_api=TEXT, lot=LONG, reponse=TEXT)
