@@ -11,11 +11,6 @@ from trailperks.params import Params
 from trailperks.session import cut_lineage
 from trailperks.sources.testdata import AS_OF_TIME, TestTables
 
-LAYER_OF_TABLE = {
-    "activites": "raw", "salaries": "raw", "sports": "raw", "distances_domicile_travail": "geo",
-    "avantages_salaries": "analytics", "kpi_synthese": "analytics", "parametres": "analytics",
-}
-
 
 def checked_tables(t: TestTables) -> dict[str, DataFrame]:
     """The tables under test. Benefits and summary are read several times, so the counts behind them
@@ -40,7 +35,6 @@ def evaluated(t: TestTables, checks: list[Q.Check]) -> DataFrame:
     return Q.evaluate(t.spark, checked_tables(t), checks, limited)
 
 
-DIST = "distances_domicile_travail"
 MICROS = "(epoch_us(date_fin) - epoch_us(date_debut))"
 SAME_ROWS = "(SELECT count(*) FROM {0}) - (SELECT count(*) FROM raw_salaries)"
 NOT_LISTED = "(SELECT count(*) FROM {0} WHERE {1} NOT IN ({2}))"

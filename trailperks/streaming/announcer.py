@@ -22,6 +22,8 @@ OUTBOX_SCHEMA = T.StructType([
     T.StructField("texte", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
+
+
 def announce_batch(
     layers: Layers, batch: DataFrame, batch_id: int, speed_limits: DataFrame
 ) -> None:
