@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailperks.llm import topk, url_filters
-from trailperks.llm.common import table
+from trailperks.llm import language, packing, simhash, topk, url_filters
+from trailperks.llm.common import id_remainder, table
 from trailperks.llm.registry import query
 
 URL_RULES = [
@@ -61,3 +62,30 @@ FROM scored QUALIFY rank <= 5
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.search(vectors, k=5, query_modulus=50, scale=256)
+
+
+@query("op1_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, capacity=2048)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    model = language.fit(docs, ~held_out)
+    judged = language.identify(docs.select("doc_id", "text"), model)
+    return judged.select("row.doc_id", id_remainder(F.col("row.doc_id"), 3).alias("r"), "lang_pred", "score").select(
+        "doc_id", (F.col("r") == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op4_simhash_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
