@@ -15,8 +15,9 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, memory="6g", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(8, memory="6g", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared})
     yield session
     session.stop()
 
