@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,6 +25,11 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
+def with_row(frame: DataFrame, rest: str) -> T.StructType:
+    """The schema of a result that carries the struct ``row`` of ``frame`` and the columns in ``rest``."""
+    return T.StructType([frame.schema["row"], *T.StructType.fromDDL(rest).fields])
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts, the measure from which numbers of groups are derived."""
     return docs.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0

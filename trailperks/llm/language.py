@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from trailperks.llm.common import with_row
+
 DIMENSIONS = 2**14
 PER_CLASS = 1000
 MOST_CLASSES = 256
@@ -181,4 +183,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 names=["row", "lang_pred", "score"],
             )
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(run, with_row(rows, "lang_pred string, score double"))
