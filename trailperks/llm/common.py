@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from trailperks.session import new_run_folder
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -25,6 +27,13 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
+def keep(frame: DataFrame, purpose: str) -> DataFrame:
+    """Compute once: write to the shared folder and read back, so Spark knows the size and no executor holds the only copy."""
+    folder = new_run_folder(frame.sparkSession, purpose)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def with_row(frame: DataFrame, rest: str) -> T.StructType:
     """The schema of a result that carries the struct ``row`` of ``frame`` and the columns in ``rest``."""
     return T.StructType([frame.schema["row"], *T.StructType.fromDDL(rest).fields])

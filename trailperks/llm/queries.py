@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailperks.llm import language, packing, simhash, substrings, topk, url_filters
+from trailperks.llm import language, packing, pii, simhash, substrings, topk, url_filters
 from trailperks.llm.common import id_remainder, table
 from trailperks.llm.registry import query
 
@@ -96,3 +96,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = substrings.remove_repeated(docs, window=20)
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query("op3_pii")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.protect(docs)
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    counts = [number(kind) for kind in ("email", "ip", "card", "phone")]
+    return found.select(
+        "row.doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
+    )
