@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailperks.llm import language, packing, pii, simhash, substrings, topk, url_filters
+from trailperks.llm import language, packing, pii, simhash, substrings, topk, url_filters, weighted_sampling
 from trailperks.llm.common import id_remainder, table
 from trailperks.llm.registry import query
 
@@ -114,3 +114,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "row.doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
     )
+
+
+@query("op9_weighted_sampling")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
