@@ -93,11 +93,13 @@ def test_first_fit_decreasing_against_plain_search():
     assert packing.first_fit_decreasing(pieces, 100) == bins
 
 
-def test_cached_generations(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
-    encode = packing.WordEncoder(PATH).encode
-    for text in ["one two three four", "four five six", "one two", "", "six seven eight nine ten"] * 2:
-        assert np.frombuffer(encode([text])[0], "<u4").tolist() == reference_ids(text)[:-1]
+@pytest.mark.parametrize("limit", [2, 6, 10**6])
+def test_remembered_words(monkeypatch, limit):
+    monkeypatch.setattr(packing, "CACHED_WORDS", limit)
+    encode = packing.WordEncoder(PATH, 1).encode
+    odd = ["a\n", "\na", "a \nb", "a\n\nb", "a\u00a0 b", "x\ty z", "\x85 a"]
+    for texts in [["one two three four", "four five six"], ["one two"], ["", " ", "six\nseven eight.\nNine ten"], odd] * 3:
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [reference_ids(t) for t in texts]
 
 
 def test_digest_matches_crc(spark):
