@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailperks.llm import language, packing, pii, simhash, substrings, topk, url_filters, weighted_sampling
+from trailperks.llm import bpe, language, packing, pii, simhash, substrings, topk, url_filters, weighted_sampling
 from trailperks.llm.common import id_remainder, table
 from trailperks.llm.registry import query
 
@@ -119,3 +119,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_weighted_sampling")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        F.col("row.row.doc_id").alias("doc_id"),
+        F.floor(F.octet_length("row.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("row.ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
