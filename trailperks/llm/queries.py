@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailperks.llm import bpe, language, packing, pii, simhash, substrings, topk, url_filters, weighted_sampling
+from trailperks.llm import bpe, language, language_model, packing, pii, simhash, substrings, topk, url_filters, weighted_sampling
 from trailperks.llm.common import id_remainder, table
 from trailperks.llm.registry import query
 
@@ -131,3 +131,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("row.ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_language_model")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    scored = language_model.score(docs, ~held_out)
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"),
+        (id_remainder(F.col("row.doc_id"), 7) == 2).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
