@@ -27,8 +27,8 @@ from trailperks.llm.common import shuffle_partitions, slices, text_bytes
 from trailperks.llm.words import hash_joined
 
 GROUP_BYTES = 8 * 1024**2
-SLICE_BYTES = 4 * 1024**2
-CACHED_WORDS = 2_000_000
+SLICE_BYTES = 2 * 1024**2
+CACHED_WORDS = 1_000_000
 #: A space or line end next to other white space: there the tokenizer's own pattern must decide where words end.
 ODD_SPACES = re.compile(r"[ \n]\s|\s[ \n]|\n\Z")
 #: Bytes that UTF-8 never holds: they mark a text's first word, which has no blank before it, and its end.
@@ -52,7 +52,7 @@ class WordEncoder:
         self.end = np.array([end_id], dtype="<u4")
         self.ids, self.calls = self.end, 0
         self.hashes = hash_joined(END)
-        self.offsets, self.lengths, self.used = np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, np.int64)
+        self.offsets, self.lengths, self.used = (np.array([x], np.int32) for x in (0, 1, 0))
 
     def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
         """Encode words that are not remembered; one call takes them all, as texts of their own."""
@@ -68,8 +68,8 @@ class WordEncoder:
         order = np.argsort(hashes)
         at = np.searchsorted(self.hashes, hashes[order])
         self.hashes = np.insert(self.hashes, at, hashes[order])
-        self.offsets = np.insert(self.offsets, at, offsets[order])
-        self.lengths = np.insert(self.lengths, at, lengths[order])
+        self.offsets = np.insert(self.offsets, at, offsets[order].astype(np.int32))
+        self.lengths = np.insert(self.lengths, at, lengths[order].astype(np.int32))
         self.used = np.insert(self.used, at, self.calls)
 
     def gathered(self, known: np.ndarray) -> np.ndarray:
@@ -85,7 +85,7 @@ class WordEncoder:
             return
         ids = self.gathered(np.flatnonzero(kept))
         self.hashes, self.lengths, self.used = self.hashes[kept], self.lengths[kept], self.used[kept]
-        self.offsets, self.ids = np.cumsum(self.lengths) - self.lengths, ids
+        self.offsets, self.ids = (np.cumsum(self.lengths) - self.lengths).astype(np.int32), ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, with the end id."""
