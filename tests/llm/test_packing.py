@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trailperks.llm import packing
+from trailperks.llm import encoding, packing
 
 SMALL = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,8 +95,8 @@ def test_first_fit_decreasing_against_plain_search():
 
 @pytest.mark.parametrize("limit", [2, 6, 10**6])
 def test_remembered_words(monkeypatch, limit):
-    monkeypatch.setattr(packing, "CACHED_WORDS", limit)
-    encode = packing.WordEncoder(PATH, 1).encode
+    monkeypatch.setattr(encoding, "CACHED_WORDS", limit)
+    encode = packing.encoder.__wrapped__(PATH, 1).encode
     odd = ["a\n", "\na", "a \nb", "a\n\nb", "a\u00a0 b", "x\ty z", "\x85 a"]
     for texts in [["one two three four", "four five six"], ["one two"], ["", " ", "six\nseven eight.\nNine ten"], odd] * 3:
         assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [reference_ids(t) for t in texts]

@@ -14,7 +14,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,105 +23,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from trailperks.llm.common import shuffle_partitions, slices, text_bytes
-from trailperks.llm.words import hash_joined
+from trailperks.llm.encoding import WordEncoder
 
 GROUP_BYTES = 8 * 1024**2
 SLICE_BYTES = 2 * 1024**2
-CACHED_WORDS = 1_000_000
-#: A space or line end next to other white space: there the tokenizer's own pattern must decide where words end.
-ODD_SPACES = re.compile(r"[ \n]\s|\s[ \n]|\n\Z")
-#: Bytes that UTF-8 never holds: they mark a text's first word, which has no blank before it, and its end.
-FIRST, END = b"\xff", b"\xfe"
 
 
-class WordEncoder:
-    """Token ids of whole texts, from the tokenizer's ids of their words.
-
-    A byte-level tokenizer splits a text before each single blank or line end between two words, so the ids of a
-    text are those of its words (with what stands before them) in a row. Words are known by a 64-bit hash; each is
-    encoded by the tokenizer once and its ids are remembered, in arrays ordered by hash. When more than ``CACHED_WORDS``
-    are remembered, those that were used longest ago are forgotten.
-    """
-
-    def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.end = np.array([end_id], dtype="<u4")
-        self.ids, self.calls = self.end, 0
-        self.hashes = hash_joined(END)
-        self.offsets, self.lengths, self.used = (np.array([x], np.int32) for x in (0, 1, 0))
-
-    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        """Encode words that are not remembered; one call takes them all, as texts of their own."""
-        texts = [
-            (word[1:] if word[:1] == FIRST else word if word[:1] == b"\n" else b" " + word).decode() for word in words
-        ]
-        encoded = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
-        lengths = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(words))
-        self.insert(hashes, np.cumsum(lengths) - lengths + len(self.ids), lengths)
-        self.ids = np.concatenate([self.ids, np.array(encoded.ids, dtype="<u4")])
-
-    def insert(self, hashes: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> None:
-        order = np.argsort(hashes)
-        at = np.searchsorted(self.hashes, hashes[order])
-        self.hashes = np.insert(self.hashes, at, hashes[order])
-        self.offsets = np.insert(self.offsets, at, offsets[order].astype(np.int32))
-        self.lengths = np.insert(self.lengths, at, lengths[order].astype(np.int32))
-        self.used = np.insert(self.used, at, self.calls)
-
-    def gathered(self, known: np.ndarray) -> np.ndarray:
-        """The ids of remembered words, one after the other."""
-        lengths = self.lengths[known]
-        begins = self.offsets[known] - (np.cumsum(lengths) - lengths)
-        return self.ids[np.repeat(begins, lengths) + np.arange(lengths.sum())]
-
-    def forget(self) -> None:
-        self.used[np.searchsorted(self.hashes, hash_joined(END))] = self.calls
-        kept = self.used > np.median(self.used)
-        if not kept.any():
-            return
-        ids = self.gathered(np.flatnonzero(kept))
-        self.hashes, self.lengths, self.used = self.hashes[kept], self.lengths[kept], self.used[kept]
-        self.offsets, self.ids = (np.cumsum(self.lengths) - self.lengths).astype(np.int32), ids
+@lru_cache(maxsize=2)
+def encoder(path: str, end_id: int) -> WordEncoder:
+    from tokenizers import Tokenizer
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, with the end id."""
-        self.calls += 1
-        if len(self.hashes) > CACHED_WORDS:
-            self.forget()
-        plain = [n for n, text in enumerate(texts) if not ODD_SPACES.search(text)]
-        marked = [FIRST + texts[n].encode().replace(b"\n", b" \n") + b" " + END for n in plain]
-        out: list[bytes] = [b""] * len(texts)
-        if marked:
-            joined = b" ".join(marked)
-            hashes = hash_joined(joined)
-            distinct, firsts, places = np.unique(hashes, return_index=True, return_inverse=True)
-            at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
-            missing = self.hashes[at] != distinct
-            self.used[at[~missing]] = self.calls
-            if missing.any():
-                ends = np.flatnonzero(np.frombuffer(joined + b" ", np.uint8) == 32)
-                wanted = firsts[missing]
-                begins = np.where(wanted > 0, ends[wanted - 1] + 1, 0).tolist()
-                self.learn(distinct[missing], [joined[a:b] for a, b in zip(begins, ends[wanted].tolist())])
-                at = np.searchsorted(self.hashes, distinct)
-            known = at[places]
-            data = self.gathered(known).tobytes()
-            counts = np.array([text.count(b" ") + 1 for text in marked])
-            sizes = np.add.reduceat(self.lengths[known], np.cumsum(counts) - counts) * 4
-            for n, size, stop in zip(plain, sizes.tolist(), np.cumsum(sizes).tolist()):
-                out[n] = data[stop - size : stop]
-        for n in set(range(len(texts))).difference(plain):
-            ids = self.tokenizer.encode(texts[n], add_special_tokens=False).ids
-            out[n] = np.concatenate([np.array(ids, dtype="<u4"), self.end]).tobytes()
-        return out
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
 
+    def encode_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # One call takes all words, as texts of their own.
+        encoded = tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
+        lengths = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(texts))
+        return np.array(encoded.ids, dtype="<u4"), lengths
 
-@lru_cache(maxsize=2)
-def encoder(path: str, end_id: int) -> WordEncoder:
-    return WordEncoder(path, end_id)
+    return WordEncoder(encode_words, [end_id])
 
 
 class TournamentTree:
@@ -183,7 +103,7 @@ def fill_up(bins: list[list[tuple[int, int, int]]], capacity: int) -> list[list[
             giver -= 1
     if not bins:
         return bins
-    last, left = bins.pop(), sum(piece[2] for piece in bins[-1]) if bins else 0
+    last = bins.pop()
     left = sum(piece[2] for piece in last)
     while left:
         size = 1 << (left.bit_length() - 1)

@@ -65,17 +65,23 @@ def fingerprints_of(texts: list[bytes], shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): a row per document, the fingerprint as a signed long."""
+    """(doc_id, mark, fp): a row per document; mark is a hash of its text, fp the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end in slices(batch.column(1), 2**20):
                 part = batch.slice(begin, end - begin)
-                found = fingerprints_of(binary_list(part.column(1)), shingle)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+                found = pa.array(fingerprints_of(binary_list(part.column(1)), shingle).view(np.int64))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), found], names=["doc_id", "mark", "fp"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_mark(F.col(text)).alias("mark")).mapInArrow(
+        run, f"doc_id {kind}, mark long, fp long"
+    )
+
+
+def text_mark(text: Column) -> Column:
+    return F.xxhash64(F.lit(5), text)
 
 
 def reference_fingerprints() -> list[int]:
@@ -150,11 +156,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): a row per document."""
+    """(doc_id, mark, fp, root, component_id): a row per document; root is the smallest fingerprint of its component."""
     found = cut_lineage(fingerprints(docs, shingle, doc_id, text))
     distinct = cut_lineage(found.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     roots = components(links(distinct, max_bits))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return found.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
+    return found.join(classes, "fp").select("doc_id", "mark", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the smallest id of each component, with all its columns; a null id stays only if all are null."""
+    found = near_duplicates(docs, shingle, max_bits, doc_id, text)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("first")
+    kept = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.mark").alias("kept_mark"))
+    matches = docs[doc_id].eqNullSafe(kept["kept_id"]) & (text_mark(docs[text]) == kept["kept_mark"])
+    chosen = docs.join(kept, matches, "left_semi")
+    # Only rows that agree in id and text can still stand twice.
+    repeated = docs.groupBy(F.col(doc_id), text_mark(F.col(text)).alias("mark")).count().where("count > 1").limit(1).count()
+    if not repeated:
+        return chosen
+    rows = chosen.select(F.struct("*").alias("row"), F.col(doc_id).alias("kept_id"), text_mark(F.col(text)).alias("kept_mark"))
+    return rows.groupBy("kept_id", "kept_mark").agg(F.first("row").alias("row")).select("row.*")
