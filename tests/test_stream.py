@@ -97,7 +97,7 @@ def test_loader_upserts_over_batches(layers, tmp_path):
           (3, None), (4, "{broken"), (5, event(id_activite=3)))
     load(layers, tmp_path)
     assert state(layers) == {1: 10800, 2: 5, 3: 10800}
-    log = layers.read_batches(loader.LOAD_LOG, schemas.PIPELINE_RUNS).orderBy("debut").collect()
+    log = loader.load_log(layers).orderBy("debut").collect()
     assert [(r["statut"], r["nb_lignes"]) for r in log] == [(L.RUN_OK, 2), (L.RUN_OK, 2)]
     assert [r["rejet"] for r in loader.rejected_messages(layers).collect()] == ["{broken"]
 
@@ -109,7 +109,7 @@ def test_replay_of_a_batch_changes_nothing(layers, tmp_path):
               *[(number * 10 + i, event(id_activite=i, distance_m=number)) for i in range(4)])
     load(layers, tmp_path)
     before = state(layers)
-    rows = layers.read_batches(loader.JOURNAL, loader.JOURNAL_SCHEMA).count()
+    rows = loader.journal(layers).count()
     commits = tmp_path / "checkpoint" / "commits"
     last = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
     for lost in (commits / str(last), commits / f".{last}.crc"):
@@ -117,7 +117,7 @@ def test_replay_of_a_batch_changes_nothing(layers, tmp_path):
             lost.unlink()
     load(layers, tmp_path)
     assert state(layers) == before == {i: 2 for i in range(4)}
-    assert layers.read_batches(loader.JOURNAL, loader.JOURNAL_SCHEMA).count() == rows
+    assert loader.journal(layers).count() == rows
 
 
 def test_failing_batch_is_not_committed(layers, tmp_path, monkeypatch):
@@ -150,13 +150,49 @@ def test_compaction_keeps_the_state(layers, tmp_path):
     assert layers.version(loader.ACTIVITIES) == 3 and state(layers) == {1: 9, 2: 10800}
 
 
+@pytest.mark.parametrize("folds", [(), (0,), (0, 1), (1,), (0, 1, 2)])
+def test_new_checkpoints_lose_nothing(layers, tmp_path, folds):
+    """Three checkpoints over one topic, with folds between them; the last offset of an id wins."""
+    expected = {}
+    for number, entries in enumerate([[(5, 1, 50), (9, 2, 90)], [(1, 1, 10), (2, 3, 20)], [(7, 1, 70), (8, 3, 80)]]):
+        lines(tmp_path / "topic", f"{number}.json",
+              *[(offset, event(id_activite=i, distance_m=d)) for offset, i, d in entries])
+        for offset, i, d in entries:
+            expected[i] = max(expected.get(i, (-1, None)), (offset, d))
+        load(layers, tmp_path, checkpoint=f"checkpoint-{number}")
+        if number in folds:
+            loader.compact(layers)
+        assert state(layers) == {i: d for i, (_, d) in expected.items()}
+
+
+def test_folds_expire_batches_and_keep_bad_messages(layers, tmp_path):
+    for number in range(4):
+        lines(tmp_path / "topic", f"{number}.json",
+              (2 * number, event(id_activite=number)), (2 * number + 1, "{broken"))
+        load(layers, tmp_path)
+        loader.compact(layers)
+    assert loader.journal(layers).select("batch").distinct().count() == 1
+    assert loader.rejected_messages(layers).count() == 4 and len(state(layers)) == 4
+    folders = [p.name for p in (tmp_path / "layers" / "raw" / "activites").iterdir()]
+    assert sum(name.startswith("v-") for name in folders) == 2
+
+
+def test_outbox_of_an_earlier_checkpoint_stays(layers, tmp_path):
+    limits = seeds.speed_limits(layers.spark)
+    for number in range(2):
+        lines(tmp_path / f"topic-{number}", "1.json", (number, event(id_activite=number)))
+        stream = sources.from_files(layers.spark, str(tmp_path / f"topic-{number}"))
+        announcer.start_announcer(layers, stream, str(tmp_path / f"c-{number}"), limits).awaitTermination()
+    assert sorted(r["id_activite"] for r in announcer.outbox(layers).collect()) == [0, 1]
+
+
 def test_fold_does_not_shuffle_the_snapshot(layers, tmp_path):
     lines(tmp_path / "topic", "1.json", *[(i, event(id_activite=i)) for i in range(50)])
     load(layers, tmp_path)
     loader.compact(layers)
     lines(tmp_path / "topic", "2.json", (90, event(id_activite=1, distance_m=9)))
     load(layers, tmp_path)
-    unchanged, newest = loader._parts(layers)
+    unchanged, newest = loader._parts(layers, loader.open_batches(layers))
     assert unchanged.count() == 49 and newest.count() == 1
     unchanged.collect()
     out = StringIO()
@@ -209,8 +245,8 @@ def test_announcer_runs_beside_the_loader(layers, tmp_path):
         query = announcer.start_announcer(layers, stream, str(tmp_path / "announced"), limits)
         query.awaitTermination()
         texts = {r["id_activite"]: r["texte"] for r in announcer.outbox(layers).collect()}
-        counted = announcer.counters(layers, query).orderBy("batch_id").collect()
-        return texts, [(r["publies"], r["ignores"]) for r in counted]
+        counted = announcer.counters(layers).collect()
+        return texts, sorted((r["publies"], r["ignores"]) for r in counted)
 
     texts, counted = announce()
     assert texts[1].startswith("Bravo Un collègue !") and counted == [(1, 1)]
@@ -222,7 +258,7 @@ def test_announcer_runs_beside_the_loader(layers, tmp_path):
     lines(tmp_path / "topic", "2.json", (2, event(id_activite=3)), (3, None), (4, "{broken"))
     texts, counted = announce()
     assert texts[3].startswith("Bravo Anne Dupont !") and sorted(texts) == [1, 3]
-    assert counted == [(1, 2)]
+    assert counted == [(1, 1), (1, 2)]
 
 
 def test_batch_without_announcement(layers, spark):
@@ -233,9 +269,9 @@ def test_batch_without_announcement(layers, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         quiet = messages(spark, *[event(source="backfill")] * 20)
-        announcer.announce_batch(layers, quiet, 0, seeds.speed_limits(spark))
-        announcer.announce_batch(layers, quiet.limit(0), 1, seeds.speed_limits(spark))
-        loader.load_batch(layers, quiet.limit(0), 0)
+        announcer.announce_batch(layers, quiet, "q-0", seeds.speed_limits(spark))
+        announcer.announce_batch(layers, quiet.limit(0), "q-1", seeds.speed_limits(spark))
+        loader.load_batch(layers, quiet.limit(0), "q-0")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert announcer.outbox(layers).count() == 0

@@ -62,13 +62,16 @@ def rejected(parsed: DataFrame) -> DataFrame:
 def latest_per_activity(changes: DataFrame) -> DataFrame:
     """The last change of each activity in stream order.
 
-    The key fixes the partition of a message, so the offset orders the changes of one activity.
-    Taking a maximum instead of numbering rows lets every task reduce its rows before the shuffle,
-    whatever the number of changes of one activity.
+    The key fixes the partition of a message, so the offset orders the changes of one activity. Its
+    place is one number, whose maximum every task computes by hashing before the shuffle, whatever the
+    number of changes of one activity; the rows then meet the short list of last places, each by id
+    and place, so that the changes of one activity spread over all tasks. A message that was read
+    twice appears twice.
     """
-    columns = [c for c in changes.columns if c != "id_activite"]
-    newest = F.max_by(F.struct(*columns), F.struct("offset", "partition"))
-    return changes.groupBy("id_activite").agg(newest.alias("c")).select("id_activite", "c.*")
+    place = F.col("offset").cast("decimal(38,0)") * F.lit(2**31) + F.col("partition")
+    placed = changes.withColumn("place", place.cast("decimal(38,0)"))
+    last = placed.groupBy("id_activite").agg(F.max("place").alias("place"))
+    return placed.join(last, ["id_activite", "place"]).select(*changes.columns)
 
 
 def announceable(activities: DataFrame, speed_limits: DataFrame) -> DataFrame:

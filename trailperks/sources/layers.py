@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from trailperks.params import small_table
 
 VERSIONS = T.StructType([
     T.StructField("version", T.LongType()),
-    T.StructField("mark", T.LongType()),
+    T.StructField("folder", T.StringType()),
 ])
 
 
@@ -19,8 +20,8 @@ VERSIONS = T.StructType([
 class Layers:
     """Tables below one root folder, addressed as ``layer.table``.
 
-    A reload writes a new version folder and then records its number. Readers take the newest
-    recorded number, so a failed write leaves the table as it was.
+    A reload writes a new folder and then records it under the next number. Readers take the newest
+    recorded one, so a failed write leaves the table as it was.
     """
 
     spark: SparkSession
@@ -33,48 +34,67 @@ class Layers:
     # --- versioned tables ---------------------------------------------------------------------
 
     def _newest(self, table: str):
-        folder = f"{self.path(table)}/versions"
-        # Create the list of versions unless it exists; nothing runs when it does.
-        self.spark.createDataFrame([], VERSIONS).write.mode("ignore").parquet(folder)
-        recorded = self.spark.read.schema(VERSIONS).parquet(folder)
-        return recorded.orderBy(F.desc("version")).first()
+        recorded = self._read_folder(f"{self.path(table)}/versions", VERSIONS)
+        return recorded.orderBy(F.desc("version"), F.desc("folder")).first()
 
     def version(self, table: str) -> int | None:
         """Newest complete version, or None before the first load."""
         newest = self._newest(table)
         return newest["version"] if newest else None
 
-    def mark(self, table: str) -> int | None:
-        """The mark recorded with the newest version."""
-        newest = self._newest(table)
-        return newest["mark"] if newest else None
-
-    def reload(
+    def stage(
         self, table: str, rows: DataFrame, partition_by: tuple[str, ...] = (),
-        cluster_by: str | None = None, mark: int | None = None,
-    ) -> None:
-        """Replace the whole table, optionally with a mark that says what it covers.
-
-        Before a partitioned write the rows are rebalanced by the partition columns: each task then
-        writes few folders, and adaptive execution splits a folder that would be too large for one
-        task. ``cluster_by`` gives each file a narrow range of that column, so that a bound on it
-        skips files.
+        cluster_by: str | None = None,
+    ) -> str:
+        """Write rows as a candidate for the next version and return its folder.
+
+        Every call writes a folder of its own, so two writers never share one. Before a partitioned
+        write the rows are rebalanced by the partition columns: each task then writes few folders, and
+        adaptive execution splits a folder that would be too large for one task. ``cluster_by`` gives
+        each file a narrow range of that column, so that a bound on it skips files.
         """
-        version = (self.version(table) or 0) + 1
         if partition_by:
             rows = rows.hint("rebalance", *partition_by)
         if cluster_by:
             rows = rows.repartitionByRange(F.col(cluster_by))
-        writer = rows.write.mode("overwrite").partitionBy(*partition_by)
-        writer.parquet(f"{self.path(table)}/v{version:08d}")
-        recorded = small_table(self.spark, [(version, mark)], VERSIONS)
+        folder = f"v-{uuid.uuid4().hex}"
+        rows.write.partitionBy(*partition_by).parquet(f"{self.path(table)}/{folder}")
+        return folder
+
+    def staged(self, table: str, folder: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path(table)}/{folder}")
+
+    def publish(self, table: str, folder: str) -> int:
+        """Make a staged folder the newest version."""
+        version = (self.version(table) or 0) + 1
+        recorded = small_table(self.spark, [(version, folder)], VERSIONS)
         recorded.write.mode("append").parquet(f"{self.path(table)}/versions")
+        return version
+
+    def reload(
+        self, table: str, rows: DataFrame, partition_by: tuple[str, ...] = (),
+        cluster_by: str | None = None,
+    ) -> int:
+        """Replace the whole table."""
+        return self.publish(table, self.stage(table, rows, partition_by, cluster_by))
+
+    def expire(self, table: str, keep: int = 2) -> None:
+        """Delete the folders of all but the newest versions."""
+        recorded = self._read_folder(f"{self.path(table)}/versions", VERSIONS)
+        newest = self.version(table) or 0
+        for row in recorded.where(F.col("version") <= newest - keep).collect():
+            self.delete(f"{self.path(table)}/{row['folder']}")
+
+    def delete(self, folder: str) -> None:
+        """Delete a folder of this store; a missing one is no error."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def read(self, table: str) -> DataFrame:
-        version = self.version(table)
-        if version is None:
+        newest = self._newest(table)
+        if newest is None:
             raise KeyError(table)
-        return self.spark.read.parquet(f"{self.path(table)}/v{version:08d}")
+        return self.staged(table, newest["folder"])
 
     def read_or_empty(self, table: str, schema: T.StructType) -> DataFrame:
         """The table, or no rows before its first load."""
@@ -95,18 +115,27 @@ class Layers:
 
     # --- batch folders ------------------------------------------------------------------------
 
-    def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """Write the folder of one micro-batch; writing it again replaces it."""
-        rows.write.mode("overwrite").parquet(f"{self.path(table)}/batches/batch_id={batch_id}")
+    def _batch(self, table: str, batch: str) -> str:
+        return f"{self.path(table)}/batches/batch={batch}"
 
-    def read_batch(self, table: str, batch_id: int, schema: T.StructType) -> DataFrame:
-        """One batch folder, without listing the others."""
-        folder = f"{self.path(table)}/batches/batch_id={batch_id}"
-        return self.spark.read.schema(schema).parquet(folder)
+    def write_batch(self, table: str, rows: DataFrame, batch: str) -> None:
+        """Write the folder of one micro-batch; writing it again replaces it."""
+        rows.write.mode("overwrite").parquet(self._batch(table, batch))
+
+    def read_batches(
+        self, table: str, schema: T.StructType, batches: list[str] | None = None
+    ) -> DataFrame:
+        """The given batch folders, or all of them, with the name of the folder as ``batch``."""
+        root = f"{self.path(table)}/batches"
+        if batches is None:
+            return self._read_folder(root, schema)
+        if not batches:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        return reader.parquet(*[self._batch(table, batch) for batch in batches])
 
-    def read_batches(self, table: str, schema: T.StructType) -> DataFrame:
-        """All batch folders; a condition on ``batch_id`` selects folders."""
-        return self._read_folder(f"{self.path(table)}/batches", schema)
+    def delete_batch(self, table: str, batch: str) -> None:
+        self.delete(self._batch(table, batch))
 
     def _read_folder(self, path: str, schema: T.StructType) -> DataFrame:
         try:

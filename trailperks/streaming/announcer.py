@@ -11,8 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trailperks import schemas
 from trailperks.operators.changes import accepted, announcements, parse
+from trailperks.params import small_table
 from trailperks.sources.layers import Layers
 from trailperks.sources.reference_files import names_directory
+from trailperks.streaming.batches import start_batches
 
 OUTBOX = "notifications.messages"
 SALARIES = "raw.salaries"
@@ -20,20 +22,29 @@ SALARIES = "raw.salaries"
 OUTBOX_SCHEMA = T.StructType([
     T.StructField("id_activite", T.LongType()),
     T.StructField("texte", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
+    T.StructField("batch", T.StringType()),
+])
+# Messages of each batch: read, and announced.
+COUNTS = "monitoring.annonces"
+COUNTS_SCHEMA = T.StructType([
+    T.StructField("lus", T.LongType()), T.StructField("publies", T.LongType()),
 ])
 
 
 def announce_batch(
-    layers: Layers, batch: DataFrame, batch_id: int, speed_limits: DataFrame
+    layers: Layers, batch: DataFrame, name: str, speed_limits: DataFrame
 ) -> None:
-    """Write the texts of one micro-batch.
+    """Write the texts of one micro-batch, and how many of its messages gave one.
 
     Names are read again for every batch, so new employees are known at once; before the first
     ingestion there are none and the fallback name is used.
     """
     names = names_directory(layers.read_or_empty(SALARIES, schemas.RAW_SALARIES))
-    layers.write_batch(OUTBOX, preview(batch, speed_limits, names), batch_id)
+    layers.write_batch(OUTBOX, preview(batch, speed_limits, names), name)
+    # The first count reads the messages without parsing them, the second the footers of the new files.
+    told = layers.read_batches(OUTBOX, OUTBOX_SCHEMA, [name]).count()
+    counts = small_table(layers.spark, [(batch.count(), told)], COUNTS_SCHEMA)
+    layers.write_batch(COUNTS, counts, name)
 
 
 def start_announcer(
@@ -41,31 +52,21 @@ def start_announcer(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Announce the stream; without an interval, announce what is there and stop."""
-    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: announce_batch(layers, batch, batch_id, speed_limits)
-    )
-    writer = (
-        writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return start_batches(
+        messages, checkpoint,
+        lambda batch, name: announce_batch(layers, batch, name, speed_limits), interval,
     )
-    return writer.start()
 
 
 def outbox(layers: Layers) -> DataFrame:
     return layers.read_batches(OUTBOX, OUTBOX_SCHEMA)
 
 
-def counters(layers: Layers, query: StreamingQuery) -> DataFrame:
-    """Announced and ignored messages per batch of a running or ended query.
-
-    Spark counts the messages of a batch as it reads them; the texts are counted in the outbox.
-    """
-    read = [(p["batchId"], p["numInputRows"]) for p in query.recentProgress if p["numInputRows"]]
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("batch_id", "lus")])
-    batches = layers.spark.createDataFrame(read, schema)
-    told = outbox(layers).groupBy("batch_id").agg(F.count(F.lit(1)).alias("publies"))
-    published = F.coalesce("publies", F.lit(0))
-    return batches.join(told, "batch_id", "left").select(
-        "batch_id", published.alias("publies"), (F.col("lus") - published).alias("ignores")
+def counters(layers: Layers) -> DataFrame:
+    """Announced and ignored messages of every batch ever run."""
+    schema = T.StructType([*COUNTS_SCHEMA.fields, T.StructField("batch", T.StringType())])
+    return layers.read_batches(COUNTS, schema).select(
+        "batch", "publies", (F.col("lus") - F.col("publies")).alias("ignores")
     )
 
 
