@@ -27,6 +27,7 @@ from trailperks.llm.encoding import WordEncoder
 
 GROUP_BYTES = 8 * 1024**2
 SLICE_BYTES = 2 * 1024**2
+WORDS_PER_CALL = 10_000
 
 
 @lru_cache(maxsize=2)
@@ -37,10 +38,14 @@ def encoder(path: str, end_id: int) -> WordEncoder:
     tokenizer.encode_special_tokens = True
 
     def encode_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # One call takes all words, as texts of their own.
-        encoded = tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
-        lengths = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(texts))
-        return np.array(encoded.ids, dtype="<u4"), lengths
+        ids, lengths = [], []
+        for at in range(0, len(texts), WORDS_PER_CALL):
+            # One call takes many words, as texts of their own.
+            part = texts[at : at + WORDS_PER_CALL]
+            encoded = tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            lengths.append(np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(part)))
+            ids.append(np.array(encoded.ids, dtype="<u4"))
+        return np.concatenate(ids), np.concatenate(lengths)
 
     return WordEncoder(encode_words, [end_id])
 

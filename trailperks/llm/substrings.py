@@ -32,7 +32,7 @@ from trailperks.llm.common import binary_list, shuffle_partitions, text_bytes, w
 from trailperks.llm.words import Words, flat, in_buckets, lists, words_of
 
 PERIOD, COVER = 13, (0, 1, 3, 9)
-BUCKET_BYTES, PART_BYTES = 8 * 1024**2, 32 * 1024**2
+BUCKET_BYTES, PART_BYTES = 6 * 1024**2, 32 * 1024**2
 LAST_ID = 2**63 - 1
 
 
@@ -55,7 +55,7 @@ class Bucket:
         self.words: Words = words_of(self.texts)
         self.window = window
         self.places = self.words.places
-        self.left = np.repeat(self.words.counts, self.words.counts) - self.places
+        self.left = np.repeat(self.words.counts.astype(np.int32), self.words.counts) - self.places
 
     def anchors(self) -> np.ndarray:
         """Positions of anchors in documents that hold a window."""

@@ -73,12 +73,12 @@ class Words:
     @property
     def documents(self) -> np.ndarray:
         """The document of each word."""
-        return np.repeat(np.arange(len(self.counts)), self.counts)
+        return np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
 
     @property
     def places(self) -> np.ndarray:
         """The position of each word in its document."""
-        return np.arange(len(self.hashes)) - np.repeat(self.firsts, self.counts)
+        return np.arange(len(self.hashes), dtype=np.int32) - np.repeat(self.firsts.astype(np.int32), self.counts)
 
     def runs(self, length: int, lane: int = 0) -> np.ndarray:
         """Hash of the ``length`` words from each position on; meaningless where the document ends before."""
