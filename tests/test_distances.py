@@ -98,10 +98,27 @@ def test_answers(spark):
     }
 
 
-def test_lot_without_answer(spark):
-    numbered = distances.lots(trips(spark, [(1, "a", "WALK")]))
-    none = spark.createDataFrame([], "mode_api string, lot long, reponse string")
-    assert distances.parse_answers(numbered, none).first()["statut"] == "SANS_REPONSE"
+def test_lots_without_a_readable_answer(spark):
+    """They give no rows, so that stored distances stay, and are listed with the reason."""
+    numbered = distances.lots(trips(spark, [(n, "a", mode) for n, mode in enumerate(["WALK", "BICYCLE"] * 60)]))
+    page, cut = '{"error": {"code": 503}}', '[{"originIndex": 0, "dis'
+    answers = spark.createDataFrame(
+        [("WALK", 0, "[]"), ("WALK", 1, page), ("BICYCLE", 0, cut), ("BICYCLE", 2, None)],
+        "mode_api string, lot long, reponse string",
+    )
+    assert {r["statut"] for r in distances.parse_answers(numbered, answers).collect()} == {"SANS_REPONSE"}
+    assert distances.parse_answers(numbered, answers).count() == 25
+    found = {(r["mode_api"], r["lot"]): (r["trajets"], r["motif"]) for r in distances.quarantined(numbered, answers).collect()}
+    assert found == {
+        ("WALK", 1): (25, "illisible"), ("WALK", 2): (10, "absente"), ("BICYCLE", 0): (25, "illisible"),
+        ("BICYCLE", 1): (25, "absente"), ("BICYCLE", 2): (10, "absente"),
+    }
+
+
+def test_trips_without_id_come_last(spark):
+    numbered = distances.lots(trips(spark, [(None, "z", "WALK"), (5, "a", "WALK"), (70000, "b", "WALK")]))
+    places = {r["id_salarie"]: (r["lot"], r["position"]) for r in numbered.collect()}
+    assert places == {5: (0, 0), 70000: (0, 1), None: (0, 2)}
 
 
 def test_upsert(spark):

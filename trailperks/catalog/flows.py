@@ -4,8 +4,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from trailperks import schemas
-from trailperks.catalog.oracle import oracle
+from trailperks import labels as L, schemas
+from trailperks.catalog.oracle import oracle, quoted
 from trailperks.catalog.registry import query
 from trailperks.operators import changes, distances, simulation
 from trailperks.operators.joins import count_by
@@ -58,14 +58,18 @@ def ingest_sports(t: TestTables):
 
 
 @query("ingest_duplicate_ids", oracle("""
-SELECT CAST(id_salarie AS VARCHAR) AS id, count(*) AS n
+SELECT id_salarie AS id, count(*) AS n
 FROM (SELECT id_salarie FROM raw_salaries
   UNION ALL SELECT id_salarie FROM raw_salaries WHERE jours_cp = 25 AND type_contrat = 'CDD')
 GROUP BY 1 HAVING count(*) > 1"""))
 def ingest_duplicate_ids(t: TestTables):
     frame = hr_file(t)
     repeated = frame.unionByName(frame.where(F.col("Type de contrat") == "CDD"))
-    return files.duplicated_ids(repeated, files.HR_FILE).withColumnRenamed("ID salarié", "id")
+    return files.duplicated_ids(repeated, files.HR_FILE)
+
+
+def key_of(header: str):
+    return F.col(f"`{header}`")
 
 
 @query("ingest_validate", oracle("""
@@ -74,9 +78,14 @@ UNION ALL SELECT 'colonne absente', NULL, 'missing columns: [''Nom'']'
 UNION ALL SELECT 'vide', NULL, 'the file has no rows'
 UNION ALL SELECT 'sans identifiant', NULL, concat(count(*), ' rows without id')
 FROM raw_salaries WHERE type_contrat = 'CDD'
-UNION ALL SELECT 'repetition', NULL, '1 repeated ids: [''6'']'"""))
+UNION ALL SELECT 'identifiant illisible', NULL, concat(count(*), ' rows with an unreadable id')
+FROM raw_salaries WHERE type_contrat = 'CDD'
+UNION ALL SELECT 'blancs', NULL, concat(count(*), ' rows without id')
+FROM raw_salaries WHERE type_contrat = 'CDD'
+UNION ALL SELECT 'repetition', NULL, concat(count(*), ' repeated ids') FROM (
+  SELECT id_salarie % 6 FROM raw_salaries GROUP BY 1 HAVING count(*) > 1)"""))
 def ingest_validate(t: TestTables):
-    """The structural checks over the HR file and four spoiled forms of it."""
+    """The structural checks over the HR file and spoiled forms of it; ids count as they are stored."""
     frame, key = hr_file(t), "ID salarié"
     fixed_term = F.col("Type de contrat") == "CDD"
     cases = {
@@ -84,14 +93,21 @@ def ingest_validate(t: TestTables):
         "colonne absente": frame.drop("Nom"),
         "vide": frame.where("false"),
         "sans identifiant": frame.withColumn(key, F.when(~fixed_term, F.col(key))),
-        "repetition": frame.withColumn(key, F.when(F.col(key) == "12", "6").otherwise(F.col(key))),
+        "identifiant illisible": frame.withColumn(
+            key, F.when(fixed_term, F.concat(key_of(key), F.lit("x"))).otherwise(key_of(key))
+        ),
+        "blancs": frame.withColumn(key, F.when(fixed_term, "  ").otherwise(key_of(key))),
+        # Six numbers, written with blanks and leading zeros.
+        "repetition": frame.withColumn(key, F.concat(
+            F.lit(" "), F.lpad((key_of(key).cast("int") % 6).cast("string"), 3, "0"),
+        )),
     }
     rows = []
     for name, case in cases.items():
         try:
             rows.append((name, files.validate(case, files.HR_FILE), None))
         except files.InvalidFileError as refusal:
-            rows.append((name, None, str(refusal)))
+            rows.append((name, None, refusal.reason))
     return t.spark.createDataFrame(rows, "cas string, lignes long, refus string")
 
 
@@ -220,22 +236,45 @@ COMPUTED = """
     FROM lots"""
 
 
-@query("geo_parse_matrix", flow(COMPUTED, TRIPS))
+# Every seventh lot has no answer, every eleventh an error page.
+def some_answers(numbered: DataFrame) -> DataFrame:
+    lot = F.col("lot")
+    page = F.lit('{"error": {"code": 503, "message": "unavailable"}}')
+    broken = F.lit('[{"originIndex": 0, "distanceMe')
+    return answers(numbered).where(lot % 7 != 3).withColumn(
+        "reponse", F.when(lot % 11 == 5, page).when(lot % 11 == 7, broken).otherwise(F.col("reponse"))
+    )
+
+
+READABLE = "lot % 7 <> 3 AND lot % 11 NOT IN (5, 7)"
+
+
+@query("geo_parse_matrix", flow(f"{COMPUTED} WHERE {READABLE}", TRIPS))
 def geo_parse_matrix(t: TestTables):
     numbered = numbered_trips(t, force=True)
-    return distances.parse_answers(numbered, answers(numbered))
+    return distances.parse_answers(numbered, some_answers(numbered))
+
+
+@query("geo_quarantine", flow("""
+SELECT mode_api, lot, count(*) AS trajets,
+  CASE lot % 7 WHEN 3 THEN 'absente' ELSE 'illisible' END AS motif
+FROM lots WHERE lot % 7 = 3 OR lot % 11 IN (5, 7) GROUP BY mode_api, lot""", TRIPS))
+def geo_quarantine(t: TestTables):
+    """Lots that no answer or no readable answer covers."""
+    numbered = numbered_trips(t, force=True)
+    return distances.quarantined(numbered, some_answers(numbered)).drop("reponse")
 
 
 @query("geo_upsert", flow(f"""
 SELECT id_salarie, adresse, mode_api, distance_m, duree_s, statut,
   strftime(calcule_le, '%Y-%m-%d %H:%M:%S') AS calcule_le
-FROM raw_distances WHERE id_salarie NOT IN (SELECT id_salarie FROM lots)
+FROM raw_distances WHERE id_salarie NOT IN (SELECT id_salarie FROM lots WHERE {READABLE})
 UNION ALL
-SELECT *, '2024-01-31 00:00:00' FROM ({COMPUTED})"""))
+SELECT *, '2024-01-31 00:00:00' FROM ({COMPUTED} WHERE {READABLE})""", TRIPS))
 def geo_upsert(t: TestTables):
-    """The stored distances after the open trips were computed."""
-    numbered = numbered_trips(t, force=False)
-    computed = cut_lineage(distances.parse_answers(numbered, answers(numbered)))
+    """The stored distances after all trips were asked for; those of unanswered lots stay."""
+    numbered = numbered_trips(t, force=True)
+    computed = cut_lineage(distances.parse_answers(numbered, some_answers(numbered)))
     return distances.upsert(t.distances, computed, AS_OF_TIME)
 
 
@@ -403,26 +442,39 @@ SPEED = (
     + "::DOUBLE / 3600)), '.', ',')"
 )
 NAME = "concat(trim(prenom), ' ', trim(nom))"
+SPORT = "lower(a.type_activite)"
+OF_SPORT = (
+    f"concat(if(left({SPORT}, 1) IN ({quoted(L.ELISION_LETTERS)}), concat('d', chr(39)), 'de '), "
+    f"{SPORT})"
+)
+
+
+def filled(template: str) -> str:
+    """SQL that fills one of the fixed sentences."""
+    values = {
+        "nom": NAME, "distance": DISTANCE, "duree": DURATION, "de_sport": OF_SPORT,
+        "vitesse": f"concat({SPEED}, ' km/h')",
+    }
+    out = f"'{template}'"
+    for field, value in values.items():
+        if f"{{{field}}}" in template:
+            out = f"replace({out}, '{{{field}}}', {value})"
+    return out
+
+
+SENTENCES = ", ".join(
+    f"'{sport}': {filled(template)}" for sport, template in L.SENTENCES_WITH_DISTANCE.items()
+)
 TEXT_SQL = f"""
 SELECT a.id_activite, concat(
-  CASE WHEN coalesce(a.distance_m, 0) = 0
-      THEN concat('Bravo ', {NAME}, ' ! ', {DURATION}, CASE a.type_activite
-        WHEN 'Escalade' THEN ' d''escalade' ELSE concat(' de ', lower(a.type_activite)) END,
-        ', quelle séance !')
-    ELSE concat(CASE a.type_activite
-      WHEN 'Course à pied' THEN concat('Bravo ', {NAME}, ' ! Tu viens de courir ', {DISTANCE},
-        ' en ', {DURATION}, ' ! Quelle énergie !')
-      WHEN 'Vélo' THEN concat('Belle sortie ', {NAME}, ' ! ', {DISTANCE}, ' à vélo en ', {DURATION})
-      WHEN 'Natation' THEN concat('Splash ! ', {NAME}, ' vient de nager ', {DISTANCE}, ' en ',
-        {DURATION})
-      WHEN 'Marche' THEN concat('Bien joué ', {NAME}, ' ! ', {DISTANCE}, ' de marche en ',
-        {DURATION})
-      ELSE concat('Bravo ', {NAME}, ' ! ', {DISTANCE}, ' d''escalade en ', {DURATION}, ' !') END,
-      ' — ', {SPEED}, ' km/h de moyenne') END,
-  CASE WHEN a.commentaire <> '' THEN concat(' ("', a.commentaire, '")') ELSE '' END) AS texte
+  if(coalesce(a.distance_m, 0) = 0, {filled(L.SENTENCE_WITHOUT_DISTANCE)},
+    concat(coalesce(MAP {{{SENTENCES}}}[a.type_activite], {filled(L.SENTENCE_OTHER_SPORT)}),
+      {filled(L.SPEED_SUFFIX)})),
+  if(a.commentaire <> '', concat(' ("', a.commentaire, '")'), '')) AS texte
 FROM raw_activites a JOIN stg_activites v ON v.id_activite = a.id_activite
 LEFT JOIN raw_salaries s ON s.id_salarie = a.id_salarie
-WHERE a.operation = 'c' AND a.source IN ('live', 'strava') AND v.est_valide"""
+WHERE a.operation IN ({quoted(L.ANNOUNCED_OPERATIONS)})
+  AND a.source IN ({quoted(L.ANNOUNCED_SOURCES)}) AND v.est_valide"""
 
 
 @query("announce_filter", oracle("""

@@ -139,6 +139,25 @@ def wellness_days(t: TestTables):
     return benefits.select("id_salarie", "nb_activites", "jours_bien_etre", "cout_bien_etre")
 
 
+FINE = Params(taux_prime="0.0333333333", nb_jours_bien_etre="2.125", jours_travailles_an="217.5")
+
+
+@query("bonus_fine_rate", oracle("""
+SELECT id_salarie, montant_prime FROM avantages_salaries WHERE eligible_prime""", FINE))
+def bonus_fine_rate(t: TestTables):
+    """Bonuses at a rate of ten decimals."""
+    return t.benefits(FINE).where("eligible_prime").select("id_salarie", "montant_prime")
+
+
+@query("wellness_fractions", oracle("""
+SELECT id_salarie, nb_activites, jours_bien_etre, cout_bien_etre
+FROM avantages_salaries WHERE eligible_bien_etre""", FINE))
+def wellness_fractions(t: TestTables):
+    """Parts of days granted, and worked days with a fraction."""
+    benefits = t.benefits(FINE).where("eligible_bien_etre")
+    return benefits.select("id_salarie", "nb_activites", "jours_bien_etre", "cout_bien_etre")
+
+
 @query("kpi_summary", oracle("SELECT * FROM kpi_synthese"))
 def kpi_summary(t: TestTables):
     return t.kpi()

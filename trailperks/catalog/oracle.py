@@ -13,13 +13,13 @@ def quoted(values) -> str:
     return ", ".join("NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
-def half_up(numerator: str, denominator: str, digits: int) -> str:
+def half_up(numerator: str, denominator: str, digits: int, kind: str = "BIGINT") -> str:
     """Rounding half away from zero of an integer ratio."""
     scale = 10**digits
     value = (
-        f"(sign(CAST({numerator} AS BIGINT)) * sign(CAST({denominator} AS BIGINT)) * "
-        f"((2 * abs(CAST({numerator} AS BIGINT)) * {scale} + abs(CAST({denominator} AS BIGINT))) // "
-        f"(2 * abs(CAST({denominator} AS BIGINT)))))"
+        f"(sign(CAST({numerator} AS {kind})) * sign(CAST({denominator} AS {kind})) * "
+        f"((2 * abs(CAST({numerator} AS {kind})) * {scale} + abs(CAST({denominator} AS {kind}))) // "
+        f"(2 * abs(CAST({denominator} AS {kind})))))"
     )
     return f"CAST({value} AS DOUBLE) / {scale}.0" if digits else f"CAST({value} AS BIGINT)"
 
@@ -116,28 +116,26 @@ QUALITY_CHECKS = """
       l_quantity AS valeur
     FROM lineitem"""
 
-AGE = f"""(year({AS_OF}) - year(date_naissance)
-        - CASE WHEN strftime({AS_OF}, '%m%d') < strftime(date_naissance, '%m%d') THEN 1 ELSE 0 END)"""
+# Complete years, and the position of their band in the list of bands.
+AGE = f"date_sub('year', date_naissance, {AS_OF})"
+BANDS = quoted([label for _, label in L.AGE_BANDS] + [L.AGE_BAND_LAST])
+ROUTES = ", ".join(f"('{label}', '{mode}')" for label, mode in L.ROUTE_MODES.items())
 
 STG_SALARIES = f"""
     SELECT id_salarie, trim(nom) AS nom, trim(prenom) AS prenom, date_naissance,
       CAST({AGE} AS INTEGER) AS age,
-      CASE WHEN {AGE} < 30 THEN '< 30 ans' WHEN {AGE} < 40 THEN '30-39 ans'
-        WHEN {AGE} < 50 THEN '40-49 ans' WHEN {AGE} < 60 THEN '50-59 ans'
-        ELSE '60 ans et +' END AS tranche_age,
+      [{BANDS}][greatest(1, least(5, {AGE} // 10 - 1))] AS tranche_age,
       trim(bu) AS bu, date_embauche, salaire_brut, trim(type_contrat) AS type_contrat, jours_cp,
       adresse, trim(moyen_deplacement) AS moyen_deplacement,
-      trim(moyen_deplacement) IN ('Marche/running', 'Vélo/Trottinette/Autres') AS trajet_sportif,
-      CASE trim(moyen_deplacement) WHEN 'Marche/running' THEN 'WALK'
-        WHEN 'Vélo/Trottinette/Autres' THEN 'BICYCLE' END AS mode_api
-    FROM raw_salaries"""
+      coalesce(route IS NOT NULL, false) AS trajet_sportif, route AS mode_api
+    FROM raw_salaries LEFT JOIN (VALUES {ROUTES}) AS routes(libelle, route)
+      ON libelle = trim(moyen_deplacement)"""
 
 STG_SPORTS = """
-    SELECT id_salarie,
-      CASE trim(pratique_sport) WHEN 'Runing' THEN 'Course à pied'
-        ELSE nullif(trim(pratique_sport), '') END AS sport_declare,
-      nullif(trim(pratique_sport), '') IS NOT NULL AS pratique_declaree
-    FROM raw_sports"""
+    SELECT id_salarie, coalesce(juste, declare) AS sport_declare,
+      declare IS NOT NULL AS pratique_declaree
+    FROM (SELECT id_salarie, nullif(trim(pratique_sport), '') AS declare FROM raw_sports)
+    LEFT JOIN (VALUES ('Runing', 'Course à pied')) AS corrections(lu, juste) ON lu = declare"""
 
 STG_DISTANCES = f"""
     SELECT id_salarie, adresse AS adresse_calculee, mode_api,
@@ -155,13 +153,15 @@ STG_ACTIVITIES = f"""
       {half_up(MICROS, "60000000", 1)} AS duree_min,
       {half_up("distance_m * CAST(3600000 AS BIGINT)", f"nullif({MICROS}, 0)", 1)} AS vitesse_kmh,
       commentaire, source,
-      (date_fin > date_debut
-        AND {MICROS} < 86400000000
-        AND (distance_m IS NULL OR distance_m BETWEEN 0 AND 300000)
-        AND (distance_m IS NULL OR vitesse_max_kmh IS NULL
-          OR CAST(distance_m AS BIGINT) * 3600000 <= CAST(vitesse_max_kmh AS BIGINT) * {MICROS})
-      ) AS est_valide
-    FROM raw_activites LEFT JOIN vitesses_max USING (type_activite)"""
+      CASE WHEN len([r FOR r IN regles IF NOT r]) > 0 THEN false
+        WHEN len([r FOR r IN regles IF r IS NULL]) = 0 THEN true END AS est_valide
+    FROM (SELECT *, [
+        date_fin > date_debut,
+        {MICROS} / 3600000000.0::DOUBLE < 24,
+        coalesce(distance_m >= 0 AND distance_m <= 300000, true),
+        coalesce(distance_m::HUGEINT * 3600 * 1000 <= vitesse_max_kmh::HUGEINT * {MICROS}, true)
+      ] AS regles
+    FROM raw_activites LEFT JOIN vitesses_max USING (type_activite))"""
 
 MART_ACTIVITIES = """
     SELECT id_activite, a.id_salarie, date_activite,
@@ -174,71 +174,94 @@ MART_ACTIVITIES = """
     LEFT JOIN stg_sports p ON p.id_salarie = a.id_salarie"""
 
 
+def whole(value) -> tuple[int, int]:
+    """A decimal as a ratio of whole numbers."""
+    return value.as_integer_ratio()
+
+
 def benefits_sql(params: Params) -> str:
-    days, worked = params.nb_jours_bien_etre, params.jours_travailles_an
-    wellness = half_up(f"salaire_brut * {days}", f"{worked}", 2)
-    bonus_cents = int(params.taux_prime * 10000)
-    bonus = half_up(f"salaire_brut * {bonus_cents}", "10000", 2)
+    """One row per employee: facts first, then the outcome by its place in a list of outcomes."""
+    (days, per_days), (worked, per_worked) = whole(params.nb_jours_bien_etre), whole(params.jours_travailles_an)
+    rate, per_rate = whole(params.taux_prime)
+    bonus = half_up(f"(salaire_brut::HUGEINT * {rate})", f"{per_rate}", 2, "HUGEINT")
+    wellness = half_up(f"(salaire_brut::HUGEINT * {days * per_worked})", f"{worked * per_days}", 2, "HUGEINT")
+    limits = f"MAP {{'WALK': {params.seuil_marche_km}, 'BICYCLE': {params.seuil_velo_km}}}"
+    counted = f"""
+      SELECT id_salarie, count(*) AS nb_activites
+      FROM stg_activites SEMI JOIN stg_salaries USING (id_salarie)
+      WHERE est_valide AND date_diff('day', date_activite, {AS_OF}) <= {int(params.periode_jours)}
+      GROUP BY id_salarie"""
+    facts = f"""
+      SELECT e.*, p.sport_declare, coalesce(p.pratique_declaree, false) AS pratique_declaree,
+        d.distance_km, {limits}[e.mode_api] AS seuil_km, coalesce(n.nb_activites, 0)
+          - coalesce(trop_tot.n, 0) AS nb_activites,
+        coalesce(d.distance_km IS NOT NULL AND coalesce(d.statut_api = 'ROUTE_EXISTS', true)
+          AND (d.mode_api, d.adresse_calculee) IS NOT DISTINCT FROM (e.mode_api, e.adresse), false)
+          AS mesure,
+        coalesce(d.distance_km <= {limits}[e.mode_api], false) AS proche
+      FROM stg_salaries e
+      LEFT JOIN stg_sports p USING (id_salarie)
+      LEFT JOIN stg_distances d USING (id_salarie)
+      LEFT JOIN ({counted}) n USING (id_salarie)
+      LEFT JOIN (
+        SELECT id_salarie, count(*) AS n FROM stg_activites JOIN stg_salaries USING (id_salarie)
+        WHERE est_valide AND date_diff('day', date_activite, {AS_OF}) <= {int(params.periode_jours)}
+          AND date_embauche > date_activite GROUP BY id_salarie) trop_tot USING (id_salarie)"""
     return f"""
     SELECT id_salarie, bu, tranche_age, type_contrat, date_embauche, sport_declare,
       pratique_declaree, moyen_deplacement, trajet_sportif, CAST(distance_km AS DOUBLE) AS distance_km,
       CAST(seuil_km AS DOUBLE) AS seuil_km, statut_declaration,
-      statut_declaration = 'conforme' AS eligible_prime,
-      CASE WHEN statut_declaration = 'conforme' THEN {bonus} ELSE 0.0 END AS montant_prime,
-      nb_activites,
-      nb_activites >= {params.nb_activites_min} AS eligible_bien_etre,
-      CASE WHEN nb_activites >= {params.nb_activites_min}
-        THEN CAST({days} AS DOUBLE) ELSE 0.0 END AS jours_bien_etre,
-      CASE WHEN nb_activites >= {params.nb_activites_min} THEN {wellness} ELSE 0.0 END
-        AS cout_bien_etre,
+      prime AS eligible_prime, if(prime, {bonus}, 0.0) AS montant_prime,
+      nb_activites, assidu AS eligible_bien_etre,
+      if(assidu, CAST({params.nb_jours_bien_etre} AS DOUBLE), 0.0) AS jours_bien_etre,
+      if(assidu, {wellness}, 0.0) AS cout_bien_etre,
       salaire_brut
     FROM (
-      SELECT s.*, sport_declare, coalesce(pratique_declaree, false) AS pratique_declaree,
-        distance_km,
-        CASE s.mode_api WHEN 'WALK' THEN {params.seuil_marche_km}
-          WHEN 'BICYCLE' THEN {params.seuil_velo_km} END AS seuil_km,
-        CASE WHEN NOT trajet_sportif THEN 'non concerné'
-          WHEN distance_km IS NULL OR statut_api <> 'ROUTE_EXISTS'
-            OR d.mode_api IS DISTINCT FROM s.mode_api
-            OR adresse_calculee IS DISTINCT FROM adresse THEN 'non vérifiée'
-          WHEN distance_km <= CASE s.mode_api WHEN 'WALK' THEN {params.seuil_marche_km}
-            ELSE {params.seuil_velo_km} END THEN 'conforme'
-          ELSE 'suspecte' END AS statut_declaration,
-        coalesce(nb_activites, 0) AS nb_activites
-      FROM stg_salaries s
-      LEFT JOIN stg_sports p ON p.id_salarie = s.id_salarie
-      LEFT JOIN stg_distances d ON d.id_salarie = s.id_salarie
-      LEFT JOIN (
-        SELECT a.id_salarie, count(*) AS nb_activites
-        FROM stg_activites a JOIN stg_salaries e ON e.id_salarie = a.id_salarie
-        WHERE est_valide AND date_activite >= {AS_OF} - {int(params.periode_jours)}
-          AND date_activite >= date_embauche
-        GROUP BY 1) n ON n.id_salarie = s.id_salarie)"""
+      SELECT *, trajet_sportif AND mesure AND proche AS prime,
+        nb_activites >= {params.nb_activites_min} AS assidu,
+        [{quoted([L.NOT_CONCERNED, L.NOT_VERIFIED, L.SUSPECT, L.COMPLIANT])}][
+          1 + trajet_sportif::INTEGER * (1 + mesure::INTEGER * (1 + proche::INTEGER))]
+          AS statut_declaration
+      FROM ({facts}))"""
+
+
+# Measure of the summary -> what an employee adds to it.
+ADDED = {
+    "nb_salaries": "1",
+    "nb_sportifs_declares": "pratique_declaree::INTEGER",
+    "nb_trajets_sportifs": "trajet_sportif::INTEGER",
+    "nb_declarations_suspectes": f"(statut_declaration = '{L.SUSPECT}')::INTEGER",
+    "nb_declarations_non_verifiees": f"(statut_declaration = '{L.NOT_VERIFIED}')::INTEGER",
+    "nb_eligibles_prime": "eligible_prime::INTEGER",
+    "nb_eligibles_bien_etre": "eligible_bien_etre::INTEGER",
+}
 
 
 def kpi_sql(params: Params, benefits: str = "avantages_salaries") -> str:
+    """The summary from one long table of measures, turned into columns at the end."""
+    long = ", ".join(f"{{'m': '{name}', 'v': {value}}}" for name, value in ADDED.items())
+    counts = ", ".join(f"coalesce(max(total) FILTER (m = '{name}'), 0)::BIGINT AS {name}" for name in ADDED)
+    recent = f"date_diff('day', date_activite, {AS_OF}) <= {int(params.periode_jours)}"
+    used = {
+        "taux_prime": params.taux_prime, "seuil_marche_km": params.seuil_marche_km,
+        "seuil_velo_km": params.seuil_velo_km, "nb_activites_min": params.nb_activites_min,
+        "nb_jours_bien_etre_par_salarie": params.nb_jours_bien_etre,
+    }
+    constants = ", ".join(f"CAST({value} AS DOUBLE) AS {name}" for name, value in used.items())
     return f"""
-    SELECT count(*) AS nb_salaries,
-      count(*) FILTER (WHERE pratique_declaree) AS nb_sportifs_declares,
-      count(*) FILTER (WHERE trajet_sportif) AS nb_trajets_sportifs,
-      count(*) FILTER (WHERE statut_declaration = 'suspecte') AS nb_declarations_suspectes,
-      count(*) FILTER (WHERE statut_declaration = 'non vérifiée') AS nb_declarations_non_verifiees,
-      count(*) FILTER (WHERE eligible_prime) AS nb_eligibles_prime,
-      {money("montant_prime")} AS cout_prime,
-      count(*) FILTER (WHERE eligible_bien_etre) AS nb_eligibles_bien_etre,
-      CAST(sum(jours_bien_etre) AS DOUBLE) AS nb_jours_bien_etre,
-      {money("cout_bien_etre")} AS cout_bien_etre,
-      {money("montant_prime + cout_bien_etre")} AS cout_total,
-      (SELECT count(*) FROM stg_activites WHERE est_valide
-        AND date_activite >= {AS_OF} - {int(params.periode_jours)}) AS nb_activites_valides,
-      (SELECT count(*) FROM stg_activites WHERE NOT est_valide
-        AND date_activite >= {AS_OF} - {int(params.periode_jours)}) AS nb_activites_invalides,
-      CAST({params.taux_prime} AS DOUBLE) AS taux_prime,
-      CAST({params.seuil_marche_km} AS DOUBLE) AS seuil_marche_km,
-      CAST({params.seuil_velo_km} AS DOUBLE) AS seuil_velo_km,
-      CAST({params.nb_activites_min} AS DOUBLE) AS nb_activites_min,
-      CAST({params.nb_jours_bien_etre} AS DOUBLE) AS nb_jours_bien_etre_par_salarie
-    FROM {benefits}"""
+    SELECT * FROM (
+      SELECT {counts} FROM (
+        SELECT e.m AS m, sum(e.v) AS total
+        FROM (SELECT unnest([{long}]) AS e FROM {benefits}) GROUP BY 1))
+    CROSS JOIN (
+      SELECT {money("montant_prime")} AS cout_prime, {money("cout_bien_etre")} AS cout_bien_etre,
+        {money("montant_prime + cout_bien_etre")} AS cout_total,
+        CAST(sum(jours_bien_etre) AS DOUBLE) AS nb_jours_bien_etre FROM {benefits})
+    CROSS JOIN (
+      SELECT coalesce(sum(est_valide::INTEGER), 0)::BIGINT AS nb_activites_valides,
+        coalesce(sum((NOT est_valide)::INTEGER), 0)::BIGINT AS nb_activites_invalides
+      FROM stg_activites WHERE {recent})
+    CROSS JOIN (SELECT {constants})"""
 
 
 def money(expression: str) -> str:

@@ -263,31 +263,57 @@ def activities_before_hire(t: TestTables):
     return assertions.activities_before_hire(t.stg_activities, t.stg_salaries)
 
 
+def spoiled_benefits(t: TestTables) -> DataFrame:
+    """Negative bonuses, wellness costs without eligibility, and bonuses that are a cent too high."""
+    key, cent = F.col("id_salarie"), F.lit("0.01").cast("decimal(18,2)")
+    bonus, cost = F.col("montant_prime"), F.col("cout_bien_etre")
+    return t.benefits().withColumns({
+        "montant_prime": F.when(key % 7 == 0, -cent).when(key % 5 == 0, bonus + cent).otherwise(bonus),
+        "cout_bien_etre": F.when(key % 11 == 0, cent).otherwise(cost),
+    })
+
+
 @query("assert_costs", oracle("""
-SELECT id_salarie, montant_prime, cout_bien_etre FROM avantages_salaries
-WHERE montant_prime < 0 OR cout_bien_etre < 0 OR (NOT eligible_prime AND montant_prime > 0)
-  OR (NOT eligible_bien_etre AND cout_bien_etre > 0)"""))
+SELECT id_salarie FROM avantages_salaries WHERE id_salarie % 7 = 0
+UNION SELECT id_salarie FROM avantages_salaries WHERE id_salarie % 11 = 0 AND NOT eligible_bien_etre
+UNION SELECT id_salarie FROM avantages_salaries WHERE id_salarie % 5 = 0 AND NOT eligible_prime"""))
 def assert_costs(t: TestTables):
-    rows = assertions.incoherent_costs(t.benefits())
-    return rows.select("id_salarie", "montant_prime", "cout_bien_etre")
+    return assertions.incoherent_costs(spoiled_benefits(t)).select("id_salarie")
+
+
+# Name -> what is added to a measure of the summary; the first and the last form are sound.
+SPOILED_SUMMARIES = {
+    "juste": ("nb_salaries", 0),
+    "trop de primes": ("nb_eligibles_prime", 10**9),
+    "trop de trajets": ("nb_trajets_sportifs", 10**9),
+    "trop de bien-etre": ("nb_eligibles_bien_etre", 10**9),
+    "cout faux": ("cout_total", 1),
+    "cout presque juste": ("cout_total", 0.005),
+}
 
 
 @query("assert_kpi", oracle("""
-SELECT k.* FROM kpi_synthese k
-WHERE nb_eligibles_prime > nb_trajets_sportifs OR nb_trajets_sportifs > nb_salaries
-  OR nb_eligibles_bien_etre > nb_salaries
-  OR abs(cout_total - (SELECT sum(montant_prime) + sum(cout_bien_etre) FROM avantages_salaries))
-    > 0.01"""))
+SELECT unnest(['trop de primes', 'trop de trajets', 'trop de bien-etre', 'cout faux']) AS cas,
+  nb_salaries FROM kpi_synthese"""))
 def assert_kpi(t: TestTables):
-    return assertions.incoherent_kpi(t.kpi(), t.benefits())
+    """Which spoiled forms of the summary are found out."""
+    cases = None
+    for name, (measure, added) in SPOILED_SUMMARIES.items():
+        spoiled = t.kpi().withColumns({
+            "cas": F.lit(name), measure: (F.col(measure) + F.lit(added)).cast("double"),
+        })
+        cases = spoiled if cases is None else cases.unionByName(spoiled)
+    return assertions.incoherent_kpi(cases, t.benefits()).select(
+        "cas", F.col("nb_salaries").cast("long").alias("nb_salaries")
+    )
 
 
 @query("assert_bonus", oracle("""
-SELECT id_salarie, montant_prime, round(salaire_brut * 0.05, 2)::DOUBLE AS montant_attendu
-FROM avantages_salaries
-WHERE eligible_prime AND montant_prime <> round(salaire_brut * 0.05, 2)::DOUBLE"""))
+SELECT id_salarie, montant_prime AS montant_attendu FROM avantages_salaries
+WHERE eligible_prime AND (id_salarie % 5 = 0 OR id_salarie % 7 = 0)"""))
 def assert_bonus(t: TestTables):
-    return assertions.wrong_bonus(t.benefits(), t.stg_salaries, Params())
+    found = assertions.wrong_bonus(spoiled_benefits(t), t.stg_salaries, Params())
+    return found.select("id_salarie", "montant_attendu")
 
 
 def _model_test_sql() -> str:
@@ -323,8 +349,12 @@ def _model_test_sql() -> str:
             "stg_activites JOIN stg_salaries USING (id_salarie) "
             "WHERE date_activite < date_embauche")),
         row.format("coûts cohérents", "error", rows.format(
-            "avantages_salaries WHERE montant_prime < 0 OR cout_bien_etre < 0")),
-        row.format("synthèse cohérente", "error", "0::BIGINT"),
+            "avantages_salaries WHERE least(montant_prime, cout_bien_etre, "
+            "if(eligible_prime, 0, -montant_prime), if(eligible_bien_etre, 0, -cout_bien_etre)) < 0")),
+        row.format("synthèse cohérente", "error", rows.format(
+            "kpi_synthese, (SELECT sum(montant_prime + cout_bien_etre) AS detail FROM avantages_salaries) "
+            "WHERE greatest(nb_eligibles_prime - nb_trajets_sportifs, nb_trajets_sportifs - nb_salaries, "
+            "nb_eligibles_bien_etre - nb_salaries) > 0 OR round(abs(cout_total - detail), 6) > 0.01")),
         row.format("montant de prime", "error", rows.format(
             "avantages_salaries WHERE eligible_prime "
             "AND montant_prime <> round(salaire_brut * 0.05, 2)::DOUBLE")),

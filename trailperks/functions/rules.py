@@ -140,21 +140,21 @@ def declaration_status(
 # --- benefits ---------------------------------------------------------------------------------
 
 def bonus_amount(status: Column, salary: Column, rate: Column) -> Column:
-    amount = money(salary.cast("decimal(12,0)") * rate.cast("decimal(12,6)"))
+    amount = money(salary.cast("decimal(12,0)") * rate.cast("decimal(21,12)"))
     return F.when(status == L.COMPLIANT, amount).otherwise(F.lit(0).cast("decimal(18,2)"))
 
 
 def wellness_cost(eligible: Column, salary: Column, worked_days: Column, days: Column) -> Column:
-    """Price of the granted days. The daily rate is kept to 21 decimals, then multiplied."""
-    daily = salary.cast("decimal(10,0)") / worked_days.cast("decimal(20,0)")
-    amount = money(daily * days.cast("decimal(6,2)"))
+    """Price of the granted days. The product is exact; it is divided once, to 9 decimals or more."""
+    yearly = salary.cast("decimal(10,0)") * days.cast("decimal(15,6)")
+    amount = money(yearly / worked_days.cast("decimal(15,6)"))
     return F.when(eligible, amount).otherwise(F.lit(0).cast("decimal(18,2)"))
 
 
 def literals(params: Params) -> dict[str, Column]:
     """The parameters as constant columns."""
     return {
-        "taux_prime": F.lit(params.taux_prime).cast("decimal(18,6)"),
+        "taux_prime": F.lit(params.taux_prime).cast("decimal(21,12)"),
         "seuil_marche_km": F.lit(params.seuil_marche_km).cast("decimal(18,6)"),
         "seuil_velo_km": F.lit(params.seuil_velo_km).cast("decimal(18,6)"),
         "nb_jours_bien_etre": F.lit(params.nb_jours_bien_etre).cast("decimal(18,6)"),

@@ -130,3 +130,12 @@ RUN_FAILED = "echec"
 RUN_PENDING = "en_cours"
 LOADER_STEP = "chargement_activites"
 CHECK_PASS, CHECK_WARN, CHECK_FAIL, CHECK_ERROR = "pass", "warn", "fail", "erreur"
+
+# Why a lot of trips has no distances.
+LOT_ABSENT = "absente"
+LOT_UNREADABLE = "illisible"
+
+# Texts of the check runs.
+CHECK_ERROR_TEXT = "Erreur technique : {problem}"
+CHECK_COUNTS_TEXT = "{passed} OK, {warned} avertissement(s), {failed} échec(s)"
+CHECK_ERRORS_TEXT = ", {broken} erreur(s) technique(s)"

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from trailperks import labels as L
-from trailperks.functions.numbers import money
 from trailperks.operators.joins import count_by, orphan_counts
 from trailperks.params import Params
 
@@ -57,8 +58,12 @@ def incoherent_kpi(kpi: DataFrame, benefits: DataFrame) -> DataFrame:
 
 def wrong_bonus(benefits: DataFrame, salaries: DataFrame, params: Params) -> DataFrame:
     """Eligible employees whose bonus is not salary times rate, to the cent."""
-    rate = F.lit(params.taux_prime).cast("decimal(12,6)")
-    expected = money(F.col("salaire_brut").cast("decimal(12,0)") * rate)
+    # Whole numbers only, apart from the computation under test: salary times the rate's digits, in cents.
+    digits = -min(params.taux_prime.normalize().as_tuple().exponent, 0)
+    scaled = F.col("salaire_brut").cast("decimal(38,0)") * F.lit(int(params.taux_prime.scaleb(digits))) * 100
+    unit = F.lit(Decimal(10) ** digits).cast("decimal(20,0)")
+    cents = F.floor((scaled.cast("decimal(38,0)") * 2 + unit) / (unit * 2))
+    expected = (cents.cast("decimal(18,0)") / 100).cast("decimal(18,2)")
     return (
         benefits.where("eligible_prime")
         .select("id_salarie", "montant_prime")

@@ -38,7 +38,10 @@ def lots(trips: DataFrame, size: int = L.ROUTE_LOT_SIZE) -> DataFrame:
     one task. Trips are counted per id range, the range totals are accumulated (there are at most
     2**32 / ID_RANGE ranges), and rows are numbered inside their range.
     """
-    ranged = trips.withColumn("plage", F.floor(F.col("id_salarie") / ID_RANGE).cast("int"))
+    # Trips without id come last.
+    ranged = trips.withColumn(
+        "plage", F.coalesce(F.floor(F.col("id_salarie") / ID_RANGE).cast("int"), F.lit(2**31 - 1))
+    )
     before = Window.partitionBy("mode_api").orderBy("plage").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -47,7 +50,7 @@ def lots(trips: DataFrame, size: int = L.ROUTE_LOT_SIZE) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .select("mode_api", "plage", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("debut"))
     )
-    inside = Window.partitionBy("mode_api", "plage").orderBy("id_salarie", "adresse")
+    inside = Window.partitionBy("mode_api", "plage").orderBy(F.asc_nulls_last("id_salarie"), "adresse")
     rank = F.col("debut") + F.row_number().over(inside) - 1
     return ranged.join(offsets, ["mode_api", "plage"]).select(
         "id_salarie", "adresse", "mode_api",
@@ -64,15 +67,34 @@ def requests(numbered: DataFrame) -> DataFrame:
     )
 
 
+def _readable(answers: DataFrame) -> DataFrame:
+    """The answers with their elements; NULL where the text is not the JSON list of a lot."""
+    elements = F.from_json("reponse", schemas.ROUTE_ELEMENTS)
+    is_list = F.startswith(F.ltrim("reponse"), F.lit("["))
+    return answers.select("mode_api", "lot", "reponse", F.when(is_list, elements).alias("elements"))
+
+
+def quarantined(numbered: DataFrame, answers: DataFrame) -> DataFrame:
+    """Lots without a readable answer: ``mode_api, lot, trajets, motif, reponse``."""
+    sizes = numbered.groupBy("mode_api", "lot").agg(F.count(F.lit(1)).alias("trajets"))
+    unread = _readable(answers).where("elements is not null").select("mode_api", "lot")
+    texts = answers.groupBy("mode_api", "lot").agg(F.max("reponse").alias("reponse"))
+    return (
+        sizes.join(unread, ["mode_api", "lot"], "left_anti")
+        .join(texts, ["mode_api", "lot"], "left")
+        .withColumn("motif", F.when(F.col("reponse").isNull(), L.LOT_ABSENT).otherwise(L.LOT_UNREADABLE))
+        .select("mode_api", "lot", "trajets", "motif", "reponse")
+    )
+
+
 def parse_answers(numbered: DataFrame, answers: DataFrame) -> DataFrame:
     """Distance rows from the JSON answer of each lot (``mode_api, lot, reponse``).
 
     Each trip takes the last element with its origin index (no index means 0). A trip without
-    element is unanswered; an element with an error code carries the code as status.
+    element in a readable answer is unanswered; an element with an error code carries the code as
+    status. Lots without a readable answer give no rows, so that stored distances stay.
     """
-    elements = answers.select(
-        "mode_api", "lot", F.from_json("reponse", schemas.ROUTE_ELEMENTS).alias("elements")
-    )
+    elements = _readable(answers).where("elements is not null").drop("reponse")
     own = F.filter(
         F.coalesce("elements", F.array()),
         lambda e: F.coalesce(e["originIndex"], F.lit(0)) == F.col("position"),
@@ -86,7 +108,7 @@ def parse_answers(numbered: DataFrame, answers: DataFrame) -> DataFrame:
         .otherwise(F.coalesce(answer["condition"], F.lit(L.ROUTE_UNKNOWN)))
     )
     return (
-        numbered.join(elements, ["mode_api", "lot"], "left")
+        numbered.join(elements, ["mode_api", "lot"])
         .withColumn("element", F.try_element_at(own, F.lit(-1)))
         .select(
             "id_salarie", "adresse", "mode_api",

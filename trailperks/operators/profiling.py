@@ -234,13 +234,13 @@ def cost_scenarios(estimated: DataFrame, params: Params) -> DataFrame:
         *[F.sum(F.when(c, F.col("salaire_brut")).otherwise(0)).alias(f"s{i}")
           for i, c in enumerate((commute, trusted, sport))],
     )
-    rate = F.lit(params.taux_prime).cast("decimal(9,6)")
-    day = F.lit(params.jours_travailles_an).cast("decimal(9,2)")
-    days = F.lit(params.nb_jours_bien_etre).cast("decimal(6,2)")
+    rate = F.lit(params.taux_prime).cast("decimal(21,12)")
+    day = F.lit(params.jours_travailles_an).cast("decimal(15,6)")
+    days = F.lit(params.nb_jours_bien_etre).cast("decimal(15,6)")
     costs = (
-        F.col("s0").cast("decimal(18,0)") * rate,
-        F.col("s1").cast("decimal(18,0)") * rate,
-        F.col("s2").cast("decimal(18,0)") * days / day,
+        F.col("s0").cast("decimal(17,0)") * rate,
+        F.col("s1").cast("decimal(17,0)") * rate,
+        F.col("s2").cast("decimal(17,0)") * days / day,
     )
     entries = [
         F.struct(

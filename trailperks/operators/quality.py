@@ -189,11 +189,9 @@ OUTCOME = T.StructType([
 
 
 def _error(problem: Exception) -> str:
-    if isinstance(problem, AnalysisException):
-        message = problem.getMessage().split("\n")[0]
-    else:
-        message = f"table absente {problem}"
-    return f"Erreur technique : {message[:200]}"
+    missing = not isinstance(problem, AnalysisException)
+    said = f"table absente {problem}" if missing else problem.getMessage()
+    return L.CHECK_ERROR_TEXT.format(problem=said)
 
 
 def evaluate(
@@ -312,12 +310,12 @@ def run_status(counts: dict[str, int]) -> str:
 
 
 def run_message(counts: dict[str, int]) -> str:
-    text = (
-        f"{counts[L.CHECK_PASS]} OK, {counts[L.CHECK_WARN]} avertissement(s), "
-        f"{counts[L.CHECK_FAIL]} échec(s)"
-    )
-    broken = counts[L.CHECK_ERROR]
-    return f"{text}, {broken} erreur(s) technique(s)" if broken else text
+    said = [L.CHECK_COUNTS_TEXT.format(
+        passed=counts[L.CHECK_PASS], warned=counts[L.CHECK_WARN], failed=counts[L.CHECK_FAIL],
+    )]
+    if counts[L.CHECK_ERROR]:
+        said.append(L.CHECK_ERRORS_TEXT.format(broken=counts[L.CHECK_ERROR]))
+    return "".join(said)
 
 
 def stored(outcomes: DataFrame, execution_id: str, checked_at: datetime) -> DataFrame:

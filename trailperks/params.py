@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from trailperks.labels import DEFAULT_PARAMS
 
-PARAM_TYPE = T.DecimalType(18, 6)
+# Decimals that a parameter may have; the rate is a factor of salaries and may be finer.
+DECIMALS = 6
+RATE_DECIMALS = 12
+PARAM_TYPE = T.DecimalType(24, RATE_DECIMALS)
 
 
 def _default(name: str) -> Decimal:
@@ -37,7 +40,11 @@ class Params:
 
     def __post_init__(self) -> None:
         for field in fields(self):
-            object.__setattr__(self, field.name, Decimal(str(getattr(self, field.name))))
+            value = Decimal(str(getattr(self, field.name)))
+            allowed = RATE_DECIMALS if field.name == "taux_prime" else DECIMALS
+            if abs(value) >= 10**9 or value != round(value, allowed):
+                raise ValueError(f"{field.name}: {value} needs more than {allowed} decimals or 9 digits")
+            object.__setattr__(self, field.name, value.normalize())
 
     def with_overrides(self, **values: object) -> Params:
         """Replace the given parameters; ``None`` keeps the current value."""

@@ -20,6 +20,7 @@ from trailperks.streaming import loader
 
 DISTANCES = "geo.distances_domicile_travail"
 TRIPS = "geo.trajets_a_calculer"
+QUARANTINE = "geo.lots_en_quarantaine"
 ROLLUP = "staging.activites_par_salarie"
 ACTIVITY_MART = "analytics.activites"
 BENEFITS = "analytics.avantages_salaries"
@@ -71,13 +72,22 @@ class Pipeline:
         return self.layers.read(TRIPS).count()
 
     def store_distances(self, answers: DataFrame) -> int:
-        """Replace the stored distances of the requested trips by the answers."""
+        """Replace the stored distances of the answered trips; other lots are kept aside and logged."""
 
         def work() -> int:
             numbered = self.layers.read(TRIPS)
             stored = self.layers.read_or_empty(DISTANCES, schemas.DISTANCES)
             computed = cut_lineage(distances.parse_answers(numbered, answers))
             self.layers.reload(DISTANCES, distances.upsert(stored, computed, self.as_of))
+            aside = cut_lineage(distances.quarantined(numbered, answers))
+            self.layers.reload(QUARANTINE, aside)
+            lost = aside.agg(F.count(F.lit(1)), F.sum("trajets")).first()
+            if lost[0]:
+                moment = datetime.now(timezone.utc)
+                message = f"{lost[0]} lots ({lost[1]} trips) without a readable answer"
+                audit.log_step(
+                    self.layers, "geo_quarantaine", moment, moment, L.RUN_FAILED, lost[1], message
+                )
             return computed.count()
 
         return self._log("geo_distances", work)

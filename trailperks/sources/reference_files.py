@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from trailperks import schemas
 from trailperks.operators.audit import logged_step
-from trailperks.operators.joins import duplicate_keys
+from trailperks.session import new_run_folder
 from trailperks.sources.layers import Layers
 
 
 class InvalidFileError(ValueError):
-    """The file may not be loaded."""
+    """The file may not be loaded. ``listed`` names the folder with all repeated ids, if there are any."""
+
+    def __init__(self, reason: str, listed: str | None = None) -> None:
+        super().__init__(f"{reason}, all of them in {listed}" if listed else reason)
+        self.reason, self.listed = reason, listed
 
 
 @dataclass(frozen=True)
@@ -57,9 +61,6 @@ SPORT_FILE = ReferenceFile(
     schema=schemas.RAW_SPORTS,
 )
 
-SHOWN_DUPLICATES = 20
-
-
 def read_file(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
     """Read a reference file with its file name; CSV columns stay text until they are cast."""
     reader = spark.read.option("header", True) if kind == "csv" else spark.read
@@ -74,28 +75,47 @@ def check_columns(frame: DataFrame, reference: ReferenceFile) -> None:
         raise InvalidFileError(f"missing columns: {lost}")
 
 
+def key_counts(frame: DataFrame, reference: ReferenceFile) -> DataFrame:
+    """(id, unreadable, n): rows per id as it will be stored, so ``7``, ``07`` and `` 7 `` are one."""
+    key = F.col(f"`{reference.key_header}`")
+    if dict(frame.dtypes)[reference.key_header] == "string":
+        key = F.nullif(F.trim(key), F.lit(""))
+    number = key.try_cast(reference.schema["id_salarie"].dataType)
+    return (
+        frame.select(number.alias("id"), (key.isNotNull() & number.isNull()).alias("unreadable"))
+        .groupBy("id", "unreadable")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def duplicated_ids(frame: DataFrame, reference: ReferenceFile) -> DataFrame:
-    return duplicate_keys(frame, reference.key_header)
+    """(id, n) of the ids that stand in more than one row."""
+    return key_counts(frame, reference).where("id is not null and n > 1").select("id", "n")
 
 
 def validate(frame: DataFrame, reference: ReferenceFile) -> int:
-    """Refuse a file with missing columns, no rows, empty ids or repeated ids; return its rows.
+    """Refuse a file with missing columns, no rows, empty, unreadable or repeated ids; return its rows.
 
-    Only counts and a bounded sample of repeated ids reach the driver.
+    One aggregation per file; all repeated ids are written to a table, only counts reach the driver.
     """
     check_columns(frame, reference)
-    key = F.col(f"`{reference.key_header}`")
-    rows, empty = frame.agg(F.count(F.lit(1)), F.count_if(key.isNull())).first()
+    n, repeated_id = F.col("n"), F.col("id").isNotNull() & (F.col("n") > 1)
+    rows, empty, unreadable, repeated = key_counts(frame, reference).agg(
+        F.coalesce(F.sum(n), F.lit(0)),
+        F.coalesce(F.sum(F.when(F.col("id").isNull() & ~F.col("unreadable"), n)), F.lit(0)),
+        F.coalesce(F.sum(F.when(F.col("unreadable"), n)), F.lit(0)),
+        F.count_if(repeated_id),
+    ).first()
     if rows == 0:
         raise InvalidFileError("the file has no rows")
     if empty:
         raise InvalidFileError(f"{empty} rows without id")
-    repeated = duplicated_ids(frame, reference)
-    shown = repeated.orderBy(key.try_cast("long"), key).limit(SHOWN_DUPLICATES).collect()
-    if shown:
-        total = repeated.count() if len(shown) == SHOWN_DUPLICATES else len(shown)
-        ids = [row[reference.key_header] for row in shown]
-        raise InvalidFileError(f"{total} repeated ids: {ids}")
+    if unreadable:
+        raise InvalidFileError(f"{unreadable} rows with an unreadable id")
+    if repeated:
+        listed = new_run_folder(frame.sparkSession, "repeated-ids")
+        duplicated_ids(frame, reference).write.parquet(listed)
+        raise InvalidFileError(f"{repeated} repeated ids", listed)
     return rows
 
 
