@@ -123,3 +123,44 @@ def test_result_mart_has_no_personal_columns(loaded):
     columns = loaded[0].read(P.BENEFITS).columns
     assert columns == list(marts.BENEFIT_COLUMNS) and len(columns) == 18
     assert not {"nom", "prenom", "adresse", "salaire_brut"} & set(columns)
+
+
+def test_marts_that_fail_a_test_are_not_published(loaded, monkeypatch):
+    layers = loaded[0]
+    pipe, _ = run(loaded, Params(periode_jours=4000, nb_activites_min=5))
+    tables = (P.ACTIVITY_MART, P.ROLLUP, P.BENEFITS, P.KPI)
+    before = [layers.version(table) for table in tables]
+    history, total = pipe.history().count(), layers.read(P.KPI).first()["cout_total"]
+    sound = marts.benefit_mart
+
+    def spoiled(*arguments):
+        rows = sound(*arguments)
+        return rows.withColumn("montant_prime", (-1 - F.col("montant_prime")).cast("decimal(18,2)"))
+
+    monkeypatch.setattr(marts, "benefit_mart", spoiled)
+    with pytest.raises(quality.QualityGateError, match="coûts cohérents"):
+        pipe.build()
+    assert [layers.version(table) for table in tables] == before
+    assert pipe.history().count() == history and layers.read(P.KPI).first()["cout_total"] == total
+
+
+def test_parameters_must_be_one_row(loaded):
+    layers = loaded[0]
+    pipe = Pipeline(layers, AS_OF_TIME)
+    layers.reload(P.PARAMETERS, Params().row(layers.spark).union(Params().row(layers.spark)))
+    with pytest.raises(quality.QualityGateError, match="one row"):
+        pipe.effective_params()
+    layers.reload(P.PARAMETERS, Params().row(layers.spark))
+
+
+def test_stored_seeds_stay_without_files(loaded):
+    layers = loaded[0]
+    layers.reload(P.PARAMETERS, Params(taux_prime="0.04").row(layers.spark))
+    Pipeline(layers, AS_OF_TIME).load_seeds()
+    assert Pipeline(layers, AS_OF_TIME).effective_params().taux_prime == Params(taux_prime="0.04").taux_prime
+
+
+@pytest.mark.parametrize("value", ["0.0000000000001", "2.1234567"])
+def test_parameters_that_would_be_rounded_are_refused(value):
+    with pytest.raises(ValueError, match="decimals"):
+        Params(nb_jours_bien_etre=value)

@@ -9,7 +9,7 @@ import argparse
 import sys
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from trailperks import schemas
 from trailperks.operators import distances
@@ -17,16 +17,18 @@ from trailperks.operators.joins import count_by
 from trailperks.operators.quality import QualityGateError
 from trailperks.params import Params
 from trailperks.plans.pipeline import CHECKS, DISTANCES, SPEED_LIMITS, TRIPS, Pipeline
-from trailperks.session import configure
+from trailperks.session import configure, new_run_folder
 from trailperks.sources import seeds
 from trailperks.sources.layers import Layers
 from trailperks.sources.reference_files import InvalidFileError, names_directory
 from trailperks.streaming import announcer, loader, sources
+from trailperks.streaming.batches import start_batches
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="trailperks", description="Employee sport benefits")
     top.add_argument("--root", required=True, help="folder of the layer tables")
+    top.add_argument("--shuffle-bytes", type=int, help="size of the largest shuffle to expect")
     top.add_argument("--as-of", type=datetime.fromisoformat, help="run time, default now (UTC)")
     commands = top.add_subparsers(dest="command", required=True)
 
@@ -64,6 +66,8 @@ def parser() -> argparse.ArgumentParser:
         stream.add_argument("--servers")
         stream.add_argument("--topic")
         stream.add_argument("--interval", help="keep running, e.g. '5 seconds'")
+        stream.add_argument("--batch-size", type=int,
+                            help="most messages (of a topic) or files of one batch")
         if name == "announce":
             stream.add_argument("--dry-run", action="store_true", help="show texts, write nothing")
     return top
@@ -77,13 +81,16 @@ def overrides(pairs: list[str]) -> Params:
 
 def stream_of(spark: SparkSession, options: argparse.Namespace, from_start: bool):
     if options.files:
-        return sources.from_files(spark, options.files)
-    return sources.from_kafka(spark, options.servers, options.topic, from_start)
+        return sources.from_files(spark, options.files, options.batch_size)
+    return sources.from_kafka(
+        spark, options.servers, options.topic, from_start, options.batch_size
+    )
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
     options = parser().parse_args(arguments)
-    spark = configure(spark or SparkSession.builder.appName("trailperks").getOrCreate())
+    spark = spark or SparkSession.builder.appName("trailperks").getOrCreate()
+    configure(spark, options.shuffle_bytes)
     layers = Layers(spark, options.root)
     as_of = options.as_of or datetime.now(timezone.utc)
     if as_of.tzinfo is None:
@@ -109,7 +116,6 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         elif options.command == "build":
             run.params = overrides(options.set) if options.set else None
             run.build(options.full_refresh)
-            run.test_models()
         elif options.command == "compact":
             run.snapshot_activities()
         elif options.command == "load":
@@ -135,10 +141,17 @@ def show_checks(layers: Layers, run: Pipeline, details: bool) -> None:
 
 
 def show_distances(layers: Layers) -> None:
-    """Print the number of stored distances per status, and the longest suspicious ones."""
+    """Print the number of stored distances per status, and all suspicious ones, longest first."""
     stored = layers.read(DISTANCES)
-    count_by(stored, "statut").orderBy("statut").show(truncate=False)
-    distances.suspects_preview(stored).show(truncate=False)
+    for row in count_by(stored, "statut").orderBy("statut").collect():
+        print(*row, sep=" | ")
+    print_all(distances.suspects_preview(stored))
+
+
+def print_all(rows: DataFrame) -> None:
+    """Every row, fetched from one partition after the other."""
+    for row in rows.toLocalIterator():
+        print(*row, sep=" | ")
 
 
 def announce(layers: Layers, options: argparse.Namespace) -> None:
@@ -147,11 +160,7 @@ def announce(layers: Layers, options: argparse.Namespace) -> None:
     else:
         limits = layers.read(SPEED_LIMITS)
     if options.dry_run:
-        messages = layers.spark.read.schema(schemas.CHANGE_MESSAGE).json(options.files)
-        names = names_directory(
-            layers.read_or_empty(announcer.SALARIES, schemas.RAW_SALARIES)
-        )
-        announcer.preview(messages, limits, names).show(truncate=False)
+        dry_run(layers, options, limits)
         return
     messages = stream_of(layers.spark, options, from_start=False)
     announcer.start_announcer(
@@ -159,5 +168,15 @@ def announce(layers: Layers, options: argparse.Namespace) -> None:
     ).awaitTermination()
 
 
+def dry_run(layers: Layers, options: argparse.Namespace, limits: DataFrame) -> None:
+    """Print the texts of the stream, from whichever source; the announcer's own checkpoint stays as it is."""
+    names = names_directory(layers.read_or_empty(announcer.SALARIES, schemas.RAW_SALARIES))
+    messages = stream_of(layers.spark, options, from_start=False)
+    start_batches(
+        messages, new_run_folder(layers.spark, "dry-run"),
+        lambda batch, _: print_all(announcer.preview(batch, limits, names)), options.interval,
+    ).awaitTermination()
+
+
 if __name__ == "__main__":
     sys.exit(main())

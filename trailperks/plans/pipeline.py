@@ -100,17 +100,27 @@ class Pipeline:
 
     def load_seeds(self, parameters: str | None = None, limits: str | None = None) -> None:
         def work() -> int:
-            self.layers.reload(PARAMETERS, seeds.parameters(self.spark, parameters))
-            self.layers.reload(SPEED_LIMITS, seeds.speed_limits(self.spark, limits))
-            return 2
+            written = 0
+            for table, path, read in (
+                (PARAMETERS, parameters, seeds.parameters), (SPEED_LIMITS, limits, seeds.speed_limits)
+            ):
+                if path or self.layers.version(table) is None:
+                    self.layers.reload(table, read(self.spark, path))
+                    written += 1
+            return written
 
         self._log("parametres", work)
 
     # --- inputs of the models -----------------------------------------------------------------
 
     def effective_params(self) -> Params:
-        """Run-time parameters, else the stored row."""
-        return self.params or params_from_row(self.layers.read(PARAMETERS).first().asDict())
+        """Run-time parameters, else the one stored row."""
+        if self.params:
+            return self.params
+        rows = self.layers.read(PARAMETERS).limit(2).collect()
+        if len(rows) != 1:
+            raise quality.QualityGateError("the parameter table must have one row")
+        return params_from_row(rows[0].asDict())
 
     def raw_activities(self) -> DataFrame:
         """The activities as of the snapshot of this run, whatever the stream adds meanwhile."""
@@ -163,26 +173,43 @@ class Pipeline:
     # --- models -------------------------------------------------------------------------------
 
     def build(self, full_refresh: bool = False) -> None:
-        """Compute the marts. The counts per employee come from the written activity mart."""
+        """Compute the marts, test them, and only then publish them and extend the history.
+
+        The counts per employee come from the written activity mart. Marts that fail a test are
+        deleted; the published ones and the history stay as they were.
+        """
 
         def work() -> int:
             params = self.effective_params()
+            staged: dict[str, str] = {}
+
+            def stage(table: str, rows: DataFrame, **how) -> DataFrame:
+                staged[table] = self.layers.stage(table, rows, **how)
+                return self.layers.staged(table, staged[table])
+
             salaries = self.stg_salaries()
             sports = staging.staged_sports(self.layers.read(SPORT_FILE.table))
             commutes = staging.staged_distances(self.layers.read(DISTANCES))
-            # Month folders let later period filters skip files.
-            self.layers.reload(
-                ACTIVITY_MART, marts.activity_mart(self.stg_activities(), salaries, sports),
-                partition_by=("mois",),
-            )
-            start = params.period_start(self.as_of.date())
-            daily = marts.daily_activity(self.layers.read(ACTIVITY_MART), start)
-            self.layers.reload(ROLLUP, marts.activity_rollup(daily, salaries, {"": start}))
-            rollup = self.layers.read(ROLLUP)
-            base = marts.employee_base(salaries, sports, commutes)
-            self.layers.reload(BENEFITS, marts.benefit_mart(base, rollup, params))
-            self.layers.reload(KPI, marts.kpi_summary(base, rollup, params))
-            history = marts.kpi_history(self.layers.read(KPI), self.execution_id, self.as_of)
+            try:
+                # Month folders let later period filters skip files.
+                mart = stage(
+                    ACTIVITY_MART, marts.activity_mart(self.stg_activities(), salaries, sports),
+                    partition_by=("mois",),
+                )
+                start = params.period_start(self.as_of.date())
+                daily = marts.daily_activity(mart, start)
+                rollup = stage(ROLLUP, marts.activity_rollup(daily, salaries, {"": start}))
+                base = marts.employee_base(salaries, sports, commutes)
+                benefits = stage(BENEFITS, marts.benefit_mart(base, rollup, params))
+                kpi = stage(KPI, marts.kpi_summary(base, rollup, params))
+                self.test_models(benefits, mart, kpi)
+            except Exception:
+                for table, folder in staged.items():
+                    self.layers.delete(f"{self.layers.path(table)}/{folder}")
+                raise
+            for table, folder in staged.items():
+                self.layers.publish(table, folder)
+            history = marts.kpi_history(kpi, self.execution_id, self.as_of)
             if full_refresh:
                 self.layers.replace_log(KPI_HISTORY, history)
             else:
@@ -217,9 +244,15 @@ class Pipeline:
         """All recorded summaries."""
         return self.layers.read_log(KPI_HISTORY, marts.kpi_history_schema(self.layers.read(KPI)))
 
-    def test_models(self) -> dict[str, int]:
-        """Run the model tests; errors stop the run, warnings are counted."""
+    def test_models(
+        self, benefits: DataFrame | None = None, mart: DataFrame | None = None,
+        kpi: DataFrame | None = None,
+    ) -> dict[str, int]:
+        """Test the given marts, or the published ones; errors stop the run, warnings are counted."""
         read = self.layers.read
+        benefits = read(BENEFITS) if benefits is None else benefits
+        mart = read(ACTIVITY_MART) if mart is None else mart
+        kpi = read(KPI) if kpi is None else kpi
         tables = {
             "salaries": read(HR_FILE.table), "sports": read(SPORT_FILE.table),
             "activites": self.raw_activities(), "distances_domicile_travail": read(DISTANCES),
@@ -227,8 +260,7 @@ class Pipeline:
         }
         started = datetime.now(timezone.utc)
         found = assertions.model_tests(
-            tables, read(BENEFITS), read(ACTIVITY_MART), read(KPI), read(ACTIVITY_MART),
-            self.stg_salaries(), self.effective_params(),
+            tables, benefits, mart, kpi, mart, self.stg_salaries(), self.effective_params(),
         )
         broken = found.where(F.col("violations") > 0).collect()
         errors = sorted(r["test"] for r in broken if r["gravite"] == assertions.ERROR)
@@ -246,17 +278,20 @@ class Pipeline:
 
     def run(
         self, hr_path: str, sport_path: str, service: RouteService, kind: str = "csv",
-        full_refresh: bool = False,
+        full_refresh: bool = False, parameters: str | None = None, limits: str | None = None,
     ) -> DataFrame:
-        """All steps in order; returns the summary. A failure is reported and raised."""
+        """All steps in order; returns the summary. A failure is reported and raised.
+
+        Seeds are read from the given files; without a file, the stored tables stay, and the defaults
+        fill what was never stored.
+        """
         try:
             self.ingest(hr_path, sport_path, kind)
             self.snapshot_activities()
             self.compute_distances(service)
-            self.load_seeds()
+            self.load_seeds(parameters, limits)
             self.check("raw", "geo")
             self.build(full_refresh)
-            self.test_models()
             self.check("analytics")
         except Exception as problem:
             if self.alert:
