@@ -153,7 +153,7 @@ def test_unknown_department_matches_its_own_entry(spark):
     frame = spark.createDataFrame(
         rows, "id_salarie int, commune string, departement string, moyen_deplacement string"
     )
-    placed = profiling.estimated_commutes(frame, seeds.towns(spark), seeds.COMPANY_TOWN)
+    placed = profiling.estimated_commutes(frame, seeds.example_towns(spark), seeds.COMPANY_TOWN)
     found = {r["id_salarie"]: r for r in placed.collect()}
     assert [found[i]["lat"] is not None for i in range(1, 5)] == [True, True, False, False]
     assert found[3]["declaration_suspecte"] is False

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from trailperks import schemas
 from trailperks.catalog.oracle import oracle
 from trailperks.catalog.registry import query
 from trailperks.functions import text
@@ -11,6 +12,7 @@ from trailperks.params import Params
 from trailperks.session import new_run_folder
 from trailperks.sources import reference_files, seeds
 from trailperks.sources.seeds import COMPANY_TOWN
+from trailperks.sources.reference_files import HR_FILE, SPORT_FILE
 from trailperks.sources.testdata import AS_OF, TestTables
 
 PATTERN = r"(\d{5})\s+([^,\d][^,]*)$"
@@ -68,18 +70,32 @@ def employee_sport_left_join(t: TestTables):
     return P.employee_sports(t.salaries, t.sports)
 
 
-@query("null_profile", oracle("""
-SELECT colonne, manquants FROM (
-  SELECT count(*) - count(id_salarie) AS id_salarie, count(*) - count(type_activite) AS type_activite,
-    count(*) - count(distance_m) AS distance_m, count(*) - count(commentaire) AS commentaire
-  FROM raw_activites)
-UNPIVOT (manquants FOR colonne IN (id_salarie, type_activite, distance_m, commentaire))"""))
-def null_profile(t: TestTables):
-    return P.null_profile(
-        t.activities.select("id_salarie", "type_activite", "distance_m", "commentaire")
+def missing_sql(file: str, table: str, columns: list[str]) -> str:
+    counts = ", ".join(f"count(*) - count({c}) AS {c}" for c in columns)
+    return (
+        f"SELECT '{file}' AS fichier, colonne, manquants FROM (SELECT {counts} FROM {table}) "
+        f"UNPIVOT (manquants FOR colonne IN ({', '.join(columns)}))"
     )
 
 
+HR_COLUMNS, SPORT_COLUMNS = (list(file.columns.values()) for file in (HR_FILE, SPORT_FILE))
+
+
+@query("null_profile", oracle(" UNION ALL ".join([
+    missing_sql("rh", "raw_salaries", HR_COLUMNS),
+    missing_sql("sport", "raw_sports", SPORT_COLUMNS),
+    missing_sql("activites", "raw_activites", schemas.RAW_ACTIVITIES.fieldNames()),
+])))
+def null_profile(t: TestTables):
+    """Missing values of every column of both files and of the activities."""
+    frames = {
+        "rh": t.salaries.select(*HR_COLUMNS), "sport": t.sports.select(*SPORT_COLUMNS),
+        "activites": t.activities.select(*schemas.RAW_ACTIVITIES.fieldNames()),
+    }
+    parts = [P.null_profile(f).select(F.lit(n).alias("fichier"), "*") for n, f in frames.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("id_set_differences", oracle("""
 SELECT 'gauche' AS sens, count(*) AS n FROM raw_salaries
 WHERE id_salarie NOT IN (SELECT id_salarie FROM raw_distances)
@@ -200,7 +216,7 @@ def age_histogram(t: TestTables):
 @query("seniority_histogram", profile("""
 SELECT CAST(floor(anciennete) AS INTEGER) AS borne, count(*) AS n FROM population GROUP BY 1"""))
 def seniority_histogram(t: TestTables):
-    return P.histogram(people(t), F.col("anciennete"), 0, 100, 1)
+    return P.unit_histogram(people(t), F.col("anciennete"))
 
 
 @query("distinct_places", profile("SELECT DISTINCT commune, departement FROM population"))

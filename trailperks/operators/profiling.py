@@ -175,6 +175,11 @@ def histogram(rows: DataFrame, value: Column, low: int, high: int, width: int) -
     return count_by(inside.select(F.least(floor, F.lit(high - width)).alias("borne")), "borne")
 
 
+def unit_histogram(rows: DataFrame, value: Column) -> DataFrame:
+    """Rows per whole number; the edges come from the data, so no value is left out."""
+    return count_by(rows.select(F.floor(value).cast("int").alias("borne")), "borne")
+
+
 def distinct_places(people: DataFrame) -> DataFrame:
     """Town and department pairs, towns known."""
     return people.select("commune", "departement").dropna(subset=["commune"]).distinct()

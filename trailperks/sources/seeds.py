@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from trailperks import labels as L, schemas
 from trailperks.params import PARAM_TYPE, Params, small_table
 
-# Town centres as the geocoding cache holds them.
+# Centres of the towns in the test addresses, as the geocoding cache holds them.
 TOWN_ROWS = (
     ("Nîmes", "30", "Nîmes", "30189", 43.8322, 4.3429, "30000|30900"),
     ("Lattes", "34", "Lattes", "34129", 43.567, 3.899, "34970"),
@@ -35,10 +35,13 @@ def speed_limits(spark: SparkSession, path: str | None = None) -> DataFrame:
     return small_table(spark, rows, schemas.SPEED_LIMITS)
 
 
-def towns(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Town centres and postcodes."""
-    if path:
-        return read_csv(spark, path, schemas.TOWNS)
+def towns(spark: SparkSession, path: str) -> DataFrame:
+    """Town centres and postcodes of a geocoding cache; towns that are not in it have no distance."""
+    return read_csv(spark, path, schemas.TOWNS)
+
+
+def example_towns(spark: SparkSession) -> DataFrame:
+    """The towns of the test addresses."""
     return small_table(spark, list(TOWN_ROWS), schemas.TOWNS)
 
 

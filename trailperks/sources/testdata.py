@@ -116,7 +116,7 @@ class TestTables:
 
     @cached_property
     def towns(self) -> DataFrame:
-        return seeds.towns(self.spark)
+        return seeds.example_towns(self.spark)
 
     # --- monitoring layer ---------------------------------------------------------------------
 
