@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trailperks.llm.common import shuffle_partitions, slices, text_bytes, with_row
 from trailperks.llm.encoding import WordEncoder, distinct_words
-from trailperks.llm.words import flat, in_buckets, lists
+from trailperks.llm.words import column_of, flat, in_buckets, lists
 
-BUCKET_BYTES, PART_BYTES, SLICE_BYTES = 24 * 1024**2, 32 * 1024**2, 2 * 1024**2
+BUCKET_BYTES, PART_BYTES, SLICE_BYTES = 16 * 1024**2, 32 * 1024**2, 2 * 1024**2
 LONG_WORD = 48
 SLOTS = 2**16
 #: More than the pieces of a folded word.
@@ -132,11 +132,13 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
 
     def dealt_words(table: pa.Table) -> tuple[regex.Pattern, dict[int, list[bytes]]]:
         """The distinct matches of the pattern in a bucket, in order, by the part they go to."""
-        compiled, found = regex.compile(pattern), set()
-        column = table["text"].combine_chunks()
+        compiled, found, seen = regex.compile(pattern), set(), set()
+        column = column_of(table, text)
         for begin, end in slices(column, SLICE_BYTES):
-            for word in distinct_words([x or "" for x in column.slice(begin, end - begin).to_pylist()]):
+            for word in distinct_words([x or "" for x in column.slice(begin, end - begin).to_pylist()]) - seen:
                 found.update(compiled.findall(word))
+                if len(word) <= LONG_WORD:
+                    seen.add(word)
         out: dict[int, list[bytes]] = {}
         for word in sorted(x.encode() for x in found):
             out.setdefault(zlib.crc32(word) % parts, []).append(word)
@@ -211,12 +213,12 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
             return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
 
         encoder = WordEncoder(encode_words, [])
-        column, out = table["text"].combine_chunks(), []
+        column, out = column_of(table, text), []
         for begin, end in slices(column, SLICE_BYTES):
             out += encoder.encode([x or "" for x in column.slice(begin, end - begin).to_pylist()])
         return pa.table({"row": table["row"], "ids": pa.array(out, pa.binary())})
 
-    dealt = in_buckets(docs, buckets, doc_id, text)
+    dealt = in_buckets(docs, buckets, doc_id)
     texts = dealt.groupBy("bucket")
     words = texts.applyInArrow(send_words, "part int, bucket int, words array<binary>").groupBy("part").applyInArrow(
         distinct, "short array<binary>, long array<array<int>>, buckets array<int>, asked array<array<int>>, part int"

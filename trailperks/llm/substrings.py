@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from trailperks.llm.common import binary_list, shuffle_partitions, text_bytes, with_row
-from trailperks.llm.words import Words, flat, in_buckets, lists, words_of
+from trailperks.llm.words import Words, column_of, flat, in_buckets, lists, words_of
 
 PERIOD, COVER = 13, (0, 1, 3, 9)
 BUCKET_BYTES, PART_BYTES = 6 * 1024**2, 32 * 1024**2
@@ -46,8 +46,8 @@ def anchored_words(window: int) -> int:
 class Bucket:
     """The documents of a bucket in the order of their ids."""
 
-    def __init__(self, table: pa.Table, window: int):
-        texts = binary_list(table["text"])
+    def __init__(self, table: pa.Table, window: int, text: str):
+        texts = binary_list(column_of(table, text))
         ids = table["id"].combine_chunks().fill_null(LAST_ID).to_numpy(zero_copy_only=False)
         self.order = sorted(range(len(texts)), key=lambda row: (ids[row], texts[row]))
         self.texts = [texts[row] for row in self.order]
@@ -113,7 +113,7 @@ def remove_repeated(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", t
     length = anchored_words(window)
 
     def send_anchors(table: pa.Table) -> pa.Table:
-        bucket = Bucket(table, window)
+        bucket = Bucket(table, window, text)
         hashes, counts = np.unique(bucket.words.runs(length)[bucket.anchors()], return_counts=True)
         return send(
             table["bucket"][0].as_py(),
@@ -132,7 +132,7 @@ def remove_repeated(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", t
         return reply(owners[often[inverse]], hashes[often[inverse]], pa.int64())
 
     def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        bucket = Bucket(table, window) if table.num_rows else Bucket(table.select(["id", "text"]), window)
+        bucket = Bucket(table, window, text)
         anchors = bucket.anchors()
         known = flat(answers["found"])[0].view(np.uint64) if answers.num_rows else np.empty(0, np.uint64)
         starts = bucket.windows(anchors[np.isin(bucket.words.runs(length)[anchors], known)])
@@ -161,7 +161,7 @@ def remove_repeated(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", t
         return reply(owners[order][same], places[order][same], pa.int32())
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
-        bucket = Bucket(table, window)
+        bucket = Bucket(table, window, text)
         starts = np.flatnonzero(bucket.left >= window)
         _, _, first = bucket.groups(starts)
         elsewhere = np.zeros(len(bucket.places) + 1, bool)
@@ -189,7 +189,7 @@ def remove_repeated(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", t
             }
         )
 
-    dealt = in_buckets(docs, buckets, doc_id, text)
+    dealt = in_buckets(docs, buckets, doc_id)
     texts = dealt.groupBy("bucket")
     anchors = texts.applyInArrow(send_anchors, "part int, bucket int, hash array<bigint>, again array<boolean>")
     often = anchors.groupBy("part").applyInArrow(repeated, "bucket int, found array<bigint>")

@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -119,9 +120,16 @@ def flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return array.flatten().to_numpy(zero_copy_only=False), np.diff(array.offsets.to_numpy())
 
 
-def in_buckets(docs: DataFrame, buckets: int, doc_id: str, text: str) -> DataFrame:
-    """(bucket, id, text, row): documents dealt to groups of bounded size by a hash of their id."""
+def in_buckets(docs: DataFrame, buckets: int, doc_id: str) -> DataFrame:
+    """(bucket, id, row): documents dealt to groups of bounded size by a hash of their id.
+
+    The text is shuffled once, inside the struct of all columns; :func:`column_of` takes it out.
+    """
     number = F.pmod(F.xxhash64(F.lit(3), F.col(doc_id)), F.lit(buckets)).cast("int")
-    return docs.select(
-        number.alias("bucket"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), F.struct("*").alias("row")
-    )
+    return docs.select(number.alias("bucket"), F.col(doc_id).cast("long").alias("id"), F.struct("*").alias("row"))
+
+
+def column_of(table: pa.Table, name: str) -> pa.Array:
+    """A column of the documents in a bucket."""
+    rows = table["row"].combine_chunks()
+    return pc.struct_field(rows, [rows.type.get_field_index(name)])
