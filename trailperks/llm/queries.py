@@ -91,7 +91,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query("op10_substring_dedup")
+REPEATED_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+spans AS (
+  SELECT doc_id, s, array_to_string(words[s : s + 19], ' ') AS k
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS s FROM texts WHERE len(words) >= 20)),
+firsts AS (SELECT k, min(struct_pack(d := doc_id, s := s)) AS f FROM spans GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(spans.s, spans.s + 19)) AS p
+  FROM spans JOIN firsts USING (k) WHERE struct_pack(d := doc_id, s := spans.s) > f),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS p FROM texts),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS rest, count(*) AS n
+  FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(rest, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op10_substring_dedup", REPEATED_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = substrings.remove_repeated(docs, window=20)
