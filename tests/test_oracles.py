@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 from compare import connect, differences
 from conftest import SMALL
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from trailperks.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +20,11 @@ def test_same_rows(spark, connection, name):
     assert differences(spark, name, QUERIES[name], ORACLES[name], SMALL, connection) == []
 
 
+def test_contract_holds_them_all():
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
+
+
 def test_entry(spark):
     assert contract.entry(spark).first()["nb_salaries"] == 150
 
