@@ -44,7 +44,7 @@ class Params:
             allowed = RATE_DECIMALS if field.name == "taux_prime" else DECIMALS
             if abs(value) >= 10**9 or value != round(value, allowed):
                 raise ValueError(f"{field.name}: {value} needs more than {allowed} decimals or 9 digits")
-            object.__setattr__(self, field.name, value.normalize())
+            object.__setattr__(self, field.name, value)
 
     def with_overrides(self, **values: object) -> Params:
         """Replace the given parameters; ``None`` keeps the current value."""
