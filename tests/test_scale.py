@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from conftest import SMALL
 from trailperks import schemas
+from trailperks.catalog import flows
 from trailperks.operators import changes, marts, profiling, staging
 from trailperks.params import Params
 from trailperks.sources import seeds
@@ -108,6 +109,11 @@ def test_latest_change_with_a_hot_activity(spark):
     assert {r["id_activite"]: r["v"] for r in found.collect()} == expected
 
 
+def test_latest_change_is_found_by_hashing(spark, tables):
+    plan = flows.cdc_upsert_latest(tables)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_scenarios_equal_single_runs(spark, tables):
     scenarios = {
         "a": Params(), "b": Params(periode_jours=10, nb_activites_min=3),

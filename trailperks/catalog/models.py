@@ -11,6 +11,8 @@ from trailperks.functions.numbers import round_ratio
 from trailperks.operators import marts
 from trailperks.operators.joins import count_by
 from trailperks.params import Params
+from trailperks.session import new_run_folder
+from trailperks.sources.layers import Layers
 from trailperks.sources.testdata import AS_OF, TestTables
 
 STRICT = Params(nb_activites_min=60)
@@ -194,9 +196,15 @@ def kpi_scenarios(t: TestTables):
 
 
 @query("kpi_history", oracle("""
-SELECT '2024-01-31 00:00:00' AS calcule_le, 'execution-1' AS execution_id, * FROM kpi_synthese"""))
+SELECT '2024-01-31 00:00:00' AS calcule_le, unnest(['execution-1', 'execution-2']) AS execution_id, *
+FROM kpi_synthese"""))
 def kpi_history(t: TestTables):
-    return marts.kpi_history(t.kpi(), "execution-1", datetime(2024, 1, 31, tzinfo=timezone.utc))
+    """Two runs appended to the stored history, read back."""
+    layers = Layers(t.spark, new_run_folder(t.spark, "history"))
+    kpi, moment = t.kpi(), datetime(2024, 1, 31, tzinfo=timezone.utc)
+    for run in ("execution-1", "execution-2"):
+        layers.append("analytics.historique_kpi", marts.kpi_history(kpi, run, moment))
+    return layers.read_log("analytics.historique_kpi", marts.kpi_history_schema(kpi))
 
 
 @query("kpi_history_compare", oracle(f"""

@@ -2,37 +2,46 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from trailperks import labels as L
+from trailperks import labels as L, schemas
 from trailperks.catalog.oracle import oracle, quoted
 from trailperks.catalog.registry import query
 from trailperks.operators import assertions, marts, quality as Q
 from trailperks.operators.joins import count_by, duplicate_keys, orphan_counts
 from trailperks.params import Params
-from trailperks.session import cut_lineage
+from trailperks.session import cut_lineage, new_run_folder
+from trailperks.sources.layers import Layers
 from trailperks.sources.testdata import AS_OF_TIME, TestTables
 
 
-def checked_tables(t: TestTables) -> dict[str, DataFrame]:
-    """The tables under test. Benefits and summary are read several times, so the counts behind them
-    and the benefits are computed once and kept."""
+def checked_tables(t: TestTables, names: set[str] | None = None) -> dict[str, DataFrame]:
+    """The named tables under test, by default all. Where benefits and summary are read several times,
+    the counts behind them and the benefits are computed once and kept."""
     params = Params()
-    rollup = cut_lineage(t.rollup(params))
-    benefits = cut_lineage(marts.benefit_mart(t.employee_base, rollup, params))
-    return {
+    tables = {
         "activites": t.activities,
         "salaries": t.salaries,
         "sports": t.sports,
         "distances_domicile_travail": t.distances,
-        "avantages_salaries": benefits,
-        "kpi_synthese": marts.kpi_summary(t.employee_base, rollup, params),
         "parametres": params.row(t.spark),
         "vitesses_max": t.speed_limits,
     }
+    if names is None or "kpi_synthese" in names:
+        rollup = cut_lineage(t.rollup(params))
+        tables["avantages_salaries"] = cut_lineage(
+            marts.benefit_mart(t.employee_base, rollup, params)
+        )
+        tables["kpi_synthese"] = marts.kpi_summary(t.employee_base, rollup, params)
+    elif "avantages_salaries" in names:
+        tables["avantages_salaries"] = t.benefits(params)
+    return tables if names is None else {n: f for n, f in tables.items() if n in names}
 
 
 def evaluated(t: TestTables, checks: list[Q.Check]) -> DataFrame:
+    """Outcomes of the checks; only tables that one of them names are built."""
+    names = {check.table for check in checks} | {check.same_rows_as for check in checks}
+    names |= {check.parent[1] for check in checks if check.parent}
     limited = {"activites": t.activities.join(t.speed_limits, "type_activite", "left")}
-    return Q.evaluate(t.spark, checked_tables(t), checks, limited)
+    return Q.evaluate(t.spark, checked_tables(t, names), checks, limited)
 
 
 MICROS = "(epoch_us(date_fin) - epoch_us(date_debut))"
@@ -117,12 +126,16 @@ def dq_run(t: TestTables):
 
 
 @query("dq_results", oracle(f"""
-SELECT 'controle-1' AS execution_id, '2024-01-31 00:00:00' AS verifie_le, couche AS data_source,
+SELECT unnest(['controle-1', 'controle-2']) AS execution_id, '2024-01-31 00:00:00' AS verifie_le, couche AS data_source,
   couche AS fichier_controle, table_verifiee, controle, resultat, valeur
 FROM ({check_sql()})"""))
 def dq_results(t: TestTables):
-    """Outcomes in the shape of the check history."""
-    return Q.stored(evaluated(t, Q.standard_checks(AS_OF_TIME)), "controle-1", AS_OF_TIME)
+    """The outcomes of two runs, appended to the stored check history and read back."""
+    layers = Layers(t.spark, new_run_folder(t.spark, "checks"))
+    outcomes = cut_lineage(evaluated(t, Q.standard_checks(AS_OF_TIME)))
+    for run in ("controle-1", "controle-2"):
+        layers.append("monitoring.qualite_checks", Q.stored(outcomes, run, AS_OF_TIME))
+    return layers.read_log("monitoring.qualite_checks", schemas.QUALITY_CHECKS)
 
 
 @query("dq_broken_check", oracle("""
