@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trailperks.llm.common import shuffle_partitions, slices, text_bytes, with_row
+from trailperks.llm.common import shuffle_partitions, slices, small_batches, text_bytes, with_row
 from trailperks.llm.encoding import WordEncoder, distinct_words
 from trailperks.llm.words import column_of, flat, in_buckets, lists
 
@@ -127,6 +127,7 @@ def merge_with_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, ids): the ids of each text as little-endian 32-bit integers."""
     spark = docs.sparkSession
+    small_batches(spark)
     size, partitions = text_bytes(docs, text), shuffle_partitions(spark)
     buckets, parts = max(partitions, -(-size // BUCKET_BYTES)), max(partitions, -(-size // PART_BYTES))
 

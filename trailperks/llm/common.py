@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from trailperks.session import new_run_folder
@@ -48,17 +48,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send documents to Python in batches of at most this many, as both sides hold a batch several times over."""
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows of a text column with about ``limit`` bytes each, one row at least."""
-    sizes = np.asarray(column.cast(pa.large_binary()).fill_null(b"").to_numpy(zero_copy_only=False))
     begin = total = 0
-    for row, value in enumerate(sizes):
-        if total and total + len(value) > limit:
+    for row, size in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
+        if total and total + size > limit:
             yield begin, row
             begin, total = row, 0
-        total += len(value) + 1
-    if begin < len(sizes):
-        yield begin, len(sizes)
+        total += size + 1
+    if begin < len(column):
+        yield begin, len(column)
+
+
+def field_of(rows: pa.StructArray, name: str) -> pa.Array:
+    """A column of the documents in a struct column."""
+    return pc.struct_field(rows, [rows.type.get_field_index(name)])
 
 
 def binary_list(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

@@ -23,9 +23,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trailperks.llm.common import with_row
+from trailperks.llm.common import field_of, slices, small_batches, with_row
 
 DIMENSIONS = 2**14
+SLICE_BYTES = 2 * 1024**2
 PER_CLASS = 1000
 MOST_CLASSES = 256
 EPOCHS = 2
@@ -118,8 +119,9 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(DIMENSIONS, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total[ngram_counts(text)[0]] += 1
+            for begin, end in slices(batch.column(0), SLICE_BYTES):
+                for text in batch.column(0).slice(begin, end - begin).to_pylist():
+                    total[ngram_counts(text)[0]] += 1
         places = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int32)), pa.array(total[places])], names=["place", "n"])
 
@@ -130,6 +132,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def fit(docs: DataFrame, is_training: Column, lang: str = "lang", doc_id: str = "doc_id", text: str = "text") -> Model:
+    small_batches(docs.sparkSession)
     labelled = docs.select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), is_training.alias("training")
     ).where("training and lang is not null and length(text) > 0")
@@ -173,14 +176,21 @@ def fit(docs: DataFrame, is_training: Column, lang: str = "lang", doc_id: str =
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` (all columns in a struct ``row``) with lang_pred and score."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.struct("*").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
-                names=["row", "lang_pred", "score"],
-            )
+            column = field_of(batch.column(0), text)
+            for begin, end in slices(column, SLICE_BYTES):
+                found = [model.predict(x) for x in column.slice(begin, end - begin).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(begin, end - begin),
+                        pa.array([x for x, _ in found], pa.string()),
+                        pa.array([x for _, x in found], pa.float64()),
+                    ],
+                    names=["row", "lang_pred", "score"],
+                )
 
     return rows.mapInArrow(run, with_row(rows, "lang_pred string, score double"))

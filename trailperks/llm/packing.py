@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from trailperks.llm.common import shuffle_partitions, slices, text_bytes
+from trailperks.llm.common import shuffle_partitions, slices, small_batches, text_bytes
 from trailperks.llm.encoding import WordEncoder
 
 GROUP_BYTES = 8 * 1024**2
@@ -142,6 +142,7 @@ def pack(
 ) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): a row per piece, ids as little-endian 32 bits."""
     spark = docs.sparkSession
+    small_batches(spark)
     groups = max(shuffle_partitions(spark), -(-text_bytes(docs, text) // GROUP_BYTES))
     id_type = docs.schema[doc_id].dataType.simpleString()
 

@@ -27,13 +27,14 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from trailperks.llm.common import LOWER, UPPER, ascii_lower, keep, with_row
+from trailperks.llm.common import LOWER, UPPER, ascii_lower, field_of, keep, slices, small_batches, with_row
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 WINDOW, SUPPORT = 8, 3
 GENERALISE, REMOVE = 0.6, 0.9
 #: Characters looked at on each side of an entity for its surrounding terms.
 REACH = 600
+SLICE_BYTES = 2 * 1024**2
 
 # Possessive and anchored forms of the contract's patterns: the same matches, in linear time.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -107,9 +108,16 @@ def near_terms(text: str, spans: list[tuple[str, int, int]], start: int, end: in
     return terms(max(0, start - REACH), start)[-WINDOW:] + terms(end, min(len(text), end + REACH))[:WINDOW]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``SLICE_BYTES`` of text, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for begin, end in slices(column(batch), SLICE_BYTES):
+            yield batch.slice(begin, end - begin)
+
+
 def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, entity and term near it; the empty term stands for the entity itself."""
-    for batch in batches:
+    for batch in sliced(batches, lambda whole: whole.column(2)):
         rows: list[tuple] = []
         for doc, mark, text in zip(*(batch.column(n).to_pylist() for n in range(3))):
             spans = base_spans(text or "")
@@ -163,6 +171,7 @@ def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, spans, sanitised): spans are (kind, start, end) in code points, by start, then kind."""
+    small_batches(docs.sparkSession)
     mark = F.xxhash64(F.lit(5), F.col(text))
     keyed = docs.select(
         F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("doc"), mark.alias("mark"), F.col(text).alias("text")
@@ -181,12 +190,12 @@ def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
     joined = keyed.join(
         hits, keyed["doc"].eqNullSafe(hits["hit_doc"]) & (keyed["mark"] == hits["hit_mark"]), "left"
-    ).select("row", "text", "hits")
+    ).select("row", "hits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, lambda whole: field_of(whole.column(0), text)):
             spans_out, texts_out = [], []
-            for text_, hits_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for text_, hits_ in zip(field_of(batch.column(0), text).to_pylist(), batch.column(1).to_pylist()):
                 spans = base_spans(text_ or "")
                 terms: dict[tuple[int, int], bool] = {}
                 if hits_:

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trailperks.llm.common import binary_list, slices
+from trailperks.llm.common import binary_list, slices, small_batches
 from trailperks.session import cut_lineage
 
 SEED = 42
@@ -74,6 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: st
                 found = pa.array(fingerprints_of(binary_list(part.column(1)), shingle).view(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), found], names=["doc_id", "mark", "fp"])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_mark(F.col(text)).alias("mark")).mapInArrow(
         run, f"doc_id {kind}, mark long, fp long"

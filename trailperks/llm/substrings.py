@@ -28,11 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trailperks.llm.common import binary_list, shuffle_partitions, text_bytes, with_row
+from trailperks.llm.common import binary_list, shuffle_partitions, small_batches, text_bytes, with_row
 from trailperks.llm.words import Words, column_of, flat, in_buckets, lists, words_of
 
 PERIOD, COVER = 13, (0, 1, 3, 9)
-BUCKET_BYTES, PART_BYTES = 6 * 1024**2, 32 * 1024**2
+BUCKET_BYTES, PART_BYTES = 4 * 1024**2, 32 * 1024**2
 LAST_ID = 2**63 - 1
 
 
@@ -107,6 +107,7 @@ def reply(buckets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Tabl
 def remove_repeated(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, n_words, n_removed, kept): a row per document."""
     spark = docs.sparkSession
+    small_batches(spark)
     size = text_bytes(docs, text)
     partitions = shuffle_partitions(spark)
     buckets, parts = max(partitions, -(-size // BUCKET_BYTES)), max(partitions, -(-size // PART_BYTES))

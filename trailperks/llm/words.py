@@ -7,10 +7,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from trailperks.llm.common import field_of
+
 SLICE = 2**20
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
@@ -131,5 +132,4 @@ def in_buckets(docs: DataFrame, buckets: int, doc_id: str) -> DataFrame:
 
 def column_of(table: pa.Table, name: str) -> pa.Array:
     """A column of the documents in a bucket."""
-    rows = table["row"].combine_chunks()
-    return pc.struct_field(rows, [rows.type.get_field_index(name)])
+    return field_of(table["row"].combine_chunks(), name)
