@@ -97,6 +97,21 @@ def test_disclosing_terms(documents):
     assert all(got[n].sanitised == t for n, t in rows if n < 300 or n >= 400)
 
 
+def test_disclosing_terms_are_hidden_everywhere(documents):
+    """Also far from the entity, and in documents without it."""
+    rows = [(n, f"plain words number{n}") for n in range(300)]
+    rows += [(n, f"a{n} Quaxley mail joe@site.com b{n} " + "plain " * 30 + "quaxley ends") for n in range(300, 310)]
+    rows.append((310, "alone QUAXLEY here"))
+    got = {r.row.doc_id: r.sanitised for r in pii.protect(documents(rows)).collect()}
+    assert not [d for d, text in got.items() if "quaxley" in text.lower()]
+    assert got[310].startswith("alone ") and got[310].endswith(" here") and got[5] == "plain words number5"
+
+
+def test_free_terms():
+    text = "Ab1 x1.2.3.4 _cd_ joe@site.com,End"
+    assert list(pii.free_terms(text, pii.base_spans(text))) == [("ab1", 0, 3), ("cd", 14, 16), ("end", 31, 34)]
+
+
 def test_copies_are_no_evidence(documents):
     rows = [(n, "once Quaxley wrote from joe@site.com to all") for n in range(30)] + [(n, f"the text{n}") for n in range(50, 90)]
     assert all(s.kind != "term" for r in pii.protect(documents(rows)).collect() for s in r.spans)

@@ -4,12 +4,13 @@ Base spans are e-mail addresses, IP addresses, payment cards (Luhn) and phone nu
 protected entities. A term is a run of letters and digits, and it stands near an entity if it is among the ``WINDOW`` terms
 before or after it. Over the whole corpus are counted: the documents N, those with entity e, those with term t, and
 those where t stands near e. What t tells about e is their pointwise mutual information, log(N n(t,e) / (n(t) n(e))); as a
-share of all there is to learn, log(N / n(e)), it is the disclosure of e by t. From ``GENERALISE`` on, a term near
-e is replaced by a class name; from ``REMOVE`` on, it is removed. Only pairs seen in ``SUPPORT`` different surroundings
-count, so that copies of one passage are no evidence.
+share of all there is to learn, log(N / n(e)), it is the disclosure of e by t. From ``GENERALISE`` on, a term is
+replaced by a class name; from ``REMOVE`` on, it is removed. This holds for every place where the term stands, in every
+document, with the entity or without. Only pairs seen in ``SUPPORT`` different surroundings count, so that copies of one
+passage are no evidence.
 
-Counting is by partial aggregation, so a frequent entity or term costs one row per task. Terms to hide come back to their
-documents by a join whose smaller side is a stored table of known size.
+Counting is by partial aggregation, so a frequent entity or term costs one row per task. Terms to hide are joined, as a
+stored table of known size, with the distinct terms of each document; what is found goes back to the documents.
 
 Defined results: a null text is empty; it has no spans and stays null. Matches of a kind are leftmost and do not overlap;
 matches that fail a check are dropped without a second try. Term spans do not overlap base spans. Repeated rows and null
@@ -92,6 +93,18 @@ def entity_of(kind: str, value: str) -> str:
     return f"{kind}:{NOT_DIGITS.sub('', value) if kind in ('card', 'phone') else value.translate(TO_LOWER)}"
 
 
+def free_terms(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of all terms without those that are part of a base span."""
+    taken = at = 0
+    for match in TERM.finditer(text.translate(TO_LOWER)):
+        a, b = match.span()
+        while at < len(spans) and spans[at][1] < b:
+            taken = max(taken, spans[at][2])
+            at += 1
+        if taken <= a:
+            yield match.group(), a, b
+
+
 def near_terms(text: str, spans: list[tuple[str, int, int]], start: int, end: int) -> list[tuple[str, int, int]]:
     """(term, start, end) of the terms around text[start:end], without those that are part of a base span."""
 
@@ -136,6 +149,15 @@ def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct terms of each document."""
+    for batch in sliced(batches, lambda whole: whole.column(2)):
+        terms = [list({term for term, _, _ in free_terms(text or "", base_spans(text or ""))}) for text in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(terms, pa.list_(pa.string()))], names=["doc", "mark", "terms"]
+        )
+
+
 def sanitise(text: str, spans: list[tuple[str, int, int]], removed: set[tuple[int, int]]) -> str:
     """Each span replaced by the name of its class, or nothing; of overlapping spans the first names the class."""
     out, at = [], 0
@@ -147,7 +169,7 @@ def sanitise(text: str, spans: list[tuple[str, int, int]], removed: set[tuple[in
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, remove): pairs whose disclosure reaches the threshold."""
+    """(term, remove): terms whose disclosure of an entity reaches the threshold."""
     total = docs.count()
     pairs = (
         found.groupBy("entity", "term", "context")
@@ -165,7 +187,8 @@ def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
     return (
         candidates.join(documents, "term")
         .where(disclosure >= GENERALISE)
-        .select("entity", "term", (disclosure >= REMOVE).alias("remove"))
+        .groupBy("term")
+        .agg(F.max(disclosure >= REMOVE).alias("remove"))
     )
 
 
@@ -182,11 +205,16 @@ def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         ),
         "pii-surroundings",
     )
+    hidden = keep(disclosing_terms(found, keyed.select("text")), "pii-terms")
+    terms = keep(
+        keyed.select("doc", "mark", "text").mapInArrow(terms_of, "doc long, mark long, terms array<string>"), "pii-documents"
+    )
     hits = keep(
-        found.join(disclosing_terms(found, keyed.select("text")), ["entity", "term"])
+        terms.select("doc", "mark", F.explode("terms").alias("term"))
+        .join(hidden, "term")
         .groupBy(F.col("doc").alias("hit_doc"), F.col("mark").alias("hit_mark"))
-        .agg(F.collect_set(F.struct("entity", "term", "remove")).alias("hits")),
-        "pii-terms",
+        .agg(F.collect_set(F.struct("term", "remove")).alias("hits")),
+        "pii-hits",
     )
     joined = keyed.join(
         hits, keyed["doc"].eqNullSafe(hits["hit_doc"]) & (keyed["mark"] == hits["hit_mark"]), "left"
@@ -197,19 +225,17 @@ def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             spans_out, texts_out = [], []
             for text_, hits_ in zip(field_of(batch.column(0), text).to_pylist(), batch.column(1).to_pylist()):
                 spans = base_spans(text_ or "")
-                terms: dict[tuple[int, int], bool] = {}
+                places: dict[tuple[int, int], bool] = {}
                 if hits_:
-                    hidden = {(hit["entity"], hit["term"]): hit["remove"] for hit in hits_}
-                    for kind, start, end in spans:
-                        entity = entity_of(kind, text_[start:end])
-                        for term, a, b in near_terms(text_, spans, start, end):
-                            if (entity, term) in hidden:
-                                terms[a, b] = terms.get((a, b), False) or hidden[entity, term]
+                    hidden_here = {hit["term"]: hit["remove"] for hit in hits_}
+                    for term, a, b in free_terms(text_, spans):
+                        if term in hidden_here:
+                            places[a, b] = hidden_here[term]
                     spans = sorted(
-                        spans + [("term", a, b) for a, b in terms], key=lambda span: (span[1], KINDS.index(span[0]))
+                        spans + [("term", a, b) for a, b in places], key=lambda span: (span[1], KINDS.index(span[0]))
                     )
                 spans_out.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                removed = {place for place, remove in terms.items() if remove}
+                removed = {place for place, remove in places.items() if remove}
                 texts_out.append(sanitise(text_, spans, removed) if spans else text_)
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
