@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 import pytest
@@ -107,6 +108,37 @@ def test_disclosing_terms_are_hidden_everywhere(documents):
     assert got[310].startswith("alone ") and got[310].endswith(" here") and got[5] == "plain words number5"
 
 
+def test_terms_far_from_the_entity_disclose_it(documents):
+    """The name heads the text, the address ends it; long terms count too."""
+    rows = [(n, f"plain words number{n}") for n in range(300)]
+    rows += [(n, f"Quaxley {'long' * 300} a{n} " + "plain words " * 90 + "joe@site.com") for n in range(300, 310)]
+    for row in pii.protect(documents(rows)).collect():
+        assert "Quaxley" not in row.sanitised and "long" not in row.sanitised
+        assert [s.kind for s in row.spans] == (["term", "term", "email"] if row.row.doc_id >= 300 else [])
+
+
+def test_rare_entities(documents):
+    """Found in two texts; a rare word of the only text with an entity is a coincidence, as the corpus has many rare words."""
+    rows = [(n, f"plain words number{n}") for n in range(3000)]
+    rows += [(4000 + n, f"plain Quaxley words x{n} plain joe@site.com") for n in range(2)]
+    rows.append((4020, " ".join(f"only{n}" for n in range(100)) + " bob@site.com"))
+    got = {r.row.doc_id: r.sanitised for r in pii.protect(documents(rows)).collect()}
+    assert "Quaxley" not in got[4000] + got[4001] and "plain" in got[4000] and got[5] == "plain words number5"
+    assert got[4020] == rows[-1][1].replace("bob@site.com", "[EMAIL]")
+
+
+def test_entity_found_once(documents):
+    """Among many texts of few words, one text is evidence."""
+    rows = [(n, " ".join(words)) for n, words in enumerate(itertools.product(["one", "two", "three", "four"], repeat=6))]
+    rows.append((5000, "one Brimble ann@site.com"))
+    assert [r.sanitised for r in pii.protect(documents(rows)).where("row.doc_id = 5000").collect()] == ["one  [EMAIL]"]
+
+
+def test_entity_of_every_text(documents):
+    rows = [(n, f"some{n} words joe@site.com") for n in range(40)]
+    assert all(r.sanitised == t.replace("joe@site.com", "[EMAIL]") for r, (_, t) in zip(pii.protect(documents(rows)).orderBy("row.doc_id").collect(), rows))
+
+
 def test_free_terms():
     text = "Ab1 x1.2.3.4 _cd_ joe@site.com,End"
     assert list(pii.free_terms(text, pii.base_spans(text))) == [("ab1", 0, 3), ("cd", 14, 16), ("end", 31, 34)]

@@ -27,10 +27,10 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
-def keep(frame: DataFrame, purpose: str) -> DataFrame:
+def keep(frame: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Compute once: write to the shared folder and read back, so Spark knows the size and no executor holds the only copy."""
     folder = new_run_folder(frame.sparkSession, purpose)
-    frame.write.parquet(folder)
+    frame.write.options(**options).parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 

@@ -1,16 +1,23 @@
 """Personal data: fixed patterns, and terms that give the found entities away.
 
 Base spans are e-mail addresses, IP addresses, payment cards (Luhn) and phone numbers. The values found are the
-protected entities. A term is a run of letters and digits, and it stands near an entity if it is among the ``WINDOW`` terms
-before or after it. Over the whole corpus are counted: the documents N, those with entity e, those with term t, and
-those where t stands near e. What t tells about e is their pointwise mutual information, log(N n(t,e) / (n(t) n(e))); as a
-share of all there is to learn, log(N / n(e)), it is the disclosure of e by t. From ``GENERALISE`` on, a term is
-replaced by a class name; from ``REMOVE`` on, it is removed. This holds for every place where the term stands, in every
-document, with the entity or without. Only pairs seen in ``SUPPORT`` different surroundings count, so that copies of one
-passage are no evidence.
-
-Counting is by partial aggregation, so a frequent entity or term costs one row per task. Terms to hide are joined, as a
-stored table of known size, with the distinct terms of each document; what is found goes back to the documents.
+protected entities. A term is a run of letters and digits outside the base spans. Over the distinct texts of the corpus are
+counted: the texts N, those with entity e, those with term t, and those with both, wherever they stand. What t tells about
+e is their pointwise mutual information, log(N n(t,e) / (n(t) n(e))); as a share of all there is to learn, log(N / n(e)),
+it is the disclosure of e by t. From ``GENERALISE`` on, a term is replaced by a class name; from ``REMOVE`` on, it is
+removed. This holds for every place where the term stands, in every document, with the entity or without.
+
+A pair counts if it is no coincidence: were t and e independent, n(t,e) texts or more of the n(t) would have e with a
+probability of at most exp(-n(t) KL(n(t,e) / n(t), n(e) / N)) (Chernoff); this may not exceed ``CHANCE``, divided by the
+number of terms tried with e, the distinct terms V of the corpus. There is no least number of texts, but an entity of two
+texts reaches the bound from about N = 2 sqrt(V / CHANCE) on, one of a single text only from N = V / CHANCE on: in smaller
+corpora any rare word of its text would do. Copies of one text count once and are no evidence.
+
+Counting is by partial aggregation, so a frequent entity or term costs one row per task. Terms too frequent to disclose any
+entity (n(t,e) is at most n(e), which bounds n(t)), and terms and entities too rare to reach the bound, are left out before
+terms meet entities, an exact reduction. Terms to
+hide are joined, as a stored table of known size, with the distinct terms of each document, of which those are left out
+whose hash no hidden term has (a bitmap of ``BITS``, 1 MB); what is found goes back to the documents.
 
 Defined results: a null text is empty; it has no spans and stays null. Matches of a kind are leftmost and do not overlap;
 matches that fail a check are dropped without a second try. Term spans do not overlap base spans. Repeated rows and null
@@ -23,18 +30,19 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from trailperks.llm.common import LOWER, UPPER, ascii_lower, field_of, keep, slices, small_batches, with_row
+from trailperks.llm.common import LOWER, UPPER, field_of, keep, slices, small_batches, with_row
 
 KINDS = ["email", "ip", "card", "phone", "term"]
-WINDOW, SUPPORT = 8, 3
 GENERALISE, REMOVE = 0.6, 0.9
-#: Characters looked at on each side of an entity for its surrounding terms.
-REACH = 600
+#: The probability with which any of the terms tried with an entity may be taken by coincidence.
+CHANCE = 0.01
+BITS = 2**23
 SLICE_BYTES = 2 * 1024**2
 
 # Possessive and anchored forms of the contract's patterns: the same matches, in linear time.
@@ -105,22 +113,6 @@ def free_terms(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[s
             yield match.group(), a, b
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]], start: int, end: int) -> list[tuple[str, int, int]]:
-    """(term, start, end) of the terms around text[start:end], without those that are part of a base span."""
-
-    def free(a: int, b: int) -> bool:
-        return all(b <= x or y <= a for _, x, y in spans if x < end + REACH and y > start - REACH)
-
-    def terms(low: int, high: int) -> list[tuple[str, int, int]]:
-        # A term cut off by the edge of the searched part is not known and not taken.
-        found = [m.span() for m in TERM.finditer(text, low, high)]
-        found = [(a, b) for a, b in found if not (a == low > 0 and text[low - 1].isalnum() and low != end)]
-        found = [(a, b) for a, b in found if not (b == high < len(text) and text[high].isalnum() and high != start)]
-        return [(text[a:b].translate(TO_LOWER), a, b) for a, b in found if free(a, b)]
-
-    return terms(max(0, start - REACH), start)[-WINDOW:] + terms(end, min(len(text), end + REACH))[:WINDOW]
-
-
 def sliced(batches: Iterator[pa.RecordBatch], column) -> Iterator[pa.RecordBatch]:
     """The batches in parts of about ``SLICE_BYTES`` of text, so that few texts are Python objects at a time."""
     for batch in batches:
@@ -128,33 +120,17 @@ def sliced(batches: Iterator[pa.RecordBatch], column) -> Iterator[pa.RecordBatch
             yield batch.slice(begin, end - begin)
 
 
-def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document, entity and term near it; the empty term stands for the entity itself."""
-    for batch in sliced(batches, lambda whole: whole.column(2)):
-        rows: list[tuple] = []
-        for doc, mark, text in zip(*(batch.column(n).to_pylist() for n in range(3))):
+def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct entities and terms of each document."""
+    for batch in sliced(batches, lambda whole: whole.column(3)):
+        entities, terms = [], []
+        for text in batch.column(3).to_pylist():
             spans = base_spans(text or "")
-            seen: set[tuple[str, str]] = set()
-            for kind, start, end in spans:
-                entity, near = entity_of(kind, text[start:end]), near_terms(text, spans, start, end)
-                context = xxhash.xxh64_intdigest(" ".join(term for term, _, _ in near).encode()) - 2**63
-                for term in ["", *(term for term, _, _ in near)]:
-                    if (entity, term) not in seen:
-                        seen.add((entity, term))
-                        rows.append((doc, mark, entity, term, context))
-        columns = list(zip(*rows)) or [()] * 5
+            entities.append(list({entity_of(kind, text[start:end]) for kind, start, end in spans}))
+            terms.append(list({term for term, _, _ in free_terms(text or "", spans)}))
+        kind = pa.list_(pa.string())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))],
-            names=["doc", "mark", "entity", "term", "context"],
-        )
-
-
-def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct terms of each document."""
-    for batch in sliced(batches, lambda whole: whole.column(2)):
-        terms = [list({term for term, _, _ in free_terms(text or "", base_spans(text or ""))}) for text in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(terms, pa.list_(pa.string()))], names=["doc", "mark", "terms"]
+            [*batch.columns[:3], pa.array(entities, kind), pa.array(terms, kind)], names=["row_id", "doc", "mark", "entities", "terms"]
         )
 
 
@@ -168,30 +144,85 @@ def sanitise(text: str, spans: list[tuple[str, int, int]], removed: set[tuple[in
     return "".join(out) + text[at:]
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(term, remove): terms whose disclosure of an entity reaches the threshold."""
-    total = docs.count()
+def disclosing_terms(found: DataFrame) -> DataFrame:
+    """(term, remove): terms whose disclosure of an entity reaches the threshold and is no coincidence."""
+    rows = found.select("mark", "row_id")
+    firsts = rows.groupBy("mark").agg(F.min("row_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = keep(rows.join(firsts, "mark").where("row_id != first").select("row_id"), "pii-copies")
+    texts = found.join(copies, "row_id", "left_anti")
+    total = float(texts.count())
+    documents = keep(
+        texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("of_term")), "pii-counts", compression="zstd"
+    )
+    bound = math.log(max(1, documents.count()) / CHANCE)
+    # No pair is as little a coincidence as one in which all texts of the rarer one have the other.
+    least = bound / (math.log(max(2.0, total)) * (1 + 1e-9))
+    with_entity = texts.where(F.size("entities") > 0)
+    entities = keep(
+        with_entity.select(F.explode("entities").alias("entity"))
+        .groupBy("entity")
+        .agg(F.count("*").alias("of_entity"))
+        # An entity of all texts has nothing left to learn.
+        .where((F.col("of_entity") < total) & (F.col("of_entity") >= least)),
+        "pii-entities",
+    )
+    # The most texts a term can have whose disclosure of e reaches the threshold: n(e) (N / n(e)) ** (1 - GENERALISE).
+    most = F.col("of_entity") * F.pow(F.lit(total) / F.col("of_entity"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
+    limit = entities.agg(F.max(most)).first()[0] or 0.0
+    protected = (
+        with_entity.select("row_id", F.explode("entities").alias("entity")).join(entities, "entity").withColumn("most", most)
+    )
+    candidates = (
+        with_entity.select("row_id", F.explode("terms").alias("term"))
+        .join(documents.where((F.col("of_term") <= limit) & (F.col("of_term") >= least)), "term")
+        .select("row_id", "term", "of_term")
+    )
+    rarer, other = F.least("of_term", "of_entity"), F.greatest("of_term", "of_entity")
     pairs = (
-        found.groupBy("entity", "term", "context")
-        .agg(F.count("*").alias("n"))
+        candidates.join(protected, "row_id")
+        .where((F.col("of_term") <= F.col("most")) & (rarer * F.log(F.lit(total) / other) * (1 + 1e-9) >= bound))
         .groupBy("entity", "term")
-        .agg(F.sum("n").alias("together"), F.count("*").alias("contexts"))
+        .agg(F.count("*").alias("together"), *[F.first(name).alias(name) for name in ("of_term", "of_entity")])
     )
-    entities = pairs.where("term = ''").select("entity", F.col("together").alias("of_entity"))
-    candidates = pairs.where((F.col("term") != "") & (F.col("contexts") >= SUPPORT)).join(entities, "entity")
-    words = F.array_distinct(F.split(ascii_lower(F.col("text")), r"[^\p{L}\p{N}]+"))
-    documents = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
-    told = F.log(F.col("together") * F.lit(float(total)) / (F.col("of_term") * F.col("of_entity")))
-    whole = F.log(F.lit(float(total)) / F.col("of_entity"))
-    disclosure = F.when(whole > 0, told / whole).otherwise(F.lit(0.0))
+    together, of_term, share = F.col("together"), F.col("of_term"), F.col("of_entity") / F.lit(total)
+    told, whole = F.log(together / (of_term * share)), -F.log(share)
+    without = F.when(of_term > together, (of_term - together) * F.log((1 - together / of_term) / (1 - share))).otherwise(0.0)
+    disclosure = told / whole
     return (
-        candidates.join(documents, "term")
-        .where(disclosure >= GENERALISE)
+        pairs.where((disclosure >= GENERALISE) & (together * told + without >= bound))
         .groupBy("term")
         .agg(F.max(disclosure >= REMOVE).alias("remove"))
     )
 
 
+def marked_bits(hidden: DataFrame) -> np.ndarray:
+    """A bit for each of ``BITS`` remainders of a term's hash, set where there is a hidden term: of one size always."""
+    bit = F.xxhash64("term").bitwiseAND(F.lit(BITS - 1))
+    blocks = hidden.groupBy(F.shiftright(bit, 15).alias("block")).agg(F.bitmap_construct_agg(bit.bitwiseAND(F.lit(2**15 - 1))).alias("bits"))
+    out = np.zeros((BITS // 2**15, 2**12), np.uint8)
+    for row in blocks.collect():
+        out[row.block] = np.frombuffer(row.bits, np.uint8)
+    return out.ravel()
+
+
+def possible(bits: np.ndarray):
+    """For mapInArrow: a row per document and term, without terms whose bit says that they are not hidden."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = batch.column(2)
+            coded = terms.flatten().dictionary_encode()
+            hashes = [xxhash.xxh64_intdigest(term, 42) & (BITS - 1) for term in coded.dictionary.to_pylist()]
+            at = np.array(hashes, np.int64)  # as Spark's xxhash64
+            marked = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            places = np.flatnonzero(marked[coded.indices.to_numpy()])
+            rows = np.repeat(np.arange(batch.num_rows), terms.value_lengths().to_numpy())[places]
+            columns = [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), terms.flatten().take(pa.array(places))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "mark", "term"])
+
+    return run
+
+
 def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, spans, sanitised): spans are (kind, start, end) in code points, by start, then kind."""
     small_batches(docs.sparkSession)
@@ -200,17 +231,16 @@ def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("doc"), mark.alias("mark"), F.col(text).alias("text")
     )
     found = keep(
-        keyed.select("doc", "mark", "text").mapInArrow(
-            surroundings, "doc long, mark long, entity string, term string, context long"
+        keyed.select(F.monotonically_increasing_id().alias("row_id"), "doc", "mark", "text").mapInArrow(
+            described, "row_id long, doc long, mark long, entities array<string>, terms array<string>"
         ),
-        "pii-surroundings",
-    )
-    hidden = keep(disclosing_terms(found, keyed.select("text")), "pii-terms")
-    terms = keep(
-        keyed.select("doc", "mark", "text").mapInArrow(terms_of, "doc long, mark long, terms array<string>"), "pii-documents"
+        "pii-documents",
+        compression="zstd",
     )
+    hidden = keep(disclosing_terms(found), "pii-terms")
     hits = keep(
-        terms.select("doc", "mark", F.explode("terms").alias("term"))
+        found.select("doc", "mark", "terms")
+        .mapInArrow(possible(marked_bits(hidden)), "doc long, mark long, term string")
         .join(hidden, "term")
         .groupBy(F.col("doc").alias("hit_doc"), F.col("mark").alias("hit_mark"))
         .agg(F.collect_set(F.struct("term", "remove")).alias("hits")),
