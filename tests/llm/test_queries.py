@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import subprocess
 import sys
@@ -35,8 +36,11 @@ def test_the_rest_works_without_this_subpackage(tmp_path):
         (tmp_path / part).symlink_to(ROOT / part)
     count = "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries())"
 
+    # Without PYTHONPATH, on which the repository itself may be.
+    env = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+
     def run(folder):
-        return subprocess.run([sys.executable, "-c", count], cwd=folder, capture_output=True, text=True, timeout=120)
+        return subprocess.run([sys.executable, "-c", count], cwd=folder, env=env, capture_output=True, text=True, timeout=120)
 
     assert run(tmp_path).stdout.split()[1] == "True"
     (tmp_path / "corpus_pipeline.py").unlink()
