@@ -61,7 +61,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL expresses neither the classifier nor the tokenizer; tests/llm/test_pipeline.py compares with a plain version.
+#: SQL expresses neither the classifier nor the tokenizer; tests/llm/test_corpus_pipeline.py compares with a plain version.
 ORACLE_SQL = None
 
 

@@ -7,12 +7,11 @@ import pytest
 
 sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
 
+from compare import SMALL  # noqa: E402
 from trailperks.session import local_session  # noqa: E402
 from trailperks.sources.layers import Layers  # noqa: E402
 from trailperks.sources.testdata import TestTables  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from compare import connect, differences
-from conftest import SMALL
+from compare import SMALL, connect, differences
 
 from trailperks.catalog import ORACLES, QUERIES
 

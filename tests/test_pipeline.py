@@ -3,6 +3,7 @@
 from datetime import datetime, timezone
 
 import pytest
+from compare import SMALL
 from pyspark.sql import functions as F
 
 from trailperks import labels as L, schemas
@@ -14,7 +15,6 @@ from trailperks.plans.pipeline import Pipeline
 from trailperks.sources.layers import Layers
 from trailperks.sources.testdata import AS_OF_TIME, TestTables
 from trailperks.streaming import loader
-from conftest import SMALL
 
 
 @pytest.fixture(scope="module")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from conftest import SMALL
+from compare import SMALL
 from trailperks import schemas
 from trailperks.catalog import flows
 from trailperks.operators import changes, marts, profiling, staging
