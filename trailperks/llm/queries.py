@@ -1,11 +1,13 @@
-"""The registered queries of the ten operators, with production parameters."""
+"""The registered queries of the operators, with production parameters."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trailperks.llm import bpe, language, language_model, packing, pii, simhash, substrings, topk, url_filters, weighted_sampling
+from trailperks.llm import (
+    bpe, language, language_model, merkle, packing, pii, simhash, substrings, topk, url_filters, weighted_sampling,
+)
 from trailperks.llm.common import id_remainder, table
 from trailperks.llm.registry import query
 
@@ -164,3 +166,82 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         (id_remainder(F.col("row.doc_id"), 7) == 2).alias("held_out"),
         "n_tokens", "n_known", "train_tokens", "base_score", "score",
     )
+
+
+#: CRC-32 of the decimal digits of an id, bit by bit.
+CRC32_SQL = """
+crc(doc_id, crc) AS (
+  SELECT doc_id, xor(4294967295, list_reduce(list_prepend(4294967295, [ord(c) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+    lambda a, byte: list_reduce(list_prepend(xor(a, byte), [CAST(b AS BIGINT) FOR b IN range(8)]),
+      lambda x, b: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))
+  FROM documents)
+"""
+
+MANIFEST_SQL = f"""
+WITH RECURSIVE {CRC32_SQL.strip()},
+written AS (
+  SELECT doc_id, lang, crc % 7 = 0 AS tampered,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS chars,
+    coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS other_chars,
+    coalesce(strlen(text) || ':' || text, '-') AS body
+  FROM documents JOIN crc USING (doc_id)),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || chars || body) AS leaf,
+    sha256(head || CASE WHEN tampered THEN other_chars ELSE chars END || body) AS shown,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place
+  FROM written),
+inner_nodes(lang, level, place, node, held) AS (
+  SELECT lang, 0, place, leaf, count(*) OVER (PARTITION BY lang) FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, place, sha256(string_agg(node, '' ORDER BY below)), any_value((held + 1) // 2)
+  FROM (SELECT lang, level, place // 2 AS place, place AS below, node, held FROM inner_nodes WHERE held > 1)
+  GROUP BY lang, level, place),
+subroots AS (
+  SELECT lang, level AS height, node AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place
+  FROM inner_nodes WHERE held = 1),
+outer_nodes(level, place, node, held) AS (
+  SELECT 0, place, subroot, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT level + 1, place, sha256(string_agg(node, '' ORDER BY below)), any_value((held + 1) // 2)
+  FROM (SELECT level, place // 2 AS place, place AS below, node, held FROM outer_nodes WHERE held > 1)
+  GROUP BY level, place),
+siblings AS (
+  SELECT d.doc_id, n.level, n.node, n.place % 2 = 0 AS before
+  FROM leaves d JOIN inner_nodes n ON n.lang IS NOT DISTINCT FROM d.lang AND n.place = xor(d.place >> n.level, 1) AND n.held > 1
+  UNION ALL
+  SELECT d.doc_id, s.height + n.level, n.node, n.place % 2 = 0
+  FROM leaves d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang
+  JOIN outer_nodes n ON n.place = xor(s.place >> n.level, 1) AND n.held > 1),
+heights AS (
+  SELECT doc_id, subroot, height + (SELECT max(level) FROM outer_nodes) AS height
+  FROM leaves d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang),
+folded(doc_id, level, node) AS (
+  SELECT doc_id, 0, shown FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(CASE WHEN s.node IS NULL THEN f.node WHEN before THEN s.node || f.node
+    ELSE f.node || s.node END)
+  FROM folded f JOIN heights h ON h.doc_id = f.doc_id AND f.level < h.height
+  LEFT JOIN siblings s ON s.doc_id = f.doc_id AND s.level = f.level),
+proofs AS (SELECT doc_id, string_agg(node, '' ORDER BY level) AS proof FROM siblings GROUP BY doc_id),
+root AS (SELECT node AS root FROM outer_nodes WHERE held = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM leaves JOIN heights h USING (doc_id) JOIN folded f ON f.doc_id = leaves.doc_id AND f.level = h.height
+LEFT JOIN proofs USING (doc_id) CROSS JOIN root
+"""
+
+
+@query("op11_merkle_manifest", MANIFEST_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    columns = {name: F.col(name) for name in docs.columns}
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    tampered = merkle.leaf_digest(*(columns | {"n_chars": more}).values())
+    found = merkle.manifest(
+        docs, merkle.leaf_digest(*columns.values()), F.when(id_remainder(F.col("doc_id"), 7) == 0, tampered)
+    )
+    return found.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
