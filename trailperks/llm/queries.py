@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trailperks.llm import (
-    bpe, language, language_model, merkle, packing, pii, simhash, substrings, topk, url_filters, weighted_sampling,
+    bpe, language, language_model, merkle, packing, periodic, pii, simhash, substrings, topk, url_filters, weighted_sampling,
 )
 from trailperks.llm.common import id_remainder, table
 from trailperks.llm.registry import query
@@ -245,3 +245,63 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+RUNS_SQL = rf"""
+WITH {CRC32_SQL.strip()},
+split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, crc AS h FROM documents JOIN crc USING (doc_id)),
+sized AS (SELECT *, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS parts FROM split),
+texts AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0
+    THEN list_concat(w[1 : a], [w[a + 1 + i % (1 + (n - a) // parts)] FOR i IN range(n - a)]) ELSE w END AS w
+  FROM sized),
+words AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM texts),
+same AS (
+  SELECT doc_id, x.i, y.i - x.i AS period
+  FROM words x JOIN words y USING (doc_id, word) WHERE y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (
+  SELECT doc_id, period, min(i) AS start, count(*) + period AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM same)
+  GROUP BY doc_id, period, island),
+runs AS (
+  SELECT doc_id, start, CAST(length AS BIGINT) AS length, min(period) AS period FROM islands
+  WHERE length >= greatest(24, 3 * period) GROUP BY doc_id, start, length),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t
+  FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def repeated_tail(doc_id: Column, text: Column) -> Column:
+    """The text of op13: in every tenth document by its id, the words from some word on repeat a part of themselves."""
+    checksum = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")))
+    number = F.floor(checksum / 10)
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n = F.size(words)
+    start = (number % F.greatest(n, F.lit(1))).cast("int")
+    period = (1 + F.floor((n - start) / (3 + number % 8))).cast("int")
+    copies = F.ceil((n - start) / period).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, start + 1, period), copies)), F.lit(1), n - start)
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), start), tail), " ")
+    return F.when(checksum % 10 == 0, changed).otherwise(text)
+
+
+@query("op13_periodic_runs", RUNS_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    best = periodic.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = periodic.find_runs(docs, least=24).withColumn("best", best)
+    return found.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
