@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trailperks.llm import (
-    bpe, language, language_model, merkle, packing, periodic, pii, simhash, substrings, topk, url_filters, weighted_sampling,
+    bpe, language, language_model, merkle, packing, periodic, pii, simhash, substrings, suffix_dedup, topk, url_filters, weighted_sampling,
 )
 from trailperks.llm.common import id_remainder, table
 from trailperks.llm.registry import query
@@ -305,3 +305,37 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+BYTES_SQL = """
+WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS b, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+starts AS (SELECT doc_id, b, unnest(range(1, n - 198)) AS s FROM texts),
+windows AS (SELECT doc_id, s, b[s : s + 199] AS w FROM starts),
+repeated AS (SELECT doc_id, s FROM windows QUALIFY count(*) OVER (PARTITION BY md5(w)) > 1),
+stretches AS (
+  SELECT doc_id, min(s) AS a, max(s) + 200 AS z
+  FROM (SELECT *, s - row_number() OVER (PARTITION BY doc_id ORDER BY s) AS island FROM repeated) GROUP BY doc_id, island),
+marked AS (
+  SELECT *, coalesce(a > max(z) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS fresh
+  FROM stretches),
+spans AS (
+  SELECT doc_id, min(a) AS a, max(z) AS z
+  FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY a) AS span FROM marked) GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1) AS begin, a AS until FROM spans
+  UNION ALL SELECT doc_id, NULL, NULL, max(z), NULL FROM spans GROUP BY doc_id),
+cut AS (
+  SELECT g.doc_id, CAST(count(a) AS BIGINT) AS n_spans, CAST(coalesce(sum(z - a), 0) AS BIGINT) AS n_removed,
+    string_agg(hex(b[begin : coalesce(until, n + 1) - 1]), '' ORDER BY begin) FILTER (begin < coalesce(until, n + 1)) AS kept
+  FROM gaps g JOIN texts USING (doc_id) GROUP BY g.doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(coalesce(kept, '')) END) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
+
+@query("op12_suffix_dedup", BYTES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeated(docs, window=200)
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
