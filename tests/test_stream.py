@@ -269,8 +269,9 @@ def test_batch_without_announcement(layers, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         quiet = messages(spark, *[event(source="backfill")] * 20)
-        announcer.announce_batch(layers, quiet, "q-0", seeds.speed_limits(spark))
-        announcer.announce_batch(layers, quiet.limit(0), "q-1", seeds.speed_limits(spark))
+        for number, rows in enumerate((quiet, quiet.limit(0))):
+            new = announcer.new_activities(rows, seeds.speed_limits(spark))
+            announcer.announce_batch(layers, new, f"q-{number}")
         loader.load_batch(layers, quiet.limit(0), "q-0")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

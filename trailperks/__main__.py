@@ -63,12 +63,15 @@ def parser() -> argparse.ArgumentParser:
         stream = commands.add_parser(name, help=text)
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--files", help="folder of JSON lines instead of a topic")
+        stream.add_argument("--log", help="folder of JSON-lines segments with positions, like a topic")
         stream.add_argument("--servers")
         stream.add_argument("--topic")
         stream.add_argument("--interval", help="keep running, e.g. '5 seconds'")
         stream.add_argument("--batch-size", type=int,
-                            help="most messages (of a topic) or files of one batch")
+                            help="most messages (of a topic or log) or files of one batch")
         if name == "announce":
+            stream.add_argument("--once", metavar="SPAN", help="announce an activity once in, e.g., "
+                                "'24 hours', and none that is older")
             stream.add_argument("--dry-run", action="store_true", help="show texts, write nothing")
     return top
 
@@ -79,7 +82,13 @@ def overrides(pairs: list[str]) -> Params:
     return Params().with_overrides(**{name: value or None for name, value in given.items()})
 
 
-def stream_of(spark: SparkSession, options: argparse.Namespace, from_start: bool):
+def stream_of(
+    spark: SparkSession, options: argparse.Namespace, from_start: bool, checkpoint: str | None = None
+) -> DataFrame:
+    if options.log:
+        return sources.from_log(
+            spark, options.log, checkpoint or options.checkpoint, from_start, options.batch_size
+        )
     if options.files:
         return sources.from_files(spark, options.files, options.batch_size)
     return sources.from_kafka(
@@ -121,7 +130,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         elif options.command == "load":
             messages = stream_of(spark, options, from_start=True)
             loader.start_loader(
-                layers, messages, options.checkpoint, options.interval
+                layers, messages, options.checkpoint, options.interval, bool(options.log)
             ).awaitTermination()
         elif options.command == "announce":
             announce(layers, options)
@@ -164,17 +173,19 @@ def announce(layers: Layers, options: argparse.Namespace) -> None:
         return
     messages = stream_of(layers.spark, options, from_start=False)
     announcer.start_announcer(
-        layers, messages, options.checkpoint, limits, options.interval
+        layers, messages, options.checkpoint, limits, options.interval, options.once, bool(options.log)
     ).awaitTermination()
+    announcer.settle(layers.spark)
 
 
 def dry_run(layers: Layers, options: argparse.Namespace, limits: DataFrame) -> None:
     """Print the texts of the stream, from whichever source; the announcer's own checkpoint stays as it is."""
     names = names_directory(layers.read_or_empty(announcer.SALARIES, schemas.RAW_SALARIES))
-    messages = stream_of(layers.spark, options, from_start=False)
+    checkpoint = new_run_folder(layers.spark, "dry-run")
+    messages = stream_of(layers.spark, options, from_start=False, checkpoint=checkpoint)
     start_batches(
-        messages, new_run_folder(layers.spark, "dry-run"),
-        lambda batch, _: print_all(announcer.preview(batch, limits, names)), options.interval,
+        messages, checkpoint, lambda batch, _: print_all(announcer.preview(batch, limits, names)),
+        options.interval, bool(options.log),
     ).awaitTermination()
 
 

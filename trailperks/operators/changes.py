@@ -87,18 +87,14 @@ def announceable(activities: DataFrame, speed_limits: DataFrame) -> DataFrame:
     return limited.drop("vitesse_max_kmh")
 
 
-def announcements(activities: DataFrame, speed_limits: DataFrame, names: DataFrame) -> DataFrame:
-    """Text of each announceable activity: ``id_activite, texte``."""
+def announced_texts(new: DataFrame, names: DataFrame) -> DataFrame:
+    """Text of each activity to announce: ``id_activite, texte``."""
     people = names.select("id_salarie", F.concat("prenom", F.lit(" "), "nom").alias("nom_complet"))
     text = messages.announcement(
         F.col("nom_complet"), F.col("type_activite"), F.col("date_debut"), F.col("date_fin"),
         F.col("distance_m"), F.col("commentaire"),
     )
-    return (
-        announceable(activities, speed_limits)
-        .join(people, "id_salarie", "left")
-        .select("id_activite", text.alias("texte"))
-    )
+    return new.join(people, "id_salarie", "left").select("id_activite", text.alias("texte"))
 
 
 def to_messages(activities: DataFrame) -> DataFrame:

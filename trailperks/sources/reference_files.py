@@ -21,6 +21,12 @@ class InvalidFileError(ValueError):
         self.reason, self.listed = reason, listed
 
 
+SALARIES = "raw.salaries"
+# The names of the employees, in one folder for each range of so many ids.
+NAMES = "notifications.noms_salaries"
+ID_RANGE = 10_000
+
+
 @dataclass(frozen=True)
 class ReferenceFile:
     """How one reference file becomes a raw table."""
@@ -38,7 +44,7 @@ class ReferenceFile:
 # Column headers of the two files.
 HR_FILE = ReferenceFile(
     step="ingestion_salaries",
-    table="raw.salaries",
+    table=SALARIES,
     columns={
         "ID salarié": "id_salarie",
         "Nom": "nom",
@@ -154,6 +160,8 @@ def full_reload(
         frame = read_file(layers.spark, path, kind)
         rows = validate(frame, reference)
         layers.reload(reference.table, typed(frame, reference, loaded_at))
+        if reference.table == SALARIES:
+            store_names(layers)
         return rows
 
     return logged_step(layers, reference.step, work)
@@ -164,3 +172,10 @@ def names_directory(salaries: DataFrame) -> DataFrame:
     return salaries.select(
         "id_salarie", F.trim("prenom").alias("prenom"), F.trim("nom").alias("nom")
     )
+
+
+def store_names(layers: Layers) -> None:
+    """Store the names of the newest HR table by ranges of ids, for readers that need few of them."""
+    names = names_directory(layers.read(SALARIES))
+    tranche = F.floor(F.col("id_salarie") / ID_RANGE).cast("int")
+    layers.reload(NAMES, names.withColumn("tranche", tranche), partition_by=("tranche",))

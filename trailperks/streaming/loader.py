@@ -20,7 +20,7 @@ from trailperks.operators.changes import accepted, latest_per_activity, parse, r
 from trailperks.params import small_table
 from trailperks.session import cut_lineage
 from trailperks.sources.layers import Layers
-from trailperks.streaming.batches import observed, start_batches
+from trailperks.streaming.batches import start_batches
 
 ACTIVITIES = "raw.activites"
 JOURNAL = "raw.activites_journal"
@@ -51,7 +51,7 @@ def load_batch(layers: Layers, batch: DataFrame, name: str) -> None:
     layers.write_batch(JOURNAL, rows.observe(seen, good.alias("n")), name)
     entry = (
         f"{L.LOADER_STEP}-{name}", L.LOADER_STEP, start, datetime.now(timezone.utc), L.RUN_OK,
-        observed(batch, seen), None,
+        seen.get["n"], None,
     )
     layers.write_batch(LOAD_LOG, small_table(layers.spark, [entry], schemas.PIPELINE_RUNS), name)
 
@@ -85,11 +85,12 @@ REJECTED_SCHEMA = T.StructType([JOURNAL_SCHEMA[name] for name in ("partition", "
 
 
 def start_loader(
-    layers: Layers, messages: DataFrame, checkpoint: str, interval: str | None = None
+    layers: Layers, messages: DataFrame, checkpoint: str, interval: str | None = None,
+    drain: bool = False,
 ) -> StreamingQuery:
     """Load the stream; without an interval, load what is there and stop."""
     return start_batches(
-        messages, checkpoint, lambda batch, name: load_batch(layers, batch, name), interval
+        messages, checkpoint, lambda batch, name: load_batch(layers, batch, name), interval, drain
     )
 
 

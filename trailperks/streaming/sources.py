@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trailperks import schemas
+from trailperks.streaming.message_log import NAME, MessageLog
 
 
 def from_kafka(
@@ -29,3 +30,24 @@ def from_files(spark: SparkSession, folder: str, files_per_batch: int | None = N
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(folder)
+
+
+def from_log(
+    spark: SparkSession, folder: str, checkpoint: str, from_start: bool = True,
+    messages_per_batch: int | None = None,
+) -> DataFrame:
+    """A log of JSON-lines segments from its first message or from now on.
+
+    The place at which a new checkpoint starts is kept beside it. The query must run at an interval or be drained:
+    ``availableNow`` fixes the last position before the first batch, so with a limit it would read one batch only.
+    """
+    spark.dataSource.register(MessageLog)
+    reader = (
+        spark.readStream.format(NAME)
+        .option("path", folder)
+        .option("start", "earliest" if from_start else "latest")
+        .option("startFile", f"{checkpoint.rstrip('/')}.start.json")
+    )
+    if messages_per_batch:
+        reader = reader.option("messagesPerBatch", messages_per_batch)
+    return reader.load()
