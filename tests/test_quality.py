@@ -1,5 +1,7 @@
 """Checks, gate and model tests."""
 
+import random
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from trailperks import labels as L, schemas
 from trailperks.operators import assertions, quality as Q, simulation
 from trailperks.operators.joins import duplicate_keys, orphan_counts
+from trailperks.operators.keys import KeyCounts
 from trailperks.params import Params
 from trailperks.sources.testdata import AS_OF_TIME
 
@@ -128,3 +131,73 @@ def test_assertions_find_violations(spark, tables):
         benefits.where("eligible_prime").count())
     odd = benefits.withColumn("statut_declaration", F.lit("autre"))
     assert assertions.unknown_status(odd).count() == benefits.count()
+
+
+def test_key_counts_against_plain_python(spark):
+    """Repeated, missing and orphaned values and numbers of rows of several tables, read off one aggregation."""
+    rng = random.Random(1)
+    child = [(rng.choice([None, *range(9)]), rng.choice("abc")) for _ in range(400)]
+    parent = [(n,) for n in (0, 1, 2, 2, 3, None, None, 77)]
+    text = [("1",), ("1",), ("x",), (None,)]
+    tables = {
+        "enfant": spark.createDataFrame(child, "id int, lettre string"),
+        "parent": spark.createDataFrame(parent, "cle bigint"),
+        "texte": spark.createDataFrame(text, "cle string"),
+        "vide": spark.createDataFrame([], "cle int"),
+    }
+    keys = KeyCounts(tables)
+    measures = {
+        "orphelins": keys.orphans("enfant", "id", "parent", "cle"),
+        "repetes": keys.repeated("enfant", "id"),
+        "lettres": keys.repeated("enfant", "lettre"),
+        "manquants": keys.missing("enfant", "id"),
+        "parent": keys.repeated("parent", "cle"),
+        "sans": keys.missing("parent", "cle"),
+        "texte": keys.repeated("texte", "cle"),
+        "lignes": keys.rows("enfant"),
+        "vide": keys.rows("vide"),
+        "rien": keys.repeated("vide", "cle"),
+    }
+    found = keys.counts().agg(*[m().alias(n) for n, m in measures.items()]).first().asDict()
+    ids = [i for i, _ in child if i is not None]
+    assert found == {
+        "orphelins": sum(i > 3 for i in ids), "repetes": sum(n > 1 for n in Counter(ids).values()),
+        "lettres": 3, "manquants": 400 - len(ids), "parent": 1, "sans": 2, "texte": 1, "lignes": 400, "vide": 0,
+        "rien": 0,
+    }
+    with pytest.raises(Exception, match="absente"):
+        KeyCounts(tables).missing("enfant", "absente")
+
+
+def test_model_tests_count_every_kind(spark, tables):
+    """Spoiled tables: a repeated and a missing key in each, activities of unknown people, a lost amount."""
+    salaries, benefits, limits = tables.stg_salaries, tables.benefits(), tables.speed_limits
+    first = lambda frame, key: frame.where(F.col(key) == frame.agg(F.min(key)).scalar())
+    broken = lambda frame, key: frame.unionByName(first(frame, key)).unionByName(
+        first(frame, key).withColumn(key, F.lit(None).cast(dict(frame.dtypes)[key]))
+    )
+    mart = tables.activity_mart
+    stranger = first(mart, "id_activite").withColumns({
+        "id_salarie": F.lit(10**9).cast("int"), "id_activite": F.lit(-1).cast("bigint"),
+    })
+    people = tables.salaries
+    sources = {
+        "salaries": broken(people, "id_salarie"), "sports": broken(tables.sports, "id_salarie"),
+        "activites": broken(tables.activities, "id_activite"),
+        "distances_domicile_travail": broken(tables.distances, "id_salarie"),
+        "vitesses_max": broken(limits, "type_activite"),
+    }
+    found = {
+        r["test"]: r["violations"]
+        for r in assertions.model_tests(
+            sources, broken(benefits, "id_salarie").withColumn("montant_prime", F.lit(None).cast("decimal(18,2)")),
+            broken(mart, "id_activite").unionByName(stranger).unionByName(stranger), tables.kpi(),
+            tables.stg_activities, salaries, Params(),
+        ).collect()
+    }
+    assert len(found) == 23
+    for name in ("salaries", "sports", "distances", "avantages_salaries"):
+        assert found[f"{name}.id_salarie unique"] == found[f"{name}.id_salarie renseigné"] == 1
+    assert found["raw_activites.id_activite unique"] == found["vitesses_max.type_activite renseigné"] == 1
+    assert found["activites.id_activite unique"] == 2 and found["activites salarié connu"] == 2
+    assert found["avantages_salaries.montant_prime renseigné"] == benefits.count() + 2

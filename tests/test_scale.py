@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from compare import SMALL
 from trailperks import schemas
+from trailperks.catalog import QUERIES as CORE
 from trailperks.catalog import flows
 from trailperks.operators import changes, marts, profiling, staging
 from trailperks.params import Params
@@ -110,7 +111,8 @@ def test_latest_change_with_a_hot_activity(spark):
 
 
 def test_latest_change_is_found_by_hashing(spark, tables):
-    plan = flows.cdc_upsert_latest(tables)._jdf.queryExecution().executedPlan().toString()
+    stored = changes.accepted(changes.parse(flows.versions(tables)))
+    plan = changes.latest_per_activity(stored)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
@@ -201,4 +203,39 @@ def test_no_query_joins_every_row_with_every_row(spark):
         text = plan(build(spark, SMALL))
         assert "CartesianProduct" not in text, name
         assert "BroadcastNestedLoopJoin" not in text, name
-        assert "PythonUDF" not in text and "InPandas" not in text, name
+        # The benefits use built-in functions only; operators of the optional subpackage need not.
+        assert name not in CORE or "PythonUDF" not in text and "InPandas" not in text, name
+
+
+def scans(frame, file: str) -> int:
+    """How often the plan reads a file, reused exchanges not counted."""
+    return sum(line.startswith("Location") and file in line for line in plan(frame).splitlines())
+
+
+def test_key_checks_share_their_scans(spark):
+    """Events are read once for keys and once for values, the stored mart for keys and for dates."""
+    checks = contract.queries()["dq_run"](spark, SMALL)
+    assert scans(checks, "events.parquet") <= 2 and scans(checks, "customer.parquet") <= 8
+    tests = contract.queries()["model_tests"](spark, SMALL)
+    assert scans(tests, "events.parquet") == 1 and scans(tests, "/activites-") <= 3
+
+
+def test_last_messages_are_parsed_once(spark):
+    """One pass over the messages reads ids; only the survivors are parsed, in the table that is read here."""
+    messages = flows.versions(flows.TestTables(spark, SMALL))
+    named = changes.latest_changes(messages)
+    assert scans(named, "/changes-") == 1 and "from_json" not in plan(named)
+
+
+def test_bad_last_messages_give_way(spark):
+    rows = [
+        (0, '{"id_activite": 1, "distance_m": 1}'), (1, '{"id_activite": 1, "distance_m": 2}'),
+        (2, '{"id_activite": 1, "date_debut": "hier"}'), (3, '{"id_activite": 1'), (4, None),
+        (5, '{"id_activite": 2, "distance_m": 5}'), (6, '{"distance_m": 6}'), (7, "[]"),
+        (8, '{"id_activite": 3, "distance_m": "loin"}'), (9, '{"id_activite": "x"}'),
+    ]
+    messages = spark.createDataFrame([(0, offset, value) for offset, value in rows], schemas.CHANGE_MESSAGE)
+    found = {r["id_activite"]: r["distance_m"] for r in changes.latest_changes(messages).collect()}
+    assert found == {1: 2, 2: 5}
+    assert changes.latest_changes(messages.where("offset > 6")).count() == 0
+    assert changes.latest_changes(messages.where("false")).count() == 0

@@ -352,12 +352,34 @@ FROM (SELECT *, CASE WHEN id_activite % 3 = 0 THEN 0 ELSE id_activite END AS cle
 WHERE rang = 1"""))
 def cdc_upsert_latest(t: TestTables):
     """Last of many changes per activity, one activity holding a third of all changes."""
-    parsed = changes.accepted(changes.parse(versions(t)))
-    return changes.latest_per_activity(parsed).select(
+    return changes.latest_changes(versions(t)).select(
         "id_activite", "id_salarie", "type_activite", "distance_m", "source", "operation"
     )
 
 
+@query("cdc_latest_good", oracle("""
+SELECT cle AS id_activite, distance_m
+FROM (SELECT cle, distance_m + version AS distance_m,
+    row_number() OVER (PARTITION BY cle ORDER BY date_debut DESC, version DESC) AS rang
+  FROM (SELECT *, CASE WHEN id_activite % 3 = 0 THEN 0 ELSE id_activite END AS cle FROM raw_activites),
+    (VALUES (0), (1), (2)) v(version)
+  WHERE NOT (id_activite % 7 = 0 AND version > 0) AND NOT (id_activite % 11 = 0 AND version = 2))
+WHERE rang = 1"""))
+def cdc_latest_good(t: TestTables):
+    """The same where the last messages of some activities are cut off or have an unreadable date."""
+    number = F.floor(F.col("offset") / 3)
+    ids = t.activities.select(F.unix_micros("date_debut").alias("rang"), F.col("id_activite").alias("cle"))
+    version = (F.col("offset") % 3).cast("int")
+    spoiled = (
+        versions(t).withColumn("rang", number).join(ids, "rang")
+        .withColumn("value", F.when(
+            (F.col("cle") % 7 == 0) & (version > 0), F.regexp_replace("value", "}$", ',"date_debut":"hier"}')
+        ).when((F.col("cle") % 11 == 0) & (version == 2), F.regexp_replace("value", "}$", ""))
+         .otherwise(F.col("value")))
+    )
+    return changes.latest_changes(spoiled.select("partition", "offset", "value")).select("id_activite", "distance_m")
+
+
 def event_stream(t: TestTables) -> DataFrame:
     """The events as a stream of change messages."""
     events = t.spark.readStream.schema(t.read("events").schema).parquet(

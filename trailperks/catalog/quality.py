@@ -8,9 +8,12 @@ from trailperks.catalog.registry import query
 from trailperks.operators import assertions, marts, quality as Q
 from trailperks.operators.joins import count_by, duplicate_keys, orphan_counts
 from trailperks.params import Params
-from trailperks.session import cut_lineage, new_run_folder
+from trailperks.session import cut_lineage, new_run_folder, written
 from trailperks.sources.layers import Layers
-from trailperks.sources.testdata import AS_OF_TIME, TestTables
+from trailperks.sources.testdata import AS_OF, AS_OF_TIME, TestTables
+
+
+SOURCES = {"activites", "salaries", "sports", "distances_domicile_travail", "vitesses_max"}
 
 
 def checked_tables(t: TestTables, names: set[str] | None = None) -> dict[str, DataFrame]:
@@ -26,10 +29,9 @@ def checked_tables(t: TestTables, names: set[str] | None = None) -> dict[str, Da
         "vitesses_max": t.speed_limits,
     }
     if names is None or "kpi_synthese" in names:
-        rollup = cut_lineage(t.rollup(params))
-        tables["avantages_salaries"] = cut_lineage(
-            marts.benefit_mart(t.employee_base, rollup, params)
-        )
+        rollup = written(t.rollup(params), "compte")
+        benefits = marts.benefit_mart(t.employee_base, rollup, params)
+        tables["avantages_salaries"] = written(benefits, "avantages")
         tables["kpi_synthese"] = marts.kpi_summary(t.employee_base, rollup, params)
     elif "avantages_salaries" in names:
         tables["avantages_salaries"] = t.benefits(params)
@@ -377,9 +379,13 @@ def _model_test_sql() -> str:
 
 @query("model_tests", oracle(_model_test_sql()))
 def model_tests(t: TestTables):
-    """Violations of each of the 23 model tests."""
-    tables = checked_tables(t)
+    """Violations of each of the 23 model tests, over marts that are stored as the nightly run stores them."""
+    params = Params()
+    mart = written(t.activity_mart, "activites")
+    daily = marts.daily_activity(mart, params.period_start(AS_OF))
+    rollup = written(marts.activity_rollup(daily, t.stg_salaries, {"": params.period_start(AS_OF)}), "compte")
+    benefits = written(marts.benefit_mart(t.employee_base, rollup, params), "avantages")
+    kpi = marts.kpi_summary(t.employee_base, rollup, params)
     return assertions.model_tests(
-        tables, tables["avantages_salaries"], t.activity_mart, tables["kpi_synthese"],
-        t.stg_activities, t.stg_salaries, Params(),
+        checked_tables(t, SOURCES), benefits, mart, kpi, mart, t.stg_salaries, params
     )

@@ -6,10 +6,10 @@ from decimal import Decimal
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from trailperks import labels as L
-from trailperks.operators.joins import count_by, orphan_counts
+from trailperks.operators.keys import KeyCounts
 from trailperks.params import Params
 
 ERROR, WARN = "error", "warn"
@@ -30,14 +30,18 @@ def activities_before_hire(activities: DataFrame, salaries: DataFrame) -> DataFr
     )
 
 
+def has_unknown_status() -> Column:
+    return ~F.col("statut_declaration").isin(*L.DECLARATION_STATUSES)
+
+
 def unknown_status(benefits: DataFrame) -> DataFrame:
-    return benefits.where(~F.col("statut_declaration").isin(*L.DECLARATION_STATUSES))
+    return benefits.where(has_unknown_status())
 
 
-def incoherent_costs(benefits: DataFrame) -> DataFrame:
+def has_incoherent_costs() -> Column:
     """Negative amounts, or amounts without eligibility."""
     bonus, wellness = F.col("montant_prime"), F.col("cout_bien_etre")
-    return benefits.where(
+    return (
         (bonus < 0)
         | (wellness < 0)
         | (~F.col("eligible_prime") & (bonus > 0))
@@ -45,17 +49,29 @@ def incoherent_costs(benefits: DataFrame) -> DataFrame:
     )
 
 
-def incoherent_kpi(kpi: DataFrame, benefits: DataFrame) -> DataFrame:
-    """Summary rows that contradict each other or the detail."""
-    detail = benefits.agg((F.sum("montant_prime") + F.sum("cout_bien_etre")).alias("total"))
-    return kpi.where(
+def incoherent_costs(benefits: DataFrame) -> DataFrame:
+    return benefits.where(has_incoherent_costs())
+
+
+def detailed_total() -> Column:
+    return F.sum("montant_prime") + F.sum("cout_bien_etre")
+
+
+def contradicts(total: Column) -> Column:
+    """Whether the numbers of a summary contradict each other or the total of the detail."""
+    return (
         (F.col("nb_eligibles_prime") > F.col("nb_trajets_sportifs"))
         | (F.col("nb_trajets_sportifs") > F.col("nb_salaries"))
         | (F.col("nb_eligibles_bien_etre") > F.col("nb_salaries"))
-        | (F.abs(F.col("cout_total") - detail.scalar()) > 0.01)
+        | (F.abs(F.col("cout_total") - total) > 0.01)
     )
 
 
+def incoherent_kpi(kpi: DataFrame, benefits: DataFrame) -> DataFrame:
+    """Summary rows that contradict each other or the detail."""
+    return kpi.where(contradicts(benefits.agg(detailed_total()).scalar()))
+
+
 def wrong_bonus(benefits: DataFrame, salaries: DataFrame, params: Params) -> DataFrame:
     """Eligible employees whose bonus is not salary times rate, to the cent."""
     # Whole numbers only, apart from the computation under test: salary times the rate's digits, in cents.
@@ -78,7 +94,11 @@ def model_tests(
     tables: dict[str, DataFrame], benefits: DataFrame, activity_mart: DataFrame, kpi: DataFrame,
     dated_activities: DataFrame, stg_salaries: DataFrame, params: Params,
 ) -> DataFrame:
-    """All model tests in one frame: ``test, gravite, violations``."""
+    """All model tests in one frame: ``test, gravite, violations``.
+
+    Keys of all tables are counted in one aggregation, whatever looks at single rows of the benefits in
+    another.
+    """
     keyed = {
         "salaries": (tables["salaries"], "id_salarie"),
         "sports": (tables["sports"], "id_salarie"),
@@ -88,51 +108,40 @@ def model_tests(
         "activites": (activity_mart, "id_activite"),
         "vitesses_max": (tables["vitesses_max"], "type_activite"),
     }
-    business = [
-        ("avantages_salaries statuts connus", ERROR, unknown_status(benefits)),
-        ("activites salarié connu", WARN,
-         orphan_counts(activity_mart, "id_salarie", stg_salaries, "id_salarie")),
-        ("activités avant embauche", WARN, activities_before_hire(dated_activities, stg_salaries)),
-        ("coûts cohérents", ERROR, incoherent_costs(benefits)),
-        ("synthèse cohérente", ERROR, incoherent_kpi(kpi, benefits)),
-        ("montant de prime", ERROR, wrong_bonus(benefits, stg_salaries, params)),
-    ]
-    counted = [
-        rows.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(name).alias("test"), F.lit(severity).alias("gravite"), "violations"
-        )
-        for name, severity, rows in business
+    keys = KeyCounts({name: table for name, (table, _) in keyed.items()} | {"connus": stg_salaries})
+    measures = {}
+    for name, (_, key) in keyed.items():
+        measures[f"{name}.{key} unique", ERROR] = keys.repeated(name, key)
+        measures[f"{name}.{key} renseigné", ERROR] = keys.missing(name, key)
+    known = keys.orphans("activites", "id_salarie", "connus", "id_salarie")
+    measures["activites salarié connu", WARN] = known
+    counted = _results(keys.counts(), {name: measure() for name, measure in measures.items()})
+
+    filled = ("statut_declaration", "montant_prime", "cout_bien_etre")
+    detail = {(f"avantages_salaries.{c} renseigné", ERROR): F.count_if(F.col(c).isNull()) for c in filled}
+    detail["avantages_salaries statuts connus", ERROR] = F.count_if(has_unknown_status())
+    detail["coûts cohérents", ERROR] = F.count_if(has_incoherent_costs())
+    row = F.count(F.lit(1))
+    others = [
+        _results(benefits, detail),
+        _results(incoherent_kpi(kpi, benefits), {("synthèse cohérente", ERROR): row}),
+        _results(
+            activities_before_hire(dated_activities, stg_salaries),
+            {("activités avant embauche", WARN): row},
+        ),
+        _results(wrong_bonus(benefits, stg_salaries, params), {("montant de prime", ERROR): row}),
     ]
-    counted += [_key_tests(name, table, key) for name, (table, key) in keyed.items()]
-    filled = ["statut_declaration", "montant_prime", "cout_bien_etre"]
-    counted.append(_missing("avantages_salaries", benefits, filled))
-    return reduce(DataFrame.unionByName, counted)
+    return reduce(DataFrame.unionByName, others, counted)
 
 
-def _results(measured: DataFrame, names: dict[str, str]) -> DataFrame:
-    """One row per test from the columns of a one-row frame."""
+def _results(rows: DataFrame, measures: dict[tuple[str, str], Column]) -> DataFrame:
+    """One row per test, from one aggregation."""
+    measured = rows.agg(*[measure.alias(f"m{n}") for n, measure in enumerate(measures.values())])
     entries = [
         F.struct(
-            F.lit(name).alias("test"), F.lit(ERROR).alias("gravite"), F.col(column).alias("violations")
+            F.lit(test).alias("test"), F.lit(severity).alias("gravite"),
+            F.col(f"m{n}").cast("bigint").alias("violations"),
         )
-        for column, name in names.items()
+        for n, (test, severity) in enumerate(measures)
     ]
     return measured.select(F.explode(F.array(*entries)).alias("t")).select("t.*")
-
-
-def _key_tests(name: str, table: DataFrame, key: str) -> DataFrame:
-    """Repeated and missing values of a key, from one count per value."""
-    value = F.col(key)
-    measured = count_by(table, key).agg(
-        F.count_if((F.col("n") > 1) & value.isNotNull()).alias("repeated"),
-        F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("missing"),
-    )
-    return _results(
-        measured, {"repeated": f"{name}.{key} unique", "missing": f"{name}.{key} renseigné"}
-    )
-
-
-def _missing(name: str, table: DataFrame, columns: list[str]) -> DataFrame:
-    """Missing values of several columns, from one pass."""
-    measured = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return _results(measured, {c: f"{name}.{c} renseigné" for c in columns})

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trailperks import labels as L, schemas
 from trailperks.functions import messages, rules
+from trailperks.session import written
 
 POSITION = ("partition", "offset")
 _CORRUPT = "_corrupt_record"
+_ID = T.StructType([schemas.CHANGE_EVENT["id_activite"]])
 _EVENT = T.StructType([*schemas.CHANGE_EVENT.fields, T.StructField(_CORRUPT, T.StringType())])
 
 
@@ -59,21 +61,52 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("rejet").isNotNull()).select(*POSITION, "rejet")
 
 
+def place() -> Column:
+    """The place of a message in the stream as one number, which orders the changes of one activity.
+
+    The key fixes the partition of a message, so the offset decides.
+    """
+    number = F.col("offset").cast("decimal(38,0)") * F.lit(2**31) + F.col("partition")
+    return number.cast("decimal(38,0)")
+
+
 def latest_per_activity(changes: DataFrame) -> DataFrame:
     """The last change of each activity in stream order.
 
-    The key fixes the partition of a message, so the offset orders the changes of one activity. Its
-    place is one number, whose maximum every task computes by hashing before the shuffle, whatever the
+    Every task computes the largest place of each activity by hashing before the shuffle, whatever the
     number of changes of one activity; the rows then meet the short list of last places, each by id
     and place, so that the changes of one activity spread over all tasks. A message that was read
     twice appears twice.
     """
-    place = F.col("offset").cast("decimal(38,0)") * F.lit(2**31) + F.col("partition")
-    placed = changes.withColumn("place", place.cast("decimal(38,0)"))
+    placed = changes.withColumn("place", place())
     last = placed.groupBy("id_activite").agg(F.max("place").alias("place"))
     return placed.join(last, ["id_activite", "place"]).select(*changes.columns)
 
 
+def latest_changes(change_messages: DataFrame) -> DataFrame:
+    """The last accepted change of each activity, of messages that are parsed only if they survive.
+
+    One pass reads nothing but the id of each message; every task keeps the last message of each activity
+    before the shuffle, so what moves is a message per activity and task, however many changes one
+    activity has. Where a last message turns out to be bad, all messages of its activity are parsed.
+    """
+    # A filter on the id would be pushed below and read every message twice; without an id, none is accepted.
+    named = change_messages.where(F.col("value").isNotNull()).select(
+        *POSITION, "value", _id_of("value").alias("id")
+    )
+    last = named.groupBy("id").agg(F.max_by(F.struct(*POSITION, "value"), place()).alias("m"))
+    judged = written(parse(last.select("m.*")), "changes")
+    bad = rejected(judged).select(_id_of("rejet").alias("id")).where(F.col("id").isNotNull())
+    if bad.isEmpty():
+        return accepted(judged)
+    again = accepted(parse(named.join(bad, "id", "left_semi")))
+    return accepted(judged).unionByName(latest_per_activity(again))
+
+
+def _id_of(text: str) -> Column:
+    return F.from_json(text, _ID)["id_activite"]
+
+
 def announceable(activities: DataFrame, speed_limits: DataFrame) -> DataFrame:
     """New plausible activities of the announced sources."""
     new = activities.where(

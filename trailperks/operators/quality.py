@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from trailperks import labels as L
 from trailperks.functions import rules
-from trailperks.operators.joins import duplicate_keys, orphan_counts
+from trailperks.operators.keys import KeyCounts, Measure
 from trailperks.params import small_table
 
 Limit = Callable[[Column], Column]
@@ -38,8 +38,8 @@ def other_than(bound: float) -> Limit:
 
 @dataclass(frozen=True)
 class Check:
-    """One check. ``measure`` builds an aggregate over its table; the other kinds need a job of
-    their own: ``unique`` (a key), ``parent`` (key, table, key), ``same_rows_as`` (a table).
+    """One check. ``measure`` builds an aggregate over its table; ``unique`` (a key), ``parent`` (key,
+    table, key) and ``same_rows_as`` (a table) are read off the counts that all such checks share.
     ``required`` only looks at the schema."""
 
     layer: str
@@ -207,6 +207,7 @@ def evaluate(
     parts: list[DataFrame] = []
     failed: list[tuple] = []
     fused: dict[str, list[tuple[int, Check]]] = {}
+    keys, keyed = KeyCounts(tables), []
 
     for number, check in enumerate(checks, start=1):
         try:
@@ -217,7 +218,7 @@ def evaluate(
                 result = L.CHECK_FAIL if lost else L.CHECK_PASS
                 failed.append((number, float(len(lost)), result, None))
             else:
-                parts.append(_single(number, check, tables))
+                keyed.append((number, check, _key_measure(keys, check)))
         except (AnalysisException, KeyError) as problem:
             failed.append((number, None, L.CHECK_ERROR, _error(problem)))
 
@@ -235,6 +236,9 @@ def evaluate(
                     failed.append((number, None, L.CHECK_ERROR, _error(problem)))
             if valid:
                 parts.append(_fused(wide[table], valid))
+    if keyed:
+        measured = keys.counts().agg(*[measure().alias(f"m{number}") for number, _, measure in keyed])
+        parts.append(_rows(measured, [(n, check, F.col(f"m{n}")) for n, check, _ in keyed]))
     if failed:
         parts.append(small_table(spark, failed, OUTCOME))
     described = small_table(
@@ -278,19 +282,13 @@ def _fused(table: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
     return _rows(measured, [(n, check, F.col(f"m{n}")) for n, check in numbered])
 
 
-def _single(number: int, check: Check, tables: Tables) -> DataFrame:
-    table = tables[check.table]
+def _key_measure(keys: KeyCounts, check: Check) -> Measure:
     if check.unique:
-        measured = duplicate_keys(table, check.unique).agg(row_count().alias("valeur"))
-    elif check.parent:
-        key, parent, parent_key = check.parent
-        orphans = orphan_counts(table, key, tables[parent], parent_key)
-        measured = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("valeur"))
-    else:
-        ours = table.agg(row_count().alias("n"))
-        theirs = tables[check.same_rows_as].agg((-row_count()).alias("n"))
-        measured = ours.unionByName(theirs).agg(F.sum("n").alias("valeur"))
-    return _rows(measured, [(number, check, F.col("valeur"))])
+        return keys.repeated(check.table, check.unique)
+    if check.parent:
+        return keys.orphans(check.table, *check.parent)
+    ours, theirs = keys.rows(check.table), keys.rows(check.same_rows_as)
+    return lambda: ours() - theirs()
 
 
 class QualityGateError(RuntimeError):

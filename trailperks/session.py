@@ -90,3 +90,10 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint()
+
+
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """Compute once into a table of the shared folder and read that: as ``cut_lineage``, without computing twice."""
+    folder = new_run_folder(frame.sparkSession, purpose)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
