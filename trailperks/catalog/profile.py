@@ -1,16 +1,19 @@
 """Queries over the population profile."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from trailperks import schemas
 from trailperks.catalog.oracle import oracle
 from trailperks.catalog.registry import query
 from trailperks.functions import text
-from trailperks.operators import profiling as P
+from trailperks.operators import profiling as P, sketches
 from trailperks.operators.joins import count_by, null_safe_left_join
 from trailperks.params import Params
-from trailperks.session import new_run_folder
+from trailperks.session import new_run_folder, written
 from trailperks.sources import reference_files, seeds
+from trailperks.sources.layers import Layers
 from trailperks.sources.seeds import COMPANY_TOWN
 from trailperks.sources.reference_files import HR_FILE, SPORT_FILE
 from trailperks.sources.testdata import AS_OF, TestTables
@@ -338,6 +341,57 @@ def population_summary(t: TestTables):
     return P.population_summary(people(t))
 
 
+WEEK = "date_trunc('week', date_activite)"
+
+
+def sketches_of(t: TestTables) -> Layers:
+    """Sketches per week, those of the last weeks renewed after the first ones were stored."""
+    layers = Layers(t.spark, new_run_folder(t.spark, "sketches"))
+    mart, week = t.activity_mart, F.trunc("date_activite", "week")
+    late = F.col(sketches.PERIOD) >= F.lit(date(2024, 1, 15))
+    sketches.refresh(layers, mart.where(F.col("date_activite") < F.lit(date(2024, 1, 18))), week)
+    sketches.refresh(layers, mart, week, late)
+    return layers
+
+
+@query("sketch_quantiles", oracle("\nUNION ALL\n".join(
+    f"SELECT '{m}' AS mesure, CAST({q} AS DOUBLE) AS part, count({m}) AS n, true AS juste FROM activites"
+    for m in ("distance_km", "duree_min") for q in (0.05, 0.25, 0.5, 0.75, 0.95))))
+def sketch_quantiles(t: TestTables):
+    """Quantiles from merged weekly sketches, each checked against its exact rank."""
+    one = sketches.merged(sketches_of(t).read(sketches.SKETCHES))
+    found = written(sketches.quantile_estimates(one, (0.05, 0.25, 0.5, 0.75, 0.95)), "estimates")
+    return sketches.within_rank_error(t.activity_mart, found)
+
+
+@query("sketch_distinct", oracle(f"""
+SELECT CAST({WEEK} AS DATE)::VARCHAR AS periode, count(*) AS n, true AS juste
+FROM activites GROUP BY {WEEK}
+UNION ALL SELECT NULL, count(*), true FROM activites"""))
+def sketch_distinct(t: TestTables):
+    """Active employees per week and over all weeks, each estimate checked against the exact number."""
+    table = sketches_of(t).read(sketches.SKETCHES)
+    stored = table.select("periode", "n", "hll_salaries")
+    everything = sketches.merged(table).select(
+        F.lit(None).cast("date").alias("periode"), "n", "hll_salaries"
+    )
+    estimated = stored.unionByName(everything).withColumn("estimes", F.hll_sketch_estimate("hll_salaries"))
+    mart = t.activity_mart.select(F.trunc("date_activite", "week").alias("periode"), "id_salarie")
+    exact = mart.groupBy("periode").agg(F.count_distinct("id_salarie").alias("salaries")).unionByName(
+        mart.agg(F.count_distinct("id_salarie").alias("salaries")).withColumn("periode", F.lit(None).cast("date"))
+    )
+    joined = null_safe_left_join(estimated, exact, ["periode"])
+    off = F.abs(F.col("estimes") - F.col("salaries"))
+    return joined.select("periode", "n", (off <= F.lit(sketches.DISTINCT_ERROR) * F.col("salaries")).alias("juste"))
+
+
+@query("sketch_top_types", oracle("""
+SELECT type_activite, count(*) AS n FROM raw_activites GROUP BY 1"""))
+def sketch_top_types(t: TestTables):
+    """Activity types by frequency from merged weekly sketches; exact, as there are few."""
+    return sketches.top_estimates(sketches.merged(sketches_of(t).read(sketches.SKETCHES)), 50)
+
+
 @query("activity_leaderboard", oracle("""
 SELECT nb_activites >= 60 AS au_moins_60, count(*) AS salaries, max(nb_activites) AS maximum
 FROM (SELECT id_salarie, count(*) AS nb_activites FROM raw_activites GROUP BY 1) GROUP BY 1"""))

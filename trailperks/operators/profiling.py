@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trailperks import labels as L
 from trailperks.functions import geo, rules, text
 from trailperks.operators.joins import count_by, null_safe_left_join
+from trailperks.operators.quantiles import quantiles
 from trailperks.params import Params
 
 DAYS_PER_YEAR = 365.25
@@ -88,32 +89,29 @@ def sanity_counts(people: DataFrame, as_of: date) -> DataFrame:
 
 
 def describe(rows: DataFrame, columns: list[str], *keys: str) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per column, optionally per group, in one pass.
+    """Count, mean, deviation, extremes and quartiles per column, optionally per group.
 
-    Quartiles are exact with linear interpolation. Their state holds one entry per distinct value,
-    not per row: ages, days and whole euros have few.
+    Quartiles are exact with linear interpolation; no task holds all distinct values.
     """
     measures, entries = [], []
     for number, column in enumerate(columns):
         value = F.col(column).cast("double")
-        quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         measured = {
             "count": F.count(value),
             "mean": F.round(F.avg(value), 1),
             "std": F.round(F.stddev_samp(value), 1),
             "min": F.round(F.min(value), 1),
-            "q": quartiles,
             "max": F.round(F.max(value), 1),
         }
         measures += [measure.alias(f"{name}{number}") for name, measure in measured.items()]
-        shown = {name: F.col(f"{name}{number}") for name in measured if name != "q"}
-        for position, name in enumerate(("p25", "p50", "p75")):
-            shown[name] = F.round(F.col(f"q{number}")[position], 1)
-        entries.append(
-            F.struct(F.lit(column).alias("colonne"), *[c.alias(n) for n, c in shown.items()])
-        )
+        shown = [F.col(f"{name}{number}").alias(name) for name in measured]
+        entries.append(F.struct(F.lit(column).alias("colonne"), *shown))
     described = rows.groupBy(*keys).agg(*measures)
-    return described.select(*keys, F.explode(F.array(*entries)).alias("c")).select(*keys, "c.*")
+    described = described.select(*keys, F.explode(F.array(*entries)).alias("c")).select(*keys, "c.*")
+    found = quantiles(rows, {column: F.col(column) for column in columns}, keys=keys)
+    joined = null_safe_left_join(described, found, [*keys, "colonne"])
+    quartiles = [F.round(f"q{n}", 1).alias(name) for n, name in enumerate(("p25", "p50", "p75"))]
+    return joined.select(*keys, "colonne", "count", "mean", "std", "min", "max", *quartiles)
 
 
 def value_shares(rows: DataFrame, column: str) -> DataFrame:
@@ -269,8 +267,10 @@ def population_summary(people: DataFrame) -> DataFrame:
         F.sum("salaire_brut").alias("masse_salariale"),
         F.count_distinct("bu").alias("nb_bu"),
         F.count_distinct("sport").alias("nb_sports"),
-        F.percentile("age", F.lit(0.5)).alias("age_median"),
-    ).withColumn("masse_affichee", text.euros(F.col("masse_salariale")))
+    ).withColumns({
+        "age_median": quantiles(people, {"age": F.col("age")}, (0.5,)).select("q0").scalar(),
+        "masse_affichee": text.euros(F.col("masse_salariale")),
+    })
 
 
 def address_quality(people: DataFrame) -> DataFrame:
