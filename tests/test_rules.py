@@ -211,9 +211,12 @@ def test_address_parts(spark, address, postcode, town):
 
 
 def test_folded_names_and_numbers(spark):
-    assert one(spark, text.folded_name(F.col("n")), n="Saint-Clément-de-Rivière") == (
-        "saint clement de riviere")
-    assert one(spark, text.folded_name(F.col("n")), n="L'Hérault") == "l herault"
+    for name, other in (
+        ("Saint-Clément-de-Rivière", "saint clement de riviere"), ("L'Hérault", "l herault"), (" NÎMES", "nimes"),
+        ("Brașov", "BRASOV"), ("Plzeň", "plzen"), ("Ἀθῆναι", "αθηναι"),
+    ):
+        assert one(spark, text.folded_name(F.col("n")) == F.lit(other), n=name) is True
+    assert one(spark, text.folded_name(F.col("n")) == F.lit("lattes"), n="Lattes 2") is False
     assert one(spark, text.euros(F.col("n")), n=1234567) == "1 234 567 €"
     assert one(spark, text.postcode_listed(F.lit("34000"), F.lit("34000|34070"))) is True
     assert one(spark, text.postcode_listed(F.lit("34"), F.lit("34000|34070"))) is False

@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     seed = commands.add_parser("seed", help="reload parameters and speed limits")
     seed.add_argument("--parameters")
     seed.add_argument("--speed-limits")
+    seed.add_argument("--towns", help="cache of town centres")
 
     ask = commands.add_parser("request-distances", help="write the lots to ask the service for")
     ask.add_argument("--out", required=True, help="folder for JSON lines: mode_api, lot, origines")
@@ -109,7 +110,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         if options.command == "ingest":
             run.ingest(options.hr, options.sports, options.format)
         elif options.command == "seed":
-            run.load_seeds(options.parameters, options.speed_limits)
+            run.load_seeds(options.parameters, options.speed_limits, options.towns)
         elif options.command == "request-distances":
             run.force_distances = options.force
             print(run.request_distances(), "trips")

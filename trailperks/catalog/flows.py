@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from trailperks import labels as L, schemas
 from trailperks.catalog.oracle import oracle, quoted
@@ -10,7 +10,7 @@ from trailperks.catalog.registry import query
 from trailperks.operators import changes, distances, simulation
 from trailperks.operators.joins import count_by
 from trailperks.operators.profiling import employee_sports
-from trailperks.session import cut_lineage, new_run_folder
+from trailperks.session import cut_lineage, new_run_folder, written
 from trailperks.sources import reference_files as files
 from trailperks.sources.layers import Layers
 from trailperks.sources.testdata import AS_OF, AS_OF_TIME, TestTables, raw_activities
@@ -169,6 +169,22 @@ def geo_worklist(t: TestTables):
     return distances.worklist(t.salaries, t.distances)
 
 
+@query("geo_worklist_order", flow("""
+SELECT id_salarie, mode_api, row_number() OVER (ORDER BY id_salarie) - 1 AS rang FROM trajets"""))
+def geo_worklist_order(t: TestTables):
+    """The open trips with their place in the list as it is written and read again."""
+    todo = distances.worklist(t.salaries, t.distances)
+    # The partition is in the upper bits of this number, the place in it in the lower ones.
+    kept = written(todo.withColumn("place", F.monotonically_increasing_id()), "worklist")
+    part = F.shiftright("place", 33)
+    sizes = kept.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = sizes.select("part", (F.sum("n").over(before) - F.col("n")).alias("avant"))
+    placed = kept.withColumn("part", part).join(offsets, "part")
+    rank = F.col("avant") + (F.col("place") - F.shiftleft("part", 33))
+    return placed.select("id_salarie", "mode_api", rank.alias("rang"))
+
+
 @query("geo_worklist_counts", flow(f"""
 SELECT (SELECT count(*) FROM trajets) AS a_calculer,
   (SELECT count(*) FROM ({TRIPS})) - (SELECT count(*) FROM trajets) AS en_cache"""))

@@ -12,6 +12,7 @@ from trailperks.operators import marts
 from trailperks.operators.joins import count_by
 from trailperks.params import Params
 from trailperks.session import new_run_folder
+from trailperks.sources import views
 from trailperks.sources.layers import Layers
 from trailperks.sources.testdata import AS_OF, TestTables
 
@@ -76,6 +77,40 @@ def mart_benefits_min60(t: TestTables):
     return t.benefits(STRICT)
 
 
+SQL_BENEFITS = """
+WITH comptes AS (
+  SELECT id_salarie, count(*) AS n FROM stg_activites JOIN stg_salaries USING (id_salarie)
+  WHERE est_valide AND date_activite >= DATE '2024-01-31' - INTERVAL 365 DAYS AND date_activite >= date_embauche
+  GROUP BY id_salarie),
+personnes AS (
+  SELECT s.id_salarie, bu, tranche_age(age) AS tranche_age, type_contrat, date_embauche, sport_declare,
+    coalesce(pratique_declaree, false) AS pratique_declaree, moyen_deplacement,
+    trajet_sportif(moyen_deplacement) AS sportif, distance_km,
+    seuil_trajet_km(mode_api(moyen_deplacement)) AS seuil_km, salaire_brut, coalesce(n, 0) AS nb_activites,
+    distance_km IS NOT NULL AND coalesce(statut_api = 'ROUTE_EXISTS', true)
+      AND d.mode_api <=> mode_api(moyen_deplacement) AND adresse_calculee <=> adresse AS a_jour
+  FROM stg_salaries s LEFT JOIN stg_sports USING (id_salarie)
+  LEFT JOIN stg_distances d USING (id_salarie) LEFT JOIN comptes USING (id_salarie)),
+jugees AS (SELECT *, statut_declaration(sportif, a_jour, distance_km, seuil_km) AS statut FROM personnes)
+SELECT id_salarie, bu, tranche_age, type_contrat, date_embauche, sport_declare, pratique_declaree,
+  moyen_deplacement, sportif AS trajet_sportif, distance_km, seuil_km, statut AS statut_declaration,
+  statut = 'conforme' AS eligible_prime, montant_prime(statut, salaire_brut) AS montant_prime, nb_activites,
+  bien_etre_acquis(nb_activites) AS eligible_bien_etre, jours_bien_etre(nb_activites) AS jours_bien_etre,
+  cout_bien_etre(nb_activites, salaire_brut) AS cout_bien_etre
+FROM jugees"""
+
+
+@query("sql_benefits", oracle(BENEFITS_SELECT))
+def sql_benefits(t: TestTables):
+    """The benefit mart as a user of SQL writes it, over the staging views and the rules as functions."""
+    views.create_views({
+        "salaries": t.salaries, "sports": t.sports, "distances": t.distances, "activites": t.activities,
+        "vitesses_max": t.speed_limits,
+    }, AS_OF)
+    views.create_functions(t.spark, Params())
+    return t.spark.sql(SQL_BENEFITS)
+
+
 @query("mart_no_pii", oracle("""
 SELECT count(*) AS lignes, count(DISTINCT id_salarie) AS salaries, false AS colonne_personnelle
 FROM avantages_salaries"""))

@@ -8,7 +8,7 @@ from trailperks import schemas
 from trailperks.catalog.oracle import oracle
 from trailperks.catalog.registry import query
 from trailperks.functions import text
-from trailperks.operators import profiling as P, sketches
+from trailperks.operators import places, profiling as P, sketches
 from trailperks.operators.joins import count_by, null_safe_left_join
 from trailperks.params import Params
 from trailperks.session import new_run_folder, written
@@ -264,6 +264,48 @@ def place_name_match(t: TestTables):
     return P.matched_towns(names, t.towns).drop("commune")
 
 
+ASKED = """
+    SELECT n_nationkey AS k, n_name, (n_nationkey + 1) % (SELECT count(*) FROM nation) AS suivant FROM nation"""
+
+
+@query("place_candidates", oracle("""
+SELECT DISTINCT concat('commune-', a.k) AS departement,
+  CASE WHEN a.k % 5 = 0 THEN b.n_name ELSE a.n_name END AS nom_officiel,
+  CAST(CASE WHEN a.k % 5 = 0 THEN a.suivant ELSE a.k END AS VARCHAR) AS code_insee,
+  CAST(CASE WHEN a.k % 5 = 0 THEN a.suivant ELSE a.k END + 0.5 AS DOUBLE) AS lat,
+  CASE WHEN a.k % 5 = 0 THEN '' ELSE '1|2' END AS codes_postaux
+FROM customer JOIN demandes a ON a.k = c_nationkey JOIN demandes b ON b.k = a.suivant
+WHERE a.k % 7 <> 3""", demandes=ASKED))
+def place_candidates(t: TestTables):
+    """The town chosen for each name that customers use, from JSON lists of candidates.
+
+    The name comes in other letters than the official one; in some lists it is the second candidate, in
+    some it is missing, and some lists are empty or cut off.
+    """
+    nations = t.read("nation").select(F.col("n_nationkey").cast("int").alias("k"), F.col("n_name").alias("nom"))
+    size = nations.agg(F.count(F.lit(1))).scalar()
+    other = nations.select(F.col("k").alias("suivant"), F.col("nom").alias("autre"))
+    letters = ("AEIOUNSC", "ąėįőůñšç")
+    asked = nations.withColumn("suivant", ((F.col("k") + 1) % size).cast("int")).join(other, "suivant")
+
+    def entry(key, name, *codes):
+        point = F.struct(F.array(F.lit(3.0), key + F.lit(0.5)).alias("coordinates"))
+        return F.struct(name.alias("nom"), key.cast("string").alias("code"), point.alias("centre"),
+                        F.array(*[F.lit(c) for c in codes]).cast("array<string>").alias("codesPostaux"))
+
+    key, name = F.col("k"), F.col("nom")
+    near, exact = entry(F.col("suivant"), F.col("autre")), entry(key, name, "1", "2")
+    listed = F.to_json(F.when(key % 5 == 0, F.array(near)).otherwise(F.array(near, exact)))
+    used = t.read("customer").select(F.col("c_nationkey").cast("int").alias("k")).distinct()
+    answers = asked.join(used, "k").select(
+        F.translate(F.replace(name, F.lit(" "), F.lit("-")), *letters).alias("commune"),
+        F.concat(F.lit("commune-"), key).alias("departement"),
+        F.when(key % 14 == 3, "[]").when(key % 7 == 3, F.substring(listed, 1, 9)).otherwise(listed).alias("reponse"),
+    )
+    found = places.chosen(places.candidates(answers))
+    return found.select("departement", "nom_officiel", "code_insee", "lat", "codes_postaux")
+
+
 @query("geo_cache_scan", profile("""
 SELECT c.commune, c.departement, nom_officiel, code_insee, CAST(lat AS DOUBLE) AS lat,
   CAST(lon AS DOUBLE) AS lon, codes_postaux, count(id_salarie) AS salaries

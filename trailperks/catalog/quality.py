@@ -259,6 +259,32 @@ def dq_last_run_failures(t: TestTables):
     return rows.select("table_verifiee", "controle", "resultat", "valeur")
 
 
+@query("dq_parameters", oracle("""
+SELECT CAST(1 AS INTEGER) AS numero, 'taux de prime hors bornes' AS controle, CAST(count(*) FILTER (
+    WHERE c_custkey % 40 > 20) AS DOUBLE) AS valeur, if(count(*) FILTER (WHERE c_custkey % 40 > 20) > 0, 'fail', 'pass')
+    AS resultat FROM customer
+UNION ALL
+SELECT 2, 'nombre minimal d''activités hors bornes', CAST(count(*) FILTER (WHERE c_custkey % 500 = 0 OR c_custkey % 500 > 365)
+    AS DOUBLE), 'fail' FROM customer
+UNION ALL
+SELECT 3, 'une seule ligne', CAST(count(*) AS DOUBLE), 'fail' FROM customer
+UNION ALL
+SELECT 4, 'colonnes attendues', CAST(2 AS DOUBLE), 'fail'"""))
+def dq_parameters(t: TestTables):
+    """The checks of the parameter table on a row of parameters for each customer, many of them out of bounds."""
+    number = F.col("c_custkey")
+    rows = t.read("customer").select(
+        (number % 40 / 100).cast("decimal(21,12)").alias("taux_prime"),
+        (number % 500).cast("decimal(18,6)").alias("nb_activites_min"),
+    )
+    names = ("taux de prime hors bornes", "nombre minimal d'activités hors bornes", "une seule ligne")
+    known = {c.name: c for c in Q.standard_checks(AS_OF_TIME) if c.table == "parametres"}
+    lost = Q.Check("analytics", "parametres", "colonnes attendues", fail=Q.above(0),
+                   required=("taux_prime", "periode_jours", "jours_travailles_an"))
+    found = Q.evaluate(t.spark, {"parametres": rows}, [*[known[n] for n in names], lost])
+    return found.select("numero", "controle", "valeur", "resultat")
+
+
 # --- model tests ------------------------------------------------------------------------------
 
 @query("assert_status_values", oracle("""
@@ -332,6 +358,7 @@ def assert_bonus(t: TestTables):
 
 
 def _model_test_sql() -> str:
+    """Expected numbers: repeated and missing keys counted, the others as many as were put in."""
     keys = {
         "salaries": ("raw_salaries", "id_salarie"),
         "sports": ("raw_sports", "id_salarie"),
@@ -342,50 +369,55 @@ def _model_test_sql() -> str:
         "vitesses_max": ("vitesses_max", "type_activite"),
     }
     row = "SELECT '{0}' AS test, '{1}' AS gravite, {2} AS violations"
-    parts = [
-        row.format(f"{name}.{key} unique", "error", DUPLICATES.format(table, key))
-        for name, (table, key) in keys.items()
-    ]
-    filled = [(name, table, key) for name, (table, key) in keys.items()]
-    filled += [("avantages_salaries", "avantages_salaries", column)
-               for column in ("statut_declaration", "montant_prime", "cout_bien_etre")]
-    parts += [
-        row.format(f"{name}.{key} renseigné", "error",
-                   f"(SELECT count(*) FROM {table} WHERE {key} IS NULL)")
-        for name, table, key in filled
-    ]
-    rows = "(SELECT count(*) FROM {0})"
-    parts += [
-        row.format("avantages_salaries statuts connus", "error", NOT_LISTED.format(
-            "avantages_salaries", "statut_declaration", quoted(L.DECLARATION_STATUSES))),
-        row.format("activites salarié connu", "warn", rows.format(
-            "activites WHERE id_salarie NOT IN (SELECT id_salarie FROM stg_salaries)")),
-        row.format("activités avant embauche", "warn", rows.format(
-            "stg_activites JOIN stg_salaries USING (id_salarie) "
-            "WHERE date_activite < date_embauche")),
-        row.format("coûts cohérents", "error", rows.format(
-            "avantages_salaries WHERE least(montant_prime, cout_bien_etre, "
-            "if(eligible_prime, 0, -montant_prime), if(eligible_bien_etre, 0, -cout_bien_etre)) < 0")),
-        row.format("synthèse cohérente", "error", rows.format(
-            "kpi_synthese, (SELECT sum(montant_prime + cout_bien_etre) AS detail FROM avantages_salaries) "
-            "WHERE greatest(nb_eligibles_prime - nb_trajets_sportifs, nb_trajets_sportifs - nb_salaries, "
-            "nb_eligibles_bien_etre - nb_salaries) > 0 OR round(abs(cout_total - detail), 6) > 0.01")),
-        row.format("montant de prime", "error", rows.format(
-            "avantages_salaries WHERE eligible_prime "
-            "AND montant_prime <> round(salaire_brut * 0.05, 2)::DOUBLE")),
-    ]
+    people = "(SELECT count(*) FROM avantages_salaries WHERE {0})"
+    parts = []
+    for name, (table, key) in keys.items():
+        repeated, missing = DUPLICATES.format(table, key), f"(SELECT count(*) - count({key}) FROM {table})"
+        if name == "activites":  # every hundredth activity stands there twice
+            repeated = "(SELECT count(*) FROM activites WHERE id_activite % 100 = 0)"
+        parts += [row.format(f"{name}.{key} unique", "error", repeated),
+                  row.format(f"{name}.{key} renseigné", "error", missing)]
+    injected = {
+        "avantages_salaries.statut_declaration renseigné": "id_salarie % 17 = 0",
+        "avantages_salaries.montant_prime renseigné": "id_salarie % 19 = 0",
+        "avantages_salaries.cout_bien_etre renseigné": "false",
+        "avantages_salaries statuts connus": "id_salarie % 13 = 0 AND id_salarie % 17 <> 0",
+        "montant de prime":
+            "eligible_prime AND id_salarie % 19 <> 0 AND (id_salarie % 5 = 0 OR id_salarie % 7 = 0)",
+    }
+    parts += [row.format(name, "error", people.format(condition)) for name, condition in injected.items()]
+    parts.append(row.format("coûts cohérents", "error", """(SELECT count(*) FROM (
+      SELECT id_salarie FROM avantages_salaries WHERE id_salarie % 7 = 0 AND id_salarie % 19 <> 0
+      UNION SELECT id_salarie FROM avantages_salaries WHERE id_salarie % 11 = 0 AND NOT eligible_bien_etre
+      UNION SELECT id_salarie FROM avantages_salaries
+      WHERE id_salarie % 5 = 0 AND id_salarie % 19 <> 0 AND NOT eligible_prime))"""))
+    # The cents and gaps that were put in add up to another total than that of the summary.
+    parts.append(row.format("synthèse cohérente", "error", "CAST(1 AS BIGINT)"))
+    parts.append(row.format("activites salarié connu", "warn", "2 * " + "(SELECT count(*) FROM activites WHERE id_activite % 100 = 0)"))
+    parts.append(row.format("activités avant embauche", "warn", """(SELECT count(*) FROM stg_activites
+      JOIN stg_salaries USING (id_salarie) WHERE date_activite < date_embauche AND id_activite % 100 <> 0)"""))
     return "\nUNION ALL\n".join(parts)
 
 
 @query("model_tests", oracle(_model_test_sql()))
 def model_tests(t: TestTables):
-    """Violations of each of the 23 model tests, over marts that are stored as the nightly run stores them."""
-    params = Params()
-    mart = written(t.activity_mart, "activites")
-    daily = marts.daily_activity(mart, params.period_start(AS_OF))
-    rollup = written(marts.activity_rollup(daily, t.stg_salaries, {"": params.period_start(AS_OF)}), "compte")
-    benefits = written(marts.benefit_mart(t.employee_base, rollup, params), "avantages")
-    kpi = marts.kpi_summary(t.employee_base, rollup, params)
+    """Violations of each of the 23 model tests, over stored marts into which some were put.
+
+    Every hundredth activity is stored twice under an unknown employee; bonuses and costs are spoiled as in
+    the tests of amounts, and some statuses and amounts are unknown or missing.
+    """
+    params, key = Params(), F.col("id_salarie")
+    hundredth = F.col("id_activite") % 100 == 0
+    activities = t.activity_mart.withColumn(
+        "id_salarie", F.when(hundredth, F.lit(-1)).otherwise(F.col("id_salarie"))
+    )
+    copies = F.explode(F.when(hundredth, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    mart = written(activities.withColumn("copie", copies).drop("copie"), "activites")
+    benefits = spoiled_benefits(t).withColumns({
+        "statut_declaration": F.when(key % 17 != 0, F.when(key % 13 == 0, "inconnu").otherwise(
+            F.col("statut_declaration"))),
+        "montant_prime": F.when(key % 19 != 0, F.col("montant_prime")),
+    })
     return assertions.model_tests(
-        checked_tables(t, SOURCES), benefits, mart, kpi, mart, t.stg_salaries, params
+        checked_tables(t, SOURCES), written(benefits, "avantages"), mart, t.kpi(), mart, t.stg_salaries, params
     )

@@ -4,11 +4,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
+from trailperks import schemas
 from trailperks.catalog.models import STRICT
 from trailperks.catalog.oracle import half_up, money, oracle
 from trailperks.catalog.registry import query
 from trailperks.operators import bi, marts, ops
 from trailperks.operators.joins import count_by
+from trailperks.session import new_run_folder
+from trailperks.sources import seeds
 from trailperks.sources.testdata import TestTables
 
 NOW = datetime(2001, 8, 1, tzinfo=timezone.utc)
@@ -210,6 +213,40 @@ def seed_speed_limits(t: TestTables):
     )
 
 
+SEED_LINES = """
+    SELECT p_partkey AS k, p_name,
+      CASE WHEN p_partkey % 7 = 0 THEN 'rapide' WHEN p_partkey % 11 = 0 THEN '12,5'
+        ELSE concat(p_size, '.', lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0')) END AS limite
+    FROM part"""
+
+
+@query("seed_file", oracle("""
+SELECT 'lue' AS sorte, replace(p_name, '"', '') AS texte, CAST(limite AS DOUBLE) AS vitesse_max_kmh
+FROM lignes WHERE k % 7 <> 0 AND k % 11 <> 0 AND k % 13 <> 0
+UNION ALL
+SELECT 'refusee', concat('"', replace(p_name, '"', ''), '",', CASE WHEN k % 7 = 0 THEN 'rapide'
+    WHEN k % 11 = 0 THEN '12.5,x' ELSE concat(limite, ',de trop') END), NULL
+FROM lignes WHERE k % 7 = 0 OR k % 11 = 0 OR k % 13 = 0""", lignes=SEED_LINES))
+def seed_file(t: TestTables):
+    """A seed file with a row for each part: typed rows, and the lines that do not fit the declared types."""
+    path, key = new_run_folder(t.spark, "seed"), F.col("p_partkey")
+    name = F.concat(F.lit('"'), F.replace("p_name", F.lit('"'), F.lit("")), F.lit('"'))
+    limit = F.concat(F.col("p_size").cast("string"), F.lit("."), F.lpad((key % 1000).cast("string"), 3, "0"))
+    value = (
+        F.when(key % 7 == 0, "rapide").when(key % 11 == 0, "12.5,x")
+        .when(key % 13 == 0, F.concat(limit, F.lit(",de trop"))).otherwise(limit)
+    )
+    lines = t.read("part").select(F.concat(name, F.lit(","), value).alias("value"))
+    header = t.spark.range(1).select(F.lit("type_activite,vitesse_max_kmh").alias("value"))
+    for part in (header.unionByName(lines.where(key % 2 == 0)), header.unionByName(lines.where(key % 2 == 1))):
+        part.coalesce(1).write.mode("append").text(path)
+    good, bad = seeds.checked_csv(t.spark, path, schemas.SPEED_LIMITS)
+    return good.select(F.lit("lue").alias("sorte"), F.col("type_activite").alias("texte"), "vitesse_max_kmh").unionByName(
+        bad.select(F.lit("refusee").alias("sorte"), F.col(seeds.BAD_ROW).alias("texte"),
+                   F.lit(None).cast("decimal(9,3)").alias("vitesse_max_kmh"))
+    )
+
+
 RUN_COLUMNS = """etape, statut, nb_lignes, message, strftime(fin, '%Y-%m-%d %H:%M:%S') AS fin"""
 
 

@@ -39,10 +39,8 @@ def department_label(code: Column) -> Column:
 
 
 def folded_name(name: Column) -> Column:
-    """A name without accents, case, hyphens and apostrophes, for comparison."""
-    accented, plain = "àâäáãåçèéêëìíîïñòóôöõùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
-    lowered = F.translate(F.lower(name), accented, plain)
-    return F.trim(F.translate(lowered, SEPARATORS, " " * len(SEPARATORS)))
+    """A name for comparison: collated, so accents and case do not matter; hyphens and apostrophes are blanks."""
+    return F.collate(F.trim(F.translate(name, SEPARATORS, " " * len(SEPARATORS))), "UNICODE_CI_AI")
 
 
 def postcode_listed(postcode: Column, codes: Column) -> Column:

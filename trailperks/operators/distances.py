@@ -22,13 +22,13 @@ def active_trips(salaries: DataFrame) -> DataFrame:
 
 
 def worklist(salaries: DataFrame, stored: DataFrame, force: bool = False) -> DataFrame:
-    """Trips without a found route for the same address and mode; all of them with ``force``."""
+    """Trips without a found route for the same address and mode, in id order; all of them with ``force``."""
     trips = active_trips(salaries)
-    if force:
-        return trips
-    found = stored.where(F.col("statut") == L.ROUTE_FOUND)
-    keys = ["id_salarie", "adresse", "mode_api"]
-    return trips.join(found.select(*keys), keys, "left_anti")
+    if not force:
+        found = stored.where(F.col("statut") == L.ROUTE_FOUND)
+        keys = ["id_salarie", "adresse", "mode_api"]
+        trips = trips.join(found.select(*keys), keys, "left_anti")
+    return trips.orderBy(F.asc_nulls_last("id_salarie"), "adresse")
 
 
 def lots(trips: DataFrame, size: int = L.ROUTE_LOT_SIZE) -> DataFrame:

@@ -13,7 +13,7 @@ from trailperks import labels as L, schemas
 from trailperks.operators import audit, assertions, distances, marts, quality, staging
 from trailperks.params import Params, params_from_row
 from trailperks.session import cut_lineage
-from trailperks.sources import seeds
+from trailperks.sources import seeds, views
 from trailperks.sources.layers import Layers
 from trailperks.sources.reference_files import HR_FILE, SPORT_FILE, full_reload
 from trailperks.streaming import loader
@@ -28,6 +28,7 @@ KPI = "analytics.kpi_synthese"
 KPI_HISTORY = "analytics.historique_kpi"
 PARAMETERS = "analytics.parametres"
 SPEED_LIMITS = "analytics.vitesses_max"
+TOWNS = "geo.communes"
 CHECKS = "monitoring.qualite_checks"
 
 # Answers a frame of numbered trips with ``mode_api, lot, reponse``: the call of the distance service.
@@ -98,13 +99,18 @@ class Pipeline:
             return 0
         return self.store_distances(service(self.layers.read(TRIPS)))
 
-    def load_seeds(self, parameters: str | None = None, limits: str | None = None) -> None:
+    def load_seeds(
+        self, parameters: str | None = None, limits: str | None = None, towns: str | None = None
+    ) -> None:
+        """Store the seeds of the given files; the defaults fill what was never stored. Towns have no default."""
+
         def work() -> int:
             written = 0
             for table, path, read in (
-                (PARAMETERS, parameters, seeds.parameters), (SPEED_LIMITS, limits, seeds.speed_limits)
+                (PARAMETERS, parameters, seeds.parameters), (SPEED_LIMITS, limits, seeds.speed_limits),
+                (TOWNS, towns, seeds.towns),
             ):
-                if path or self.layers.version(table) is None:
+                if path or (table != TOWNS and self.layers.version(table) is None):
                     self.layers.reload(table, read(self.spark, path))
                     written += 1
             return written
@@ -132,6 +138,16 @@ class Pipeline:
     def stg_salaries(self) -> DataFrame:
         return staging.staged_salaries(self.layers.read(HR_FILE.table), self.as_of.date())
 
+    def sql_views(self) -> None:
+        """Views over the newest tables and the rules with the parameters in force, for SQL in this session."""
+        read = self.layers.read
+        raw = {
+            "salaries": read(HR_FILE.table), "sports": read(SPORT_FILE.table), "distances": read(DISTANCES),
+            "activites": self.raw_activities(), "vitesses_max": read(SPEED_LIMITS),
+        }
+        views.create_views(raw, self.as_of.date())
+        views.create_functions(self.spark, self.effective_params())
+
     # --- gates --------------------------------------------------------------------------------
 
     def check(self, *checked_layers: str) -> dict[str, int]:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from trailperks import labels as L, schemas
 from trailperks.params import PARAM_TYPE, Params, small_table
+from trailperks.session import written
 
 # Centres of the towns in the test addresses, as the geocoding cache holds them.
 TOWN_ROWS = (
@@ -27,6 +28,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, enforceSchema=False)
 
 
+BAD_ROW = "ligne_illisible"
+
+
+def checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The typed rows of a seed file, and the lines that do not fit the declared types or number of columns."""
+    wide = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
+    rows = spark.read.csv(
+        path, schema=wide, header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW
+    )
+    # Kept first: Spark does not read the bad lines of a file alone.
+    rows, bad = written(rows, "seed"), F.col(BAD_ROW).isNotNull()
+    return rows.where(~bad).drop(BAD_ROW), rows.where(bad).select(BAD_ROW)
+
+
 def speed_limits(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Highest plausible speed per activity type."""
     if path:
