@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
+from words_alike import ALIKE
 
 from trailperks.llm import bpe
 from trailperks.llm.queries import op7
@@ -35,6 +36,7 @@ HARD = [
     None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a \n b", "a\n\nb c", "tab\there \t there", "don't I'm we'll 'tis x's", "1 22 333  4444",
     "你好世界 \U0001f600\U0001f600 é ñ", "<|endoftext|> x <|endoftext|>", "x" * 3000, "ab" * 700 + " end", "the word " * 20000, "!?" * 500,
     "  a b", "a\x1cb \x1d c", "\x85 x y", "　　 z", "Ünïcödé " * 50, "a\r\nb\r\n", "﻿bom", "٣٤٥ १२३",
+    *ALIKE,
 ]
 
 

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from words_alike import ALIKE
+
 from trailperks.llm import encoding, packing
 
 SMALL = "/root/testdata/sf0.001"
@@ -16,7 +18,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def reference_ids(text):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
 
 
@@ -50,6 +51,7 @@ def test_whole_table(spark):
 def test_hard_texts(documents):
     texts = [
         None, "", " ", "  ", "a", "a  b", " a", "a ", "a \n b", "a\n\nb c", "don't I'm x  y", "<|endoftext|> x <|endoftext|>",
+        "a <|endoftext|> b", "a<|endoftext|>b", "<|endoftext|>", "<|endoftext| >", *ALIKE,
         "你好 \U0001f600 é", "1 22 333  4444", "tab\there \t there", "x" * 30000, "the word " * 5000, "the word " * 5000,
     ]
     docs = documents([(n, text) for n, text in enumerate(texts)])

@@ -5,6 +5,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from words_alike import ALIKE
 
 from trailperks.llm import substrings
 from trailperks.llm.queries import op10
@@ -79,3 +80,17 @@ def test_extra_columns_and_no_rows(documents):
     docs = documents([(1, "a b c", "fr")])
     assert substrings.remove_repeated(docs).first()["row"]["lang"] == "fr"
     assert substrings.remove_repeated(docs.where("false")).count() == 0
+
+
+def test_different_words_that_look_alike(documents):
+    """After 19 equal words comes one that a polynomial hash takes for the other; nothing repeats."""
+    same = " ".join(f"w{n}" for n in range(19))
+    rows = [(n, f"{same} {word}") for n, word in enumerate(ALIKE)]
+    assert found(documents(rows), 20) == plain(rows, 20) == sorted((20, 0, text) for _, text in rows)
+
+
+def test_a_third_of_the_rows_under_one_id_and_a_third_without(documents):
+    pick = random.Random(3)
+    texts = [" ".join(f"t{pick.randrange(10**6)}" for _ in range(30)) for _ in range(50)]
+    rows = [((1, None, n)[n % 3], texts[n % 50]) for n in range(600)]
+    assert found(documents(rows), 20) == plain(rows, 20)

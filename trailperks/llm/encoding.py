@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 
@@ -20,14 +20,21 @@ class WordEncoder:
     """Token ids of whole texts, from the ids of their words.
 
     A byte-level tokenizer splits a text before each single blank or line end between two words, so the ids of a
-    text are those of its words (with what stands before them) in a row. Words are known by a 64-bit hash; each is
+    text are those of its words (with what stands before them) in a row. Words are known by a 64-bit hash (one to one up to seven bytes, else XXH64); each is
     given to ``encode_words`` once and its ids are remembered, in arrays ordered by hash. When more than ``CACHED_WORDS``
-    are remembered, those that were used longest ago are forgotten. Texts with other white space go to ``encode_words``
-    whole. It returns the ids of all its texts in a row, and how many each has.
+    are remembered, those that were used longest ago are forgotten. Texts with other white space, and those that hold one
+    of the ``special`` texts, which the tokenizer looks for before it splits, go to ``encode_words`` whole. It returns the
+    ids of all its texts in a row, and how many each has.
     """
 
-    def __init__(self, encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], end_ids: list[int]):
+    def __init__(
+        self,
+        encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+        end_ids: list[int],
+        special: Sequence[str] = (),
+    ):
         self.encode_words = encode_words
+        self.whole = re.compile("|".join([ODD_SPACES.pattern, *map(re.escape, special)]))
         self.end = np.array(end_ids, dtype="<u4")
         self.ids, self.calls = self.end, 0
         self.hashes = hash_joined(END)
@@ -67,7 +74,7 @@ class WordEncoder:
         self.calls += 1
         if len(self.hashes) > CACHED_WORDS:
             self.forget()
-        plain = [n for n, text in enumerate(texts) if not ODD_SPACES.search(text)]
+        plain = [n for n, text in enumerate(texts) if not self.whole.search(text)]
         marked = [FIRST + texts[n].encode().replace(b"\n", b" \n") + b" " + END for n in plain]
         out: list[bytes] = [b""] * len(texts)
         if marked:

@@ -1,6 +1,6 @@
 """Packing token sequences: first-fit decreasing with a tournament tree of bin capacities.
 
-Documents are dealt at random (by a hash of their id) to groups of about ``GROUP_BYTES`` of text; a group is a shuffle
+Documents are dealt at random (by a hash of id, text and input partition) to groups of about ``GROUP_BYTES`` of text; a group is a shuffle
 partition and is packed on its own, so no task ever sees more than its group and the longest document. Each
 document becomes the ids of its text and an end id. Whole lengths of a sequence are cut off first; what is left of
 each document is placed, longest first, into the first bin with room, which the tree of largest free capacities finds in
@@ -35,7 +35,7 @@ def encoder(path: str, end_id: int) -> WordEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
     def encode_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, lengths = [], []
@@ -47,7 +47,7 @@ def encoder(path: str, end_id: int) -> WordEncoder:
             ids.append(np.array(encoded.ids, dtype="<u4"))
         return np.concatenate(ids), np.concatenate(lengths)
 
-    return WordEncoder(encode_words, [end_id])
+    return WordEncoder(encode_words, [end_id], added)
 
 
 class TournamentTree:
@@ -179,7 +179,9 @@ def pack(
 
     return (
         docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-        .repartition(groups, F.xxhash64(F.lit(seed), "doc_id"))
+        .withColumn("from", F.spark_partition_id())  # so rows under one id spread
+        .repartition(groups, F.xxhash64(F.lit(seed), "doc_id", "text", "from"))
+        .drop("from")
         .mapInArrow(
             run,
             f"doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",

@@ -156,10 +156,14 @@ def remove_repeated(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", t
         one, sizes = flat(table["one"])
         two, ids, starts, places = (flat(table[name])[0] for name in ("two", "id", "start", "place"))
         order = np.lexsort((starts, ids, two, one))
-        same = np.zeros(len(order), bool)
-        same[1:] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-        owners = np.repeat(table["bucket"].to_numpy(), sizes)
-        return reply(owners[order][same], places[order][same], pa.int32())
+        one, two, ids, starts = one[order], two[order], ids[order], starts[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        # Rows under one id may lie in several buckets; only a smaller start is earlier among them.
+        after = (ids > ids[first]) | (starts > starts[first])
+        owners = np.repeat(table["bucket"].to_numpy(), sizes)[order]
+        return reply(owners[after], places[order][after], pa.int32())
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         bucket = Bucket(table, window, text)
@@ -190,7 +194,7 @@ def remove_repeated(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", t
             }
         )
 
-    dealt = in_buckets(docs, buckets, doc_id)
+    dealt = in_buckets(docs, buckets, doc_id, text)
     texts = dealt.groupBy("bucket")
     anchors = texts.applyInArrow(send_anchors, "part int, bucket int, hash array<bigint>, again array<boolean>")
     often = anchors.groupBy("part").applyInArrow(repeated, "bucket int, found array<bigint>")

@@ -45,18 +45,26 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def hash_joined(joined: bytes) -> np.ndarray:
-    """64-bit hashes of words that single blanks separate."""
+    """64-bit hashes of words that single blanks separate: one to one for words of up to seven bytes, XXH64 of longer ones."""
     out, at = [], 0
     while at < len(joined):
         end = joined.rfind(b" ", at, at + SLICE) if len(joined) - at > SLICE else len(joined)
         if end < 0:  # one word longer than a slice
             end = joined.find(b" ", at) % (len(joined) + 1)
-        data = np.frombuffer(joined[at:end] + b" ", np.uint8)
-        up, down = powers(BYTE_BASE, len(data))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(byte_table()[data] * up)])
-        ends = np.flatnonzero(data == 32)
+        data = joined[at:end]
+        buffer = data + b" " + bytes(8)
+        ends = np.flatnonzero(np.frombuffer(buffer, np.uint8, len(data) + 1) == 32)
         begins = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1])
-        out.append(mixed((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64)))
+        lengths = (ends - begins).astype(np.uint64)
+        # The eight bytes from each word on; what follows a short word gives way to its length.
+        eight = np.ndarray((len(data) + 1,), "<u8", buffer, strides=(1,))[begins]
+        short = np.minimum(lengths, np.uint64(7)) * np.uint64(8)
+        hashes = mixed((eight & ((np.uint64(1) << short) - np.uint64(1))) | (lengths << np.uint64(56)))
+        long = np.flatnonzero(lengths > 7)
+        hashes[long] = [
+            xxhash.xxh64_intdigest(data[a:b]) for a, b in zip(begins[long].tolist(), ends[long].tolist())
+        ]
+        out.append(hashes)
         at = end + 1
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -121,12 +129,14 @@ def flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return array.flatten().to_numpy(zero_copy_only=False), np.diff(array.offsets.to_numpy())
 
 
-def in_buckets(docs: DataFrame, buckets: int, doc_id: str) -> DataFrame:
-    """(bucket, id, row): documents dealt to groups of bounded size by a hash of their id.
+def in_buckets(docs: DataFrame, buckets: int, doc_id: str, text: str = "text") -> DataFrame:
+    """(bucket, id, row): documents dealt to groups of bounded size by their id, their text and the partition they come from.
 
-    The text is shuffled once, inside the struct of all columns; :func:`column_of` takes it out.
+    So rows under one id, or without, spread, even where they are equal. The text is shuffled once, inside the struct of all
+    columns; :func:`column_of` takes it out.
     """
-    number = F.pmod(F.xxhash64(F.lit(3), F.col(doc_id)), F.lit(buckets)).cast("int")
+    spread = F.xxhash64(F.lit(3), F.col(doc_id), F.col(text), F.spark_partition_id())
+    number = F.pmod(spread, F.lit(buckets)).cast("int")
     return docs.select(number.alias("bucket"), F.col(doc_id).cast("long").alias("id"), F.struct("*").alias("row"))
 
 
