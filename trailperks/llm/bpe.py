@@ -34,7 +34,7 @@ from trailperks.llm.common import shuffle_partitions, slices, small_batches, tex
 from trailperks.llm.encoding import WordEncoder, distinct_words
 from trailperks.llm.words import column_of, flat, in_buckets, lists
 
-BUCKET_BYTES, PART_BYTES, SLICE_BYTES = 16 * 1024**2, 32 * 1024**2, 2 * 1024**2
+BUCKET_BYTES, PART_BYTES, SLICE_BYTES = 10 * 1024**2, 4 * 1024**2, 1024**2
 LONG_WORD = 48
 SLOTS = 2**16
 #: More than the pieces of a folded word.
