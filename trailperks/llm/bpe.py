@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trailperks.llm.common import shuffle_partitions, slices, small_batches, text_bytes, with_row
 from trailperks.llm.encoding import WordEncoder, distinct_words
-from trailperks.llm.words import column_of, flat, in_buckets, lists
+from trailperks.llm.words import column_of, in_buckets
 
 BUCKET_BYTES, PART_BYTES, SLICE_BYTES = 10 * 1024**2, 4 * 1024**2, 1024**2
 LONG_WORD = 48
@@ -124,12 +124,32 @@ def merge_with_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece] for piece in pieces if piece is not None]
 
 
+def squeezed(lengths: np.ndarray, values: bytes) -> bytes:
+    """Values of several lengths as one small piece: neighbours in sorted order are alike."""
+    data = np.array([len(lengths)], "<u4").tobytes() + lengths.astype("<u4").tobytes() + values
+    return np.array([len(data)], "<u8").tobytes() + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueezed(piece: bytes) -> tuple[np.ndarray, bytes]:
+    size = int(np.frombuffer(piece, "<u8", 1)[0])
+    data = pa.decompress(piece[8:], decompressed_size=size, codec="zstd", asbytes=True)
+    count = int(np.frombuffer(data, "<u4", 1)[0])
+    return np.frombuffer(data, "<u4", count, 4), data[4 + 4 * count :]
+
+
+def words_in(piece: bytes) -> list[bytes]:
+    lengths, joined = unsqueezed(piece)
+    ends = np.cumsum(lengths, dtype=np.int64).tolist()
+    return [joined[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, ids): the ids of each text as little-endian 32-bit integers."""
     spark = docs.sparkSession
     small_batches(spark)
     size, partitions = text_bytes(docs, text), shuffle_partitions(spark)
     buckets, parts = max(partitions, -(-size // BUCKET_BYTES)), max(partitions, -(-size // PART_BYTES))
+    narrow = "<u2" if max(ranks_of(path).values(), default=0) < 2**16 else "<u4"  # of ids on their way
 
     def dealt_words(table: pa.Table) -> tuple[regex.Pattern, dict[int, list[bytes]]]:
         """The distinct matches of the pattern in a bucket, in order, by the part they go to."""
@@ -147,17 +167,18 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
 
     def send_words(table: pa.Table) -> pa.Table:
         _, words = dealt_words(table)
+        pieces = [squeezed(np.array([len(w) for w in own], np.int64), b"".join(own)) for own in words.values()]
         return pa.table(
             {
                 "part": pa.array(words.keys(), pa.int32()),
                 "bucket": pa.array([table["bucket"][0].as_py()] * len(words), pa.int32()),
-                "words": pa.array(words.values(), pa.list_(pa.binary())),
+                "words": pa.array(pieces, pa.binary()),
             }
         )
 
     def distinct(table: pa.Table) -> pa.Table:
         """One row: the distinct words of a part, long ones with their ids, and which of them each bucket asks for."""
-        arrays = table["words"].to_pylist()
+        arrays = [words_in(piece) for piece in table["words"].to_pylist()]
         words = sorted(set().union(*arrays))
         number = {word: n for n, word in enumerate(words)}
         ranks = ranks_of(path)
@@ -192,18 +213,17 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
                         [
                             pa.array([bucket], pa.int32()),
                             pa.array([batch.column(4)[row].as_py()], pa.int32()),
-                            lists(ids, [len(ids)], pa.int32()),
-                            lists(lengths.astype(np.int32), [len(lengths)], pa.int32()),
+                            pa.array([squeezed(lengths, ids.astype(narrow).tobytes())], pa.binary()),
                         ],
-                        names=["bucket", "part", "ids", "lengths"],
+                        names=["bucket", "part", "ids"],
                     )
 
     def assemble(table: pa.Table, replies: pa.Table) -> pa.Table:
         compiled, words = dealt_words(table)
         known: dict[str, bytes] = {}
         for row in range(replies.num_rows):
-            ids, lengths = (flat(replies[name].slice(row, 1))[0] for name in ("ids", "lengths"))
-            data, ends = ids.astype("<u4").tobytes(), (np.cumsum(lengths) * 4).tolist()
+            lengths, ids = unsqueezed(replies["ids"][row].as_py())
+            data, ends = np.frombuffer(ids, narrow).astype("<u4").tobytes(), (np.cumsum(lengths, dtype=np.int64) * 4).tolist()
             begin = 0
             for word, end in zip(words[replies["part"][row].as_py()], ends):
                 known[word.decode()] = data[begin:end]
@@ -221,13 +241,13 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
 
     dealt = in_buckets(docs, buckets, doc_id, text)
     texts = dealt.groupBy("bucket")
-    words = texts.applyInArrow(send_words, "part int, bucket int, words array<binary>").groupBy("part").applyInArrow(
+    words = texts.applyInArrow(send_words, "part int, bucket int, words binary").groupBy("part").applyInArrow(
         distinct, "short array<binary>, long array<array<int>>, buckets array<int>, asked array<array<int>>, part int"
     )
     ranks = rank_map(path)
     folded = F.transform("short", lambda word: F.when(F.octet_length(word) > 0, fold(ranks, word)).otherwise(F.array().cast("array<int>")))
     ids = words.select(folded.alias("short"), "long", "buckets", "asked", "part").mapInArrow(
-        answers, "bucket int, part int, ids array<int>, lengths array<int>"
+        answers, "bucket int, part int, ids binary"
     )
     return texts.cogroup(ids.groupBy("bucket")).applyInArrow(assemble, with_row(dealt, "ids binary"))
 
