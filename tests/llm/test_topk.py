@@ -73,6 +73,36 @@ def test_defined_results(spark):
     assert topk.search(empty, 5, 2, 256).count() == 0
 
 
-def test_scores_that_doubles_cannot_hold_are_refused(spark):
-    with pytest.raises(ValueError, match="doubles"):
-        found(spark, [(0, [1e300]), (1, [1.0])])
+def test_scores_that_doubles_cannot_hold(spark):
+    """One row far beyond the others, and sums whose last digits a double loses: all scores stay exact."""
+    random = np.random.default_rng(4)
+    wide = [(n, random.integers(-300, 300, 768).astype(float).tolist()) for n in range(40)]
+    wide.append((40, [20000.0 - n / 256 for n in range(768)]))
+    assert found(spark, wide, modulus=4) == plain(wide, 5, 4, 256)
+    large = [(n, (random.integers(-(10**9), 10**9, 3) / 256).tolist()) for n in range(60)]
+    near = [(n, [4e6, 1.0 + n / 256, 3e6]) for n in range(60, 80)]  # differ in the last digit only
+    assert found(spark, large + near, modulus=3) == plain(large + near, 5, 3, 256)
+
+
+def test_components_and_scores_are_cut_at_the_ends(spark):
+    rows = [(0, [1e300]), (1, [1.0]), (2, [-1e300]), (3, [2.0])]
+    most = topk.FARTHEST
+    # Both 2^60 * 256 and 2^60 * 512 lie beyond the range, so these are ties.
+    assert found(spark, rows) == [
+        (0, 1, 1, most), (0, 2, 3, most), (0, 3, 2, -most), (2, 1, 0, -most), (2, 2, 1, -most), (2, 3, 3, -most),
+    ]
+
+
+@pytest.mark.parametrize("peak", [2**20, 2**30, 2**60])
+def test_products_against_whole_numbers(peak):
+    random = np.random.default_rng(peak % 97)
+    left, right = (np.trunc(random.uniform(-1, 1, (5, 9)) * peak) for _ in range(2))
+    right[0] = np.trunc(right[0] / peak)
+    got = topk.products(left, right)
+    for row, one in enumerate(left):
+        for column, other in enumerate(right):
+            exact = sum(int(x) * int(y) for x, y in zip(one, other))
+            if abs(exact) < topk.FARTHEST - 2**20:
+                assert got[row, column] == exact
+            elif abs(exact) > topk.FARTHEST + 2**20:
+                assert got[row, column] == (topk.FARTHEST if exact > 0 else -topk.FARTHEST)

@@ -13,8 +13,9 @@ holds more than a block of queries and one salt of candidates.
 Defined results: vectors that are null, or hold a null or a component that is not finite, and rows with a null id take
 no part. Shorter vectors count as padded with zeros. A query given several times with one id is searched once, with its
 greatest vector; rows that bear a query's own id are not its candidates; a candidate given several times appears several
-times. Ties go to the smaller id. Empty input gives an empty result. Scores beyond 2^53, where doubles are not exact, are
-refused with an error. Extra columns are ignored.
+times. Ties go to the smaller id. Empty input gives an empty result. Extra columns are ignored. Components count as whole
+numbers from -2^60 to 2^60 (beyond, as these), scores as whole numbers from -2^62 to 2^62. Where products of doubles are
+not exact, components are split into limbs whose products are, and these are added as integers.
 """
 
 from __future__ import annotations
@@ -29,15 +30,19 @@ from trailperks.session import cut_lineage
 QUERIES_PER_BLOCK = 2048
 CANDIDATES_PER_SALT = 16384
 BINS = 1024
-EXACT_DOUBLE = 2**53
+#: Whole numbers up to here are exact as doubles; components and scores are cut at the others.
+EXACT_DOUBLE, LARGEST, FARTHEST = 2**53, 2**60, 2**62
+#: The score of a query's own row, which is no candidate.
+OWN = -(2**63)
 
 
 def scaled(vectors: DataFrame, scale: int, id_column: str, vector: str) -> DataFrame:
     """(id, v): the vectors that take part, as whole numbers."""
     doubles = F.col(vector).cast("array<double>")
     sound = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    # floor() of a double is a long; components beyond its range are refused by the size check below.
-    whole = F.transform(doubles, lambda x: F.least(F.greatest(x * scale, F.lit(-(2.0**62))), F.lit(2.0**62)))
+    whole = F.transform(
+        doubles, lambda x: F.least(F.greatest(x * scale, F.lit(-float(LARGEST))), F.lit(float(LARGEST)))
+    )
     return vectors.where(F.col(id_column).isNotNull() & F.col(vector).isNotNull() & sound).select(
         F.col(id_column).cast("long").alias("id"),
         F.transform(whole, lambda x: F.floor(x).cast("double")).alias("v"),
@@ -54,14 +59,43 @@ def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
+def limbs(values: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Parts of whole numbers, of so many bits each, whose sum with growing powers of two they are."""
+    out, unit = [], float(2**bits)
+    while values.any():
+        rest = np.trunc(values / unit)
+        out.append(values - rest * unit)
+        values = rest
+    return out
+
+
+def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers as integers, cut at the farthest ones."""
+    peaks = [float(np.abs(x).max(initial=0)) for x in (left, right)]
+    width = max(1, left.shape[1])
+    if peaks[0] * peaks[1] * width < EXACT_DOUBLE:
+        return (left @ right.T).astype(np.int64)
+    bits = (EXACT_DOUBLE.bit_length() - 1 - width.bit_length()) // 2
+    total = np.zeros((len(left), len(right)), np.int64)
+    about = left @ right.T
+    for n, one in enumerate(limbs(left, bits)):
+        for m, other in enumerate(limbs(right, bits)):
+            # Modulo 2^64: what lies in the range of scores comes out right, whatever its parts.
+            factor = pow(2, bits * (n + m), 2**64)
+            total += ((one @ other.T).astype(np.int64).view(np.uint64) * np.uint64(factor)).view(np.int64)
+    total[about >= FARTHEST] = FARTHEST
+    total[about <= -FARTHEST] = -FARTHEST
+    return total
+
+
 def score_blocks(queries: pa.Table, candidates: pa.Table, width: int, rows: int = 1024):
-    """Scores (queries by candidates) in slices; a query's own row scores minus infinity."""
+    """Scores (queries by candidates) in slices; a query's own row scores ``OWN``."""
     ids, left = queries["id"].to_numpy(), matrix(queries["v"], width)
     for at in range(0, candidates.num_rows, rows):
         part = candidates.slice(at, rows)
         found = part["id"].to_numpy()
-        scores = left @ matrix(part["v"], width).T
-        scores[ids[:, None] == found[None, :]] = -np.inf
+        scores = products(left, matrix(part["v"], width))
+        scores[ids[:, None] == found[None, :]] = OWN
         yield found, scores
 
 
@@ -75,9 +109,7 @@ def search(
     largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
     facts = every.agg(F.count("*"), F.max(F.size("v")), F.max(largest)).first()
     count, width, peak = facts[0], facts[1] or 0, facts[2] or 0.0
-    bound = int(peak) ** 2 * width
-    if bound >= EXACT_DOUBLE:
-        raise ValueError(f"inner products may reach {bound}, which doubles do not hold exactly")
+    bound = min(int(peak) ** 2 * width, FARTHEST)
     blocks = max(1, -(-asked.count() // QUERIES_PER_BLOCK))
     salts = max(shuffle_partitions(spark), -(-count // CANDIDATES_PER_SALT))
     of_block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
@@ -121,7 +153,7 @@ def search(
                 "id",
                 "v",
                 "block",
-                (F.col("low") + F.coalesce(F.col("kth.bin"), F.lit(0)) * F.lit(step)).alias("low"),
+                (F.col("low") + F.coalesce(F.col("kth.bin"), F.lit(0)).cast("long") * F.lit(step).cast("long")).alias("low"),
                 (F.col("above") + F.coalesce(F.col("kth.beyond"), F.lit(0))).alias("above"),
             )
         )
@@ -150,8 +182,10 @@ def histogram(width: int, k: int, step: int):
         if queries.num_rows:
             low = queries["low"].to_numpy()[:, None]
             for _, scores in score_blocks(queries, candidates, width):
-                bins = np.floor((scores - low) / step)
-                rows, places = np.nonzero((bins >= 0) & (bins < BINS))
+                # Compared before subtracting: differences of far scores would not fit a long.
+                near = (scores >= low) & (scores != OWN)
+                bins = np.where(near, (scores - low).view(np.uint64) // np.uint64(step), np.uint64(BINS))
+                rows, places = np.nonzero(bins < BINS)
                 flat = rows * BINS + bins[rows, places].astype(np.int64)
                 total += np.bincount(flat, minlength=total.size).reshape(total.shape)
         higher = np.cumsum(total[:, ::-1], axis=1)[:, ::-1] - total
@@ -168,11 +202,11 @@ def survivors(width: int, k: int):
     """Scores above the kth and, of those equal to it, the smallest ids; at most k rows per query are kept at a time."""
 
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        kept = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        kept = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))]
         if queries.num_rows:
             ids, low = queries["id"].to_numpy(), queries["low"].to_numpy()
             for found, scores in score_blocks(queries, candidates, width):
-                rows, places = np.nonzero((scores >= low[:, None]) & np.isfinite(scores))
+                rows, places = np.nonzero((scores >= low[:, None]) & (scores != OWN))
                 joined = [np.concatenate(x) for x in zip(kept[0], (rows, found[places], scores[rows, places]))]
                 order = np.lexsort((joined[1], -joined[2], joined[0]))
                 joined = [x[order] for x in joined]
@@ -184,7 +218,7 @@ def survivors(width: int, k: int):
             {
                 "query_id": pa.array(ids, pa.int64()),
                 "vec_id": pa.array(found, pa.int64()),
-                "score": pa.array(scores.astype(np.int64), pa.int64()),
+                "score": pa.array(scores, pa.int64()),
             }
         )
 
