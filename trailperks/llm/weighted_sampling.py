@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from trailperks.llm.common import shuffle_partitions
 from trailperks.session import cut_lineage
 
-SAMPLES = 16
+SAMPLES = 32
 BLANKS = " \t\n\x0b\f\r"
 #: Bits of a priority, and where its range begins: priorities lie well inside (-64, 64).
 FINE, LOWEST = 2.0**24, 64.0
