@@ -53,3 +53,81 @@ def test_temperature_minimises_loss():
     best = language.fit_temperature(scores * 5, labels)
     loss = lambda t: -np.log(language.softmax(scores * 5 / t)[np.arange(2000), labels]).mean()
     assert loss(best) <= min(loss(t) for t in np.linspace(0.5, 12, 60)) + 1e-4
+
+
+def test_temperature_lies_inside_for_texts_that_are_all_told_apart():
+    for count in (10, 100, 10_000):
+        labels = np.arange(count) % 3
+        best = language.fit_temperature(np.eye(3)[labels] * 30, labels)
+        assert 10 * language.COLDEST < best < language.HOTTEST / 10
+        # As certain as having seen each class once more allows.
+        chance = language.softmax(np.eye(3)[0] * 30 / best)[0]
+        assert abs(chance - (count + 1) / (count + 3)) < 1e-3
+
+
+def plain_ftrl(examples, classes, epochs):
+    """Follow-the-regularised-leader, weight by weight."""
+    z, n = {}, {}
+
+    def weight(key):
+        if abs(z.get(key, 0.0)) <= language.L1:
+            return 0.0
+        shrunk = z[key] - np.sign(z[key]) * language.L1
+        return -shrunk / ((language.BETA + np.sqrt(n[key])) / language.ALPHA + language.L2)
+
+    for _ in range(epochs):
+        for places, values, label in examples:
+            w = {(p, c): weight((p, c)) for p in places.tolist() for c in range(classes)}
+            scores = [sum(v * w[p, c] for p, v in zip(places.tolist(), values.tolist())) for c in range(classes)]
+            chances = np.exp(np.array(scores) - max(scores))
+            chances /= chances.sum()
+            for p, v in zip(places.tolist(), values.tolist()):
+                for c in range(classes):
+                    g = v * (chances[c] - (c == label))
+                    old = n.get((p, c), 0.0)
+                    sigma = (np.sqrt(old + g * g) - np.sqrt(old)) / language.ALPHA
+                    z[p, c] = z.get((p, c), 0.0) + g - sigma * w[p, c]
+                    n[p, c] = old + g * g
+    return {key: weight(key) for key in z}
+
+
+def test_weights_equal_plain_steps():
+    texts = ["the cat and the dog", "der hund und die katze", "le chat et le chien", "the dogs", "die hunde", "les chiens"] * 3
+    idf = np.ones(language.DIMENSIONS)
+    examples = [(*(lambda p, c: (p, language.weigh(p, c, idf)))(*language.ngram_counts(t)), n % 3) for n, t in enumerate(texts)]
+    weights = language.train(examples, 3)
+    plain = plain_ftrl(examples, 3, language.EPOCHS)
+    for (place, label), value in plain.items():
+        assert abs(weights[place, label] - value) < 1e-9
+    seen = {place for place, _ in plain}
+    assert not weights[[p for p in range(language.DIMENSIONS) if p not in seen]].any()
+    zero = sum(value == 0 for value in plain.values())
+    assert 0.05 < zero / len(plain) < 0.95  # the penalty removes seen weights too
+    model = language.Model(["en", "de", "fr"], idf, weights, 1.0)
+    for text, label in zip(texts[:6], ["en", "de", "fr"] * 2):
+        places, counts = language.ngram_counts(text)
+        values = language.weigh(places, counts, idf)
+        scores = [sum(v * plain[p, c] for p, v in zip(places.tolist(), values.tolist())) for c in range(3)]
+        best, score = model.predict(text)
+        assert best == label and abs(score - language.softmax(np.array(scores)).max()) < 1e-9
+
+
+def test_every_label_is_learned(documents):
+    """More labels than the sample has room for at the full rate, and a rare one."""
+    def word(n):
+        return "".join("bcdfghjklmnpqrstvwxz"[n // 20**k % 20] + "aeiou"[(n + k) % 5] for k in range(3))
+
+    rows = [(n, " ".join([word(n % 300)] * 6), f"l{n % 300}") for n in range(3000)] + [(3001, "ωωω ψψψ " * 4, "rare")] * 3
+    model = language.fit(documents(rows), F.lit(True))
+    assert len(model.labels) == 301 and "rare" in model.labels
+    got = [(r.row["lang"], r.lang_pred) for r in language.identify(documents(rows), model).collect()]
+    assert np.mean([a == b for a, b in got]) > 0.9 and got.count(("rare", "rare")) == 3
+
+
+def test_rows_under_one_id_are_drawn_one_by_one(documents):
+    rows = [(7, f"the house number {n} of the town", "en") for n in range(3000)]
+    rows += [(None, f"das haus nummer {n} der stadt", "de") for n in range(3000)]
+    model = language.fit(documents(rows), F.lit(True))
+    assert model.labels == ["de", "en"]
+    got = [r.row["lang"] == r.lang_pred for r in language.identify(documents(rows), model).collect()]
+    assert np.mean(got) > 0.99

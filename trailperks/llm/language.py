@@ -3,10 +3,11 @@
 Features are hashed n-grams of one to three characters of the whole lower-cased text, digits and ASCII punctuation
 counting as blanks, weighted by (1 + log tf) * idf and scaled to length one. Document frequencies count every labelled
 training document. The regression is trained with follow-the-regularised-leader (per-coordinate steps, elastic net)
-on a bounded sample: about ``PER_CLASS`` documents of each of the ``MOST_CLASSES`` most frequent labels, drawn by a hash of the
-id; a fifth of the sample is kept for the temperature that calibrates the probabilities.
+on a bounded sample of every label: about ``PER_CLASS`` documents of each, fewer if there are so many labels that these were more
+than ``EXAMPLES`` (``LEAST_PER_CLASS`` at least), drawn by a hash of id, text and input partition; a fifth of the sample is kept
+for the temperature that calibrates the probabilities.
 
-The model has ``DIMENSIONS`` times classes weights, so what is sent to the tasks is bounded.
+The model has ``DIMENSIONS`` times classes weights (128 kB a label), which is what is sent to the tasks.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without any labelled training document every
 text is. Null labels are never learned. A null id counts as the empty text when documents are split. Repeated rows each
@@ -27,10 +28,12 @@ from trailperks.llm.common import field_of, slices, small_batches, with_row
 
 DIMENSIONS = 2**14
 SLICE_BYTES = 2 * 1024**2
-PER_CLASS = 1000
-MOST_CLASSES = 256
+#: Labelled texts that are drawn to fit: of each class, and of all classes, but of each class a few at least.
+PER_CLASS, EXAMPLES, LEAST_PER_CLASS = 1000, 32_000, 20
 EPOCHS = 2
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.2, 1e-4
+#: Temperatures that are tried.
+COLDEST, HOTTEST = 1e-3, 1e3
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 #: ASCII characters that are not letters count as blanks.
@@ -84,14 +87,22 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], classes: int) -> n
 
 
 def fit_temperature(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature with the smallest log loss, by golden-section search."""
+    """The temperature with the smallest log loss, by golden-section search.
+
+    The truth is smoothed as if each class had been seen once more, so that texts which are all told apart give a
+    temperature above zero: the fewer they are, the less certain the model may be.
+    """
+    classes = scores.shape[1]
+    target = np.full(scores.shape, 1 / (len(labels) + classes))
+    target[np.arange(len(labels)), labels] += len(labels) / (len(labels) + classes)
 
     def loss(log_t: float) -> float:
-        chances = softmax(scores / np.exp(log_t))[np.arange(len(labels)), labels]
-        return -np.log(np.maximum(chances, 1e-12)).mean()
+        shifted = scores / np.exp(log_t)
+        shifted = shifted - shifted.max(axis=1, keepdims=True)
+        return -(target * (shifted - np.log(np.exp(shifted).sum(axis=1, keepdims=True)))).sum(axis=1).mean()
 
-    low, high, ratio = np.log(0.02), np.log(20.0), (np.sqrt(5) - 1) / 2
-    for _ in range(40):
+    low, high, ratio = np.log(COLDEST), np.log(HOTTEST), (np.sqrt(5) - 1) / 2
+    for _ in range(60):
         a, b = high - ratio * (high - low), low + ratio * (high - low)
         low, high = (low, b) if loss(a) < loss(b) else (a, high)
     return float(np.exp((low + high) / 2))
@@ -136,15 +147,17 @@ def fit(docs: DataFrame, is_training: Column, lang: str = "lang", doc_id: str =
     labelled = docs.select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), is_training.alias("training")
     ).where("training and lang is not null and length(text) > 0")
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_CLASSES).collect()
+    sizes = labelled.groupBy("lang").count().collect()
     labels = sorted(row["lang"] for row in sizes)
     if not labels:
         return Model([], np.zeros(DIMENSIONS), np.zeros((DIMENSIONS, 0)), 1.0)
     total = sum(row["count"] for row in sizes)
     idf = np.log((1 + total) / (1 + document_frequencies(labelled.select("text")))) + 1
 
-    shares = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], min(1.0, PER_CLASS / row["count"]))])
-    draw = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(2**30)) / 2.0**30
+    wanted = max(LEAST_PER_CLASS, min(PER_CLASS, EXAMPLES // len(labels)))
+    shares = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], min(1.0, wanted / row["count"]))])
+    # By id, text and partition, so rows under one id are drawn one by one.
+    draw = F.pmod(F.xxhash64(F.lit(11), "doc_id", "text", F.spark_partition_id()), F.lit(2**30)) / 2.0**30
     sample = labelled.where(draw < F.element_at(shares, F.col("lang"))).withColumn(
         "turn", F.xxhash64(F.lit(13), "doc_id", "text")
     )
