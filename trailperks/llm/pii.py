@@ -51,7 +51,8 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 ADDRESS = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TERM = regex.compile(r"[\p{L}\p{N}]+")
+#: The same terms in a text of ASCII characters only, in lower case, and in any text.
+ASCII_TERM, TERM = re.compile("[a-z0-9]+"), regex.compile(r"[\p{L}\p{N}]+")
 NOT_DIGITS = re.compile(r"[^0-9]+")
 TO_LOWER = str.maketrans(UPPER, LOWER)
 
@@ -104,7 +105,8 @@ def entity_of(kind: str, value: str) -> str:
 def free_terms(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
     """(term, start, end) of all terms without those that are part of a base span."""
     taken = at = 0
-    for match in TERM.finditer(text.translate(TO_LOWER)):
+    lowered = text.translate(TO_LOWER)
+    for match in (ASCII_TERM if lowered.isascii() else TERM).finditer(lowered):
         a, b = match.span()
         while at < len(spans) and spans[at][1] < b:
             taken = max(taken, spans[at][2])
@@ -113,6 +115,13 @@ def free_terms(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[s
             yield match.group(), a, b
 
 
+def distinct_terms(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
+    if spans:
+        return list({term for term, _, _ in free_terms(text, spans)})
+    lowered = text.translate(TO_LOWER)
+    return list(set((ASCII_TERM if lowered.isascii() else TERM).findall(lowered)))
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column) -> Iterator[pa.RecordBatch]:
     """The batches in parts of about ``SLICE_BYTES`` of text, so that few texts are Python objects at a time."""
     for batch in batches:
@@ -127,7 +136,7 @@ def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(3).to_pylist():
             spans = base_spans(text or "")
             entities.append(list({entity_of(kind, text[start:end]) for kind, start, end in spans}))
-            terms.append(list({term for term, _, _ in free_terms(text or "", spans)}))
+            terms.append(distinct_terms(text or "", spans))
         kind = pa.list_(pa.string())
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array(entities, kind), pa.array(terms, kind)], names=["row_id", "doc", "mark", "entities", "terms"]
