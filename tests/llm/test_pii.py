@@ -166,3 +166,18 @@ def test_overlapping_spans():
     spans = [("phone", 0, 12), ("card", 4, 23)]
     assert pii.sanitise(text, spans, set()) == "[PHONE] x"
     assert pii.sanitise("a bc d", [("term", 2, 4)], {(2, 4)}) == "a  d"
+
+
+def test_held_and_joined_terms_hide_alike(documents, monkeypatch):
+    rows = [(n, f"plain words number{n} +49 151 2345678{n % 10}") for n in range(300)]
+    rows += [(n, f"a{n} Quaxley Éloïse mail joe@site.com b{n} quaxley") for n in range(300, 310)]
+    rows += [(310, "alone QUAXLEY here"), (310, "alone QUAXLEY here"), (None, "éloïse"), (311, None)]
+    docs = documents(rows)
+    found = {}
+    for limit in (pii.HELD_BYTES, -1):
+        monkeypatch.setattr(pii, "HELD_BYTES", limit)
+        result = pii.protect(docs)
+        found[limit] = sorted((str(r.row.doc_id), str(r.sanitised), str(r.spans)) for r in result.collect())
+        assert ("SortMergeJoin" in result._jdf.queryExecution().executedPlan().toString()) or limit >= 0
+    one, other = found.values()
+    assert one == other and not any("quaxley" in text.lower() for _, text, _ in one)

@@ -44,6 +44,8 @@ GENERALISE, REMOVE = 0.6, 0.9
 CHANCE = 0.01
 BITS = 2**23
 SLICE_BYTES = 2 * 1024**2
+#: Terms to hide are held by every task up to so many bytes; more are joined.
+HELD_BYTES = 4 * 1024**2
 
 # Possessive and anchored forms of the contract's patterns: the same matches, in linear time.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -232,6 +234,30 @@ def possible(bits: np.ndarray):
     return run
 
 
+def hide(text: str | None, hidden: dict[str, bool]) -> tuple[list[dict], str | None]:
+    """The spans of a text, and the text without what they hold, given the terms to hide (true: to remove)."""
+    spans = base_spans(text or "")
+    places: dict[tuple[int, int], bool] = {}
+    if hidden:
+        for term, a, b in free_terms(text, spans):
+            if term in hidden:
+                places[a, b] = hidden[term]
+        spans = sorted(spans + [("term", a, b) for a, b in places], key=lambda span: (span[1], KINDS.index(span[0])))
+    removed = {place for place, remove in places.items() if remove}
+    return [{"kind": k, "start": a, "end": b} for k, a, b in spans], sanitise(text, spans, removed) if spans else text
+
+
+def rewritten(rows: pa.Array, results: list[tuple[list[dict], str | None]]) -> pa.RecordBatch:
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    return pa.RecordBatch.from_arrays(
+        [rows, pa.array([spans for spans, _ in results], kind), pa.array([text for _, text in results], pa.string())],
+        names=["row", "spans", "sanitised"],
+    )
+
+
+HIDDEN = "spans array<struct<kind: string, start: bigint, end: bigint>>, sanitised string"
+
+
 def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, spans, sanitised): spans are (kind, start, end) in code points, by start, then kind."""
     small_batches(docs.sparkSession)
@@ -247,6 +273,29 @@ def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         compression="zstd",
     )
     hidden = keep(disclosing_terms(found), "pii-terms")
+    size = hidden.agg(F.sum(F.octet_length("term") + F.lit(1).cast("long"))).first()[0] or 0
+    if size <= HELD_BYTES:
+        return hide_held(docs, {row.term: row.remove for row in hidden.collect()}, text)
+    return hide_joined(keyed, found, hidden, text)
+
+
+def hide_held(docs: DataFrame, held: dict[str, bool], text: str) -> DataFrame:
+    """With few terms to hide, every task holds them all and no text moves."""
+    rows = docs.select(F.struct("*").alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, lambda whole: field_of(whole.column(0), text)):
+            results = []
+            for own in field_of(batch.column(0), text).to_pylist():
+                own_terms = held.keys() & distinct_terms(own or "", []) if held else ()
+                results.append(hide(own, {term: held[term] for term in own_terms}))
+            yield rewritten(batch.column(0), results)
+
+    return rows.mapInArrow(run, with_row(rows, HIDDEN))
+
+
+def hide_joined(keyed: DataFrame, found: DataFrame, hidden: DataFrame, text: str) -> DataFrame:
+    """With many, each text meets its own: terms are dropped by a bit map of a fixed size, the others joined."""
     hits = keep(
         found.select("doc", "mark", "terms")
         .mapInArrow(possible(marked_bits(hidden)), "doc long, mark long, term string")
@@ -261,29 +310,11 @@ def protect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, lambda whole: field_of(whole.column(0), text)):
-            spans_out, texts_out = [], []
-            for text_, hits_ in zip(field_of(batch.column(0), text).to_pylist(), batch.column(1).to_pylist()):
-                spans = base_spans(text_ or "")
-                places: dict[tuple[int, int], bool] = {}
-                if hits_:
-                    hidden_here = {hit["term"]: hit["remove"] for hit in hits_}
-                    for term, a, b in free_terms(text_, spans):
-                        if term in hidden_here:
-                            places[a, b] = hidden_here[term]
-                    spans = sorted(
-                        spans + [("term", a, b) for a, b in places], key=lambda span: (span[1], KINDS.index(span[0]))
-                    )
-                spans_out.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                removed = {place for place, remove in places.items() if remove}
-                texts_out.append(sanitise(text_, spans, removed) if spans else text_)
-            kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(spans_out, kind), pa.array(texts_out, pa.string())], names=["row", "spans", "sanitised"]
-            )
-
-    return joined.mapInArrow(
-        run, with_row(joined, "spans array<struct<kind: string, start: bigint, end: bigint>>, sanitised string")
-    )
+            texts = zip(field_of(batch.column(0), text).to_pylist(), batch.column(1).to_pylist())
+            results = [hide(own, {hit["term"]: hit["remove"] for hit in hits or ()}) for own, hits in texts]
+            yield rewritten(batch.column(0), results)
+
+    return joined.mapInArrow(run, with_row(joined, HIDDEN))
 
 
 def disclosure(total: int, of_entity: int, of_term: int, together: int) -> float:
