@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -117,6 +117,23 @@ def free_terms(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[s
             yield match.group(), a, b
 
 
+def in_term(letter: str) -> bool:
+    return letter.isalnum() if letter.isascii() else TERM.match(letter) is not None
+
+
+def places_of(terms: Iterable[str], text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of the given terms among :func:`free_terms`, without looking at the others."""
+    lowered = text.translate(TO_LOWER)
+    for term in terms:
+        at = lowered.find(term)
+        while at >= 0:
+            end = at + len(term)
+            alone = not (at and in_term(lowered[at - 1])) and not (end < len(lowered) and in_term(lowered[end]))
+            if alone and all(stop <= at or start >= end for _, start, stop in spans):
+                yield term, at, end
+            at = lowered.find(term, end if alone else at + 1)
+
+
 def distinct_terms(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
     if spans:
         return list({term for term, _, _ in free_terms(text, spans)})
@@ -239,9 +256,7 @@ def hide(text: str | None, hidden: dict[str, bool]) -> tuple[list[dict], str | N
     spans = base_spans(text or "")
     places: dict[tuple[int, int], bool] = {}
     if hidden:
-        for term, a, b in free_terms(text, spans):
-            if term in hidden:
-                places[a, b] = hidden[term]
+        places = {(a, b): hidden[term] for term, a, b in places_of(hidden, text, spans)}
         spans = sorted(spans + [("term", a, b) for a, b in places], key=lambda span: (span[1], KINDS.index(span[0])))
     removed = {place for place, remove in places.items() if remove}
     return [{"kind": k, "start": a, "end": b} for k, a, b in spans], sanitise(text, spans, removed) if spans else text
