@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trailperks.llm import language, packing, pii, simhash, substrings
 from trailperks.llm.common import id_remainder, keep, table
 
-#: The least calibrated probability with which a document's language must be known.
-LEAST_SCORE = 0.5
+#: The least calibrated probability with which a document's language must be known. Short clean texts are often told right with
+#: less than one half; below this a text is told apart hardly better than by chance.
+LEAST_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
