@@ -1,5 +1,6 @@
 """The log of segments as a streaming source, and the queries that run over it."""
 
+import io
 import json
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.errors import StreamingQueryException
 from test_stream import event, state
 
 from trailperks import schemas
+from trailperks.catalog import flows
 from trailperks.sources import reference_files as files, seeds
 from trailperks.sources.layers import Layers
 from trailperks.streaming import announcer, loader, message_log, sources
@@ -231,3 +233,29 @@ def test_new_names_are_known_at_once_and_none_before_the_first(layers, tmp_path)
     assert "Un collègue" in text("b")
     ingest((1, "Mendes", "Juliette"), (7, "Durand", "Paul"))
     assert "Paul Durand" in text("c")
+
+
+def test_the_number_of_batches_does_not_grow_with_the_table(tables, tmp_path, monkeypatch):
+    """Small batches over a table of many: the reader still ends after a few."""
+    monkeypatch.setattr(flows, "new_run_folder", lambda spark, purpose: str(tmp_path / purpose))
+    monkeypatch.setattr(flows, "BATCH_MESSAGES", 50)
+    monkeypatch.setattr(flows, "BATCHES", 4, raising=False)
+    rows = flows.stream_two_starts(tables)
+    messages = tables.activities.count()
+    assert messages > 12 * 50
+    assert rows.where("flux = 'chargement'").select("id_activite").distinct().count() == messages
+    commits = [path.name for path in (tmp_path / "two-starts" / "loader" / "commits").iterdir()]
+    assert len([name for name in commits if name.isdigit()]) <= 6
+
+
+def test_the_end_of_so_many_lines(monkeypatch):
+    data = b"a\n\nbb\n" + b"c" * 20 + b"\n\n\nd\nopen"
+    ends = [n + 1 for n in range(len(data)) if data[n : n + 1] == b"\n"]
+    for block in (1, 2, 5, 100):
+        monkeypatch.setattr(message_log, "BLOCK", block)
+        for begin in range(len(data)):
+            behind = [end for end in ends if end > begin]
+            for count in range(1, 9):
+                taken = behind[:count]
+                found = message_log.after_lines(io.BytesIO(data), begin, len(data), count)
+                assert found == (taken[-1] if taken else begin, len(taken))

@@ -99,14 +99,26 @@ def after_lines(handle, begin: int, limit: int, count: int) -> tuple[int, int]:
         block = handle.read(min(BLOCK, limit - at))
         if not block:
             break
-        found = block.find(b"\n")
-        while found >= 0 and lines < count:
-            lines, end = lines + 1, at + found + 1
-            found = block.find(b"\n", found + 1)
+        inside = min(block.count(b"\n"), count - lines)
+        if inside:
+            lines, end = lines + inside, at + behind_lines(block, inside)
         at += len(block)
     return end, lines
 
 
+def behind_lines(block: bytes, count: int) -> int:
+    """The place behind the ``count``-th line end of a block that has as many, counted by halves without a step per line."""
+    begin, end = 0, len(block)
+    while end - begin > 1:
+        middle = (begin + end) // 2
+        inside = block.count(b"\n", begin, middle)
+        if inside >= count:
+            end = middle
+        else:
+            begin, count = middle, count - inside
+    return end
+
+
 def messages(data: bytes) -> pa.RecordBatch | None:
     """The messages of whole lines."""
     if not data.strip():
