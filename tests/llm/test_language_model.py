@@ -63,6 +63,19 @@ def test_contexts(documents):
     assert contexts == [0, 1, 1, 1, 2, 2, 0, 0, 0, 2, 2]
 
 
+@pytest.mark.parametrize("counted", [lm.COUNTED, 7])
+def test_a_word_that_leads_nowhere_but_in_all(spark, monkeypatch, counted):
+    """In each task more than a thousand words are more frequent than the one that is the most frequent of all."""
+    monkeypatch.setattr(lm, "COUNTED", counted)
+    texts = [(" ".join([f"W{task}x{n}" for n in range(1200)] * 3 + ["Shared"] * 2),) for task in range(4)]
+    frame = spark.createDataFrame(texts, "text string").repartitionByRange(4, "text")
+    assert frame.rdd.getNumPartitions() == 4
+    expected = Counter(word for text, in texts for word in text.lower().encode().split())
+    found = lm.frequent_words(frame)
+    assert found[0] == b"shared"
+    assert found == sorted(expected, key=lambda w: (-expected[w], w))[: lm.CONTEXTS]
+
+
 @pytest.mark.parametrize("discount", [0.0, 0.3, 0.8])
 def test_stirling_numbers(discount):
     """Against adding up all partitions of up to six customers."""
