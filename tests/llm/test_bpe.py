@@ -51,6 +51,30 @@ def test_hard_texts(documents):
         assert r["decoded"] == text.encode()
 
 
+def test_buckets_move_squeezed_and_come_back_whole(documents, monkeypatch):
+    """Many small buckets of each task, the first one's among them; what moves is a squeezed bucket, no text as it is."""
+    monkeypatch.setattr(bpe, "BUCKET_BYTES", 400)
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 100)
+    texts = [*HARD, *(f"{n} some more words, and  odd spaces\n {n * n}" for n in range(40)), *HARD]
+    encoded = bpe.encode(documents(list(enumerate(texts))).coalesce(2), PATH, PATTERN)
+    rows = encoded.select("row.doc_id", "row.text", "ids").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    for r in rows:
+        assert r.text == texts[r.doc_id]
+        assert np.frombuffer(r.ids, "<u4").tolist() == ORACLE.encode_ordinary(r.text or "")
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow pack(" in plan and "hashpartitioning(bucket" in plan
+
+
+def test_units_of_a_bucket():
+    texts = ["a b a", "", "b\nb c", "two  blanks a", " a", "a b a"]
+    units = bpe.Units(texts, bpe.regex.compile(PATTERN))
+    words = units.words()
+    assert units.hashes.tolist() == sorted(units.hashes.tolist()) and len(words) == len(units.hashes)
+    found = iter([words[n].decode() for n in units.places.tolist()])
+    assert ["".join(next(found) for _ in range(count)) for count in units.counts.tolist()] == texts
+
+
 def test_no_rows(documents):
     empty = documents([(1, "a")]).where("false")
     assert bpe.decode(bpe.encode(empty, PATH, PATTERN), PATH).count() == 0
