@@ -40,9 +40,7 @@ from trailperks.llm.words import hash_joined
 
 BUCKET_BYTES, PART_BYTES, SLICE_BYTES = 8 * 1024**2, 6 * 1024**2, 1024**2
 LONG_WORD = 48
-SLOTS = 2**16
-#: More than the pieces of a folded word.
-PLACES = 64
+SLOTS = 2**14
 
 
 @lru_cache(maxsize=2)
@@ -70,45 +68,44 @@ def bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def merge_once(ranks: Column, state: Column) -> Column:
-    """The pieces with their best pair merged, and the ranks of their neighbouring pairs, or both as they are."""
-    pieces, pairs = state["pieces"], state["pairs"]
-    # Rank and position in one number: the smallest is the leftmost pair of the lowest rank.
-    best = F.array_min(F.transform(pairs, lambda value, n: value * F.lit(PLACES) + n))
-    none = F.array().cast("array<int>")
+def merge_once(ranks: Column, pieces: Column) -> Column:
+    """The pieces, each with the rank of the pair that it makes with the next, with their best pair merged, or as they are."""
+    of_pairs = pieces["rank"]
+    # Of pairs of the same rank, the position is that of the leftmost.
+    best = (F.array_position(of_pairs, F.array_min(of_pairs)) - 1).cast("int")
 
     def merged(at: Column) -> Column:
-        """The state with the pair at this place, from 0, merged."""
+        """The pieces with the pair at this place, from 0, merged."""
 
         def with_pair(pair: Column) -> Column:
             # Without a neighbour a pair is null, and so is its rank.
-            left, right = (rank(ranks, F.concat(*both)) for both in ((F.get(pieces, at - 1), pair), (pair, F.get(pieces, at + 2))))
-            return F.struct(
-                F.concat(F.slice(pieces, F.lit(1), at), F.array(pair), F.slice(pieces, at + 3, F.size(pieces))).alias("pieces"),
-                F.concat(
-                    F.slice(pairs, F.lit(1), F.greatest(at - 1, F.lit(0))),
-                    F.when(at > 0, F.array(left)).otherwise(none),
-                    F.when(at + 2 < F.size(pieces), F.array(right)).otherwise(none),
-                    F.slice(pairs, at + 3, F.size(pieces)),
-                ).alias("pairs"),
+            before, after = F.get(pieces, at - 1)["piece"], F.get(pieces, at + 2)["piece"]
+            new = F.struct(pair.alias("piece"), rank(ranks, F.concat(pair, after)).alias("rank"))
+            left = F.struct(before.alias("piece"), rank(ranks, F.concat(before, pair)).alias("rank"))
+            return F.concat(
+                F.slice(pieces, F.lit(1), F.greatest(at - 1, F.lit(0))),
+                F.when(at > 0, F.array(left, new)).otherwise(F.array(new)),
+                F.slice(pieces, at + 3, F.size(pieces)),
             )
 
-        return bind(F.concat(F.get(pieces, at), F.get(pieces, at + 1)), with_pair)
+        return bind(F.concat(F.get(pieces, at)["piece"], F.get(pieces, at + 1)["piece"]), with_pair)
 
-    return bind(best, lambda value: F.when(value.isNull(), state).otherwise(bind((value % PLACES).cast("int"), merged)))
+    return bind(best, lambda at: F.when(at.isNull(), pieces).otherwise(merged(at)))
 
 
 def fold(ranks: Column, word: Column) -> Column:
     """The ids of a binary word."""
     size = F.octet_length(word)
-    start = F.struct(
-        F.transform(F.sequence(F.lit(1), size), lambda n: F.substring(word, n, F.lit(1))).alias("pieces"),
-        F.when(size < 2, F.array().cast("array<int>"))
-        .otherwise(F.transform(F.sequence(F.lit(1), size - 1), lambda n: rank(ranks, F.substring(word, n, F.lit(2)))))
-        .alias("pairs"),
-    )
+
+    def single(n: Column) -> Column:
+        pair = F.when(n < size, F.substring(word, n, F.lit(2)))
+        return F.struct(F.substring(word, n, F.lit(1)).alias("piece"), rank(ranks, pair).alias("rank"))
+
     folded = F.aggregate(
-        F.sequence(F.lit(2), F.greatest(size, F.lit(2))), start, lambda state, _: merge_once(ranks, state), lambda state: state["pieces"]
+        F.sequence(F.lit(2), F.greatest(size, F.lit(2))),
+        F.transform(F.sequence(F.lit(1), size), single),
+        lambda pieces, _: merge_once(ranks, pieces),
+        lambda pieces: pieces["piece"],
     )
     return bind(
         rank(ranks, word),

@@ -103,19 +103,3 @@ def words_at(joined: bytes, numbers: np.ndarray) -> list[bytes]:
     ends = np.flatnonzero(np.frombuffer(joined + b" ", np.uint8) == 32)
     begins = np.where(numbers > 0, ends[numbers - 1] + 1, 0)
     return [joined[a:b] for a, b in zip(begins.tolist(), ends[numbers].tolist())]
-
-
-def distinct_words(texts: list[str]) -> set[str]:
-    """The words that :class:`WordEncoder` would ask for; a text with odd white space is one word."""
-    out, marked = set(), []
-    for text in texts:
-        if ODD_SPACES.search(text):
-            out.add(text)
-        else:
-            marked.append(FIRST + text.encode().replace(b"\n", b" \n"))
-    if marked:
-        joined = b" ".join(marked)
-        _, firsts = np.unique(hash_joined(joined), return_index=True)
-        for word in words_at(joined, firsts):
-            out.add((word[1:] if word[:1] == FIRST else word if word[:1] == b"\n" else b" " + word).decode())
-    return out
