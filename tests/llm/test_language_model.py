@@ -141,3 +141,49 @@ def test_scores_sum_to_one(documents, monkeypatch):
     got = {r["row"]["text"]: r.score for r in lm.score(documents(train + asked), F.col("doc_id") < 100).collect() if r["row"]["doc_id"] >= 100}
     end = 10 ** got[""]
     assert sum(10 ** got[word] / end for word in [*words, "unknown"]) + end == pytest.approx(1, rel=1e-5)
+
+
+@pytest.mark.parametrize("spread", [1, 32, 100])
+def test_every_preceding_word_is_a_context(documents, monkeypatch, spread):
+    """More words than are spread, each pair once: every seating is certain, so scores follow by hand."""
+    monkeypatch.setattr(lm, "CONTEXTS", spread)
+    words = [f"w{n:02}" for n in range(60)]
+    held_out = ["w05 w06", "w05 w07", "w05", "other w06", "w05 other", ""]
+    docs = documents([(1, " ".join(words)), *[(2 + n, text) for n, text in enumerate(held_out)]])
+    (d0, d1), known = lm.DISCOUNT, len(words) + 1
+    follows = dict(zip(["", *words], [*words, None]))
+
+    def parent(word):
+        return ((1 - d0) * (word in follows.values()) + (1 + d0 * known) / (known + 1)) / (1 + known)
+
+    def plain(text):
+        pairs = zip(["", *text.split()], [*text.split(), None])
+        return sum(
+            math.log10(((1 - d1) * (follows[u] == w) + (1 + d1) * parent(w)) / 2 if u in follows else parent(w)) for u, w in pairs
+        )
+
+    got = {r["row"]["text"]: r.score for r in lm.score(docs, F.col("doc_id") == 1).collect()}
+    assert got == pytest.approx({text: plain(text) for text in [" ".join(words), *held_out]}, rel=1e-6)
+
+
+def test_texts_sum_to_one(documents):
+    """All texts of two known words and an unknown one, up to six words."""
+    train = ["a", "b a", "", "b", "b a", "a b"] * 20 + ["a"] * 100
+    asked = [" ".join(text) for length in range(7) for text in itertools.product("abz", repeat=length)]
+    docs = documents([(n, text) for n, text in enumerate(train)] + [(1000 + n, text) for n, text in enumerate(asked)])
+    got = [r.score for r in lm.score(docs, F.col("doc_id") < 1000).collect() if r["row"]["doc_id"] >= 1000]
+    assert len(got) == len(asked) and 0.97 < sum(10**x for x in got) < 1 + 1e-6
+
+
+def test_contexts_are_the_preceding_words():
+    texts = [b"the cat The dog", b"", b"x the"]
+    found = lm.Tokens(texts)
+    before = [None, "the", "cat", "the", "dog", None, None, "x", "the"]
+    after = ["the", "cat", "the", "dog", None, None, "x", "the", None]
+
+    def hashes(words):
+        return [0 if w is None else int(lm.hash_joined(w.encode())[0]) for w in words]
+
+    assert [int(found.contexts[p]) for p in found.pairs] == hashes(before)
+    assert [int(found.words[p]) for p in found.pairs] == hashes(after)
+    assert len(found.words) == len(set(zip(before, after)))
