@@ -187,3 +187,26 @@ def test_contexts_are_the_preceding_words():
     assert [int(found.contexts[p]) for p in found.pairs] == hashes(before)
     assert [int(found.words[p]) for p in found.pairs] == hashes(after)
     assert len(found.words) == len(set(zip(before, after)))
+
+
+def test_seats_of_parts():
+    """Restaurants dealt to eight parts, with the totals of all parts told in rounds, seat about as many as in one part."""
+    random = np.random.default_rng(4)
+    words, contexts = (np.minimum(random.zipf(1.4, 200000), 2000) - 1 for _ in range(2))
+    pairs, counts = np.unique(contexts * 2000 + words, return_counts=True)
+    words, contexts = pairs % 2000, pairs // 2000
+    known, tables = len(np.unique(words)), np.ones(len(pairs), np.int64)
+    for sweeps in lm.ROUNDS:
+        customers = np.bincount(words, tables, minlength=2000).astype(np.int64)
+        parent, sampled = lm.parent_seatings(customers, known, random), np.zeros((lm.SAMPLES, len(pairs)), np.int64)
+        for part in range(8):
+            mine = contexts % 8 == part
+            (names, numbers), (_, places) = (np.unique(x[mine], return_inverse=True) for x in (words, contexts))
+            outside = lm.Outside(customers[names], parent[names], customers.sum(), parent.sum(), known, np.zeros(places.max() + 1, np.int64))
+            kept = lm.seatings(numbers, places, counts[mine], 8, random, outside, tables[mine], sweeps)
+            for s, (found, _, _) in enumerate(kept):
+                sampled[s, mine] = found
+        tables = sampled[len(kept) - 1]
+    assert (sampled >= 1).all() and (sampled <= counts).all()
+    whole = sum(found.sum() for found, _, _ in lm.seatings(words, contexts, counts, 1, random))
+    assert sampled.sum() == pytest.approx(whole, rel=0.03)
